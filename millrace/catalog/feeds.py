@@ -67,19 +67,19 @@ class Feeds:
     def market(self) -> DataFrame:
         parts = self.table("part").select("p_partkey", "p_retailprice", "p_size")
         unit = F.col("l_extendedprice") / F.col("l_quantity")
-        six = lambda c: F.round(c, 6)
+        nine = lambda c: F.round(c, 9)
         return (
             self.line_days.join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .groupBy(F.col("order_day").alias("date"))
             .agg(
-                six(F.avg(unit)).alias("steel_price_egypt_egp"),
-                six(F.avg("p_retailprice")).alias("iron_ore_price_usd"),
-                six(F.avg("p_size")).alias("scrap_price_usd"),
-                six(F.avg("l_tax") + 1).alias("usd_egp_rate"),
-                six(F.avg("l_quantity")).alias("natural_gas_price_usd"),
-                six(F.max(unit)).alias("brent_oil_usd"),
-                six(F.avg("l_discount") + 1).alias("electricity_price_egp_kwh"),
-                six(F.avg("l_tax")).alias("seasonality_index"),
+                nine(F.avg(unit)).alias("steel_price_egypt_egp"),
+                nine(F.avg("p_retailprice")).alias("iron_ore_price_usd"),
+                nine(F.avg("p_size")).alias("scrap_price_usd"),
+                nine(F.avg("l_tax") + 1).alias("usd_egp_rate"),
+                nine(F.avg("l_quantity")).alias("natural_gas_price_usd"),
+                nine(F.max(unit)).alias("brent_oil_usd"),
+                nine(F.avg("l_discount") + 1).alias("electricity_price_egp_kwh"),
+                nine(F.avg("l_tax")).alias("seasonality_index"),
             )
             .withColumns(
                 {

@@ -36,10 +36,10 @@ CTES = {
         h AS seasonality_index, CAST(month(date) = 3 AS INTEGER) AS is_ramadan,
         'MARKET' AS company_id, 'ALL_FACTORIES' AS factory_id
         FROM (SELECT order_day AS date,
-            {_r('avg(l_extendedprice / l_quantity)', 6)} AS a, {_r('avg(p_retailprice)', 6)} AS b,
-            {_r('avg(CAST(p_size AS DOUBLE))', 6)} AS c, {_r('avg(l_tax) + 1', 6)} AS d,
-            {_r('avg(l_quantity)', 6)} AS e, {_r('max(l_extendedprice / l_quantity)', 6)} AS f,
-            {_r('avg(l_discount) + 1', 6)} AS g, {_r('avg(l_tax)', 6)} AS h
+            {_r('avg(l_extendedprice / l_quantity)', 9)} AS a, {_r('avg(p_retailprice)', 9)} AS b,
+            {_r('avg(CAST(p_size AS DOUBLE))', 9)} AS c, {_r('avg(l_tax) + 1', 9)} AS d,
+            {_r('avg(l_quantity)', 9)} AS e, {_r('max(l_extendedprice / l_quantity)', 9)} AS f,
+            {_r('avg(l_discount) + 1', 9)} AS g, {_r('avg(l_tax)', 9)} AS h
             FROM line_days JOIN part ON l_partkey = p_partkey GROUP BY order_day) AS m""",
     "prod": """SELECT company_id, factory_id,
         l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS batch_id,
@@ -251,6 +251,38 @@ CTES = {
         {_r('(brent_oil_usd - lag(brent_oil_usd) OVER w) / lag(brent_oil_usd) OVER w * 100', 4)} AS oil_change_pct,
         dayofweek(date) + 1 AS day_of_week, month(date) AS month_val, quarter(date) AS quarter_val, year
         FROM mkt_c WINDOW w AS (ORDER BY date)""",
+    # model features
+    "wk": f"""SELECT CAST(date_trunc('week', order_date) AS DATE) AS week_start, product_type, region,
+        {_r('sum(quantity_tons)')} AS weekly_demand_tons, count(*) AS weekly_order_count,
+        {_r('avg(price_per_ton_egp)')} AS avg_price_per_ton, {_r('sum(total_value_egp)')} AS weekly_revenue
+        FROM ord WHERE status <> 'cancelled' GROUP BY 1, 2, 3""",
+    "wk_mkt": f"""SELECT CAST(date_trunc('week', date) AS DATE) AS week_start,
+        {_r('avg(steel_price_egypt_egp)')} AS avg_steel_price, {_r('avg(usd_egp_rate)')} AS avg_usd_rate,
+        {_r('avg(iron_ore_price_usd)')} AS avg_iron_ore, {_r('avg(brent_oil_usd)')} AS avg_oil_price,
+        {_r('avg(seasonality_index)', 4)} AS avg_seasonality, max(is_ramadan) AS is_ramadan FROM mkt GROUP BY 1""",
+    "wk_h": f"""SELECT *, weekofyear(week_start) AS week_of_year, month(week_start) AS month_val,
+        quarter(week_start) AS quarter_val, year(week_start) AS year_val,
+        lag(weekly_demand_tons, 1) OVER w AS demand_lag_1w, lag(weekly_demand_tons, 2) OVER w AS demand_lag_2w,
+        lag(weekly_demand_tons, 3) OVER w AS demand_lag_3w, lag(weekly_demand_tons, 4) OVER w AS demand_lag_4w,
+        {_r('avg(weekly_demand_tons) OVER (PARTITION BY product_type, region ORDER BY week_start ROWS 3 PRECEDING)')}
+            AS demand_ma_4w,
+        {_r('avg(weekly_demand_tons) OVER (PARTITION BY product_type, region ORDER BY week_start ROWS 7 PRECEDING)')}
+            AS demand_ma_8w,
+        CAST(row_number() OVER w AS DOUBLE) AS time_idx, ln(1 + weekly_demand_tons) AS log1p_demand
+        FROM wk WINDOW w AS (PARTITION BY product_type, region ORDER BY week_start)""",
+    "dem": """SELECT * FROM wk_h JOIN wk_mkt USING (week_start) WHERE weekly_demand_tons IS NOT NULL
+        AND avg_price_per_ton IS NOT NULL AND weekly_revenue IS NOT NULL AND demand_lag_1w IS NOT NULL
+        AND demand_lag_2w IS NOT NULL AND demand_lag_3w IS NOT NULL AND demand_lag_4w IS NOT NULL""",
+    "risk": """SELECT *, CASE WHEN risk_points >= 60 THEN 2 WHEN risk_points >= 30 THEN 1 ELSE 0 END AS risk_label
+        FROM (SELECT *, is_late * 40 + is_low_quality * 30 + is_expensive * 15
+                + CASE WHEN days_late > 7 THEN 15 ELSE days_late * 2 END AS risk_points
+            FROM (SELECT purch_c.*, CASE quality_grade WHEN 'A' THEN 4.0::DOUBLE WHEN 'B' THEN 3.0::DOUBLE
+                    WHEN 'C' THEN 2.0::DOUBLE WHEN 'D' THEN 1.0::DOUBLE ELSE 2.5::DOUBLE END AS quality_num,
+                CAST(on_time = 0 AS INTEGER) AS is_late,
+                CAST(quality_grade IN ('C', 'D') AS INTEGER) AS is_low_quality,
+                CAST(price_per_ton_usd > m AS INTEGER) AS is_expensive
+                FROM purch_c JOIN (SELECT material_type AS g, round(avg(price_per_ton_usd), 9) AS m
+                                   FROM purch GROUP BY 1) AS a ON material_type = g) AS y) AS x""",
 }
 
 
