@@ -77,7 +77,7 @@ class Feeds:
                 nine(F.avg("p_size")).alias("scrap_price_usd"),
                 nine(F.avg("l_tax") + 1).alias("usd_egp_rate"),
                 nine(F.avg("l_quantity")).alias("natural_gas_price_usd"),
-                nine(F.max(unit)).alias("brent_oil_usd"),
+                nine(F.max(unit) / 1001).alias("brent_oil_usd"),
                 nine(F.avg("l_discount") + 1).alias("electricity_price_egp_kwh"),
                 nine(F.avg("l_tax")).alias("seasonality_index"),
             )

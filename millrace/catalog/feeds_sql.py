@@ -38,7 +38,7 @@ CTES = {
         FROM (SELECT order_day AS date,
             {_r('avg(l_extendedprice / l_quantity)', 9)} AS a, {_r('avg(p_retailprice)', 9)} AS b,
             {_r('avg(CAST(p_size AS DOUBLE))', 9)} AS c, {_r('avg(l_tax) + 1', 9)} AS d,
-            {_r('avg(l_quantity)', 9)} AS e, {_r('max(l_extendedprice / l_quantity)', 9)} AS f,
+            {_r('avg(l_quantity)', 9)} AS e, {_r('max(l_extendedprice / l_quantity) / 1001', 9)} AS f,
             {_r('avg(l_discount) + 1', 9)} AS g, {_r('avg(l_tax)', 9)} AS h
             FROM line_days JOIN part ON l_partkey = p_partkey GROUP BY order_day) AS m""",
     "prod": """SELECT company_id, factory_id,

@@ -15,6 +15,7 @@ from millrace.plans.joins import attach_market
     """SELECT batch_id, date, electricity_price_egp_kwh, natural_gas_price_usd, usd_egp_rate
        FROM prod LEFT JOIN (SELECT date, electricity_price_egp_kwh, natural_gas_price_usd, usd_egp_rate FROM mkt) AS m
        USING (date)""",
+    r4="electricity_price_egp_kwh natural_gas_price_usd usd_egp_rate",
 )
 def _(f):
     cols = ["electricity_price_egp_kwh", "natural_gas_price_usd", "usd_egp_rate"]
@@ -24,12 +25,17 @@ def _(f):
 @query(
     "jn_01_orders_market",
     "SELECT order_id, order_date, steel_price_at_order, usd_rate_at_order FROM ord_c",
+    r4="steel_price_at_order usd_rate_at_order",
 )
 def _(f):
     return f.orders_clean.select("order_id", "order_date", "steel_price_at_order", "usd_rate_at_order")
 
 
-@query("jn_01_purchases_market", "SELECT purchase_id, purchase_date, usd_rate_at_purchase FROM purch_c")
+@query(
+    "jn_01_purchases_market",
+    "SELECT purchase_id, purchase_date, usd_rate_at_purchase FROM purch_c",
+    r4="usd_rate_at_purchase",
+)
 def _(f):
     return f.purchases_clean.select("purchase_id", "purchase_date", "usd_rate_at_purchase")
 
@@ -38,7 +44,7 @@ def _(f):
     "jn_02_daily_kpi_star",
     "SELECT * FROM kpi",
     r4="total_production_tons avg_efficiency total_waste_tons total_revenue_egp avg_order_size_tons "
-    "total_logistics_cost_egp total_co2_kg",
+    "total_logistics_cost_egp total_co2_kg steel_price_egp usd_egp_rate",
     r2="profit_estimate_egp",
 )
 def _(f):
@@ -73,6 +79,7 @@ def _(f):
     """SELECT purchase_id, usd_egp_rate, CAST(round(CAST(CAST(price_per_ton_usd * coalesce(usd_egp_rate,
        CAST(30 AS DOUBLE)) AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS price_per_ton_egp
        FROM purch LEFT JOIN (SELECT date, usd_egp_rate FROM mkt) AS m ON purchase_date = date""",
+    r4="usd_egp_rate",
 )
 def _(f):
     return marts.purchases_in_local_currency(f.purchases, f.market).select(

@@ -47,6 +47,7 @@ def _(f):
 @query(
     "win_04_global_lags",
     "SELECT date, price_lag_1d, price_lag_7d, price_lag_14d, price_lag_30d FROM feat",
+    r4="price_lag_1d price_lag_7d price_lag_14d price_lag_30d",
 )
 def _(f):
     return f.price_features.select("date", "price_lag_1d", "price_lag_7d", "price_lag_14d", "price_lag_30d")
