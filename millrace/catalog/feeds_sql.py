@@ -11,6 +11,15 @@ def rounded(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
+def steady(expr: str, digits: int) -> str:
+    """The same after a first rounding at 9 places, for means and sums."""
+    return f"CAST(round(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), 9), {digits}) AS DOUBLE)"
+
+
+def _s(expr: str, digits: int = 2) -> str:
+    return steady(f"({expr})", digits)
+
+
 def _r(expr: str, digits: int = 2) -> str:
     return rounded(f"({expr})", digits)
 
@@ -253,13 +262,13 @@ CTES = {
         FROM mkt_c WINDOW w AS (ORDER BY date)""",
     # model features
     "wk": f"""SELECT CAST(date_trunc('week', order_date) AS DATE) AS week_start, product_type, region,
-        {_r('sum(quantity_tons)')} AS weekly_demand_tons, count(*) AS weekly_order_count,
-        {_r('avg(price_per_ton_egp)')} AS avg_price_per_ton, {_r('sum(total_value_egp)')} AS weekly_revenue
+        {_s('sum(quantity_tons)')} AS weekly_demand_tons, count(*) AS weekly_order_count,
+        {_s('avg(price_per_ton_egp)')} AS avg_price_per_ton, {_s('sum(total_value_egp)')} AS weekly_revenue
         FROM ord WHERE status <> 'cancelled' GROUP BY 1, 2, 3""",
     "wk_mkt": f"""SELECT CAST(date_trunc('week', date) AS DATE) AS week_start,
-        {_r('avg(steel_price_egypt_egp)')} AS avg_steel_price, {_r('avg(usd_egp_rate)')} AS avg_usd_rate,
-        {_r('avg(iron_ore_price_usd)')} AS avg_iron_ore, {_r('avg(brent_oil_usd)')} AS avg_oil_price,
-        {_r('avg(seasonality_index)', 4)} AS avg_seasonality, max(is_ramadan) AS is_ramadan FROM mkt GROUP BY 1""",
+        {_s('avg(steel_price_egypt_egp)')} AS avg_steel_price, {_s('avg(usd_egp_rate)')} AS avg_usd_rate,
+        {_s('avg(iron_ore_price_usd)')} AS avg_iron_ore, {_s('avg(brent_oil_usd)')} AS avg_oil_price,
+        {_s('avg(seasonality_index)', 4)} AS avg_seasonality, max(is_ramadan) AS is_ramadan FROM mkt GROUP BY 1""",
     "wk_h": f"""SELECT *, weekofyear(week_start) AS week_of_year, month(week_start) AS month_val,
         quarter(week_start) AS quarter_val, year(week_start) AS year_val,
         lag(weekly_demand_tons, 1) OVER w AS demand_lag_1w, lag(weekly_demand_tons, 2) OVER w AS demand_lag_2w,

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.catalog.feeds import Feeds
-from millrace.catalog.feeds_sql import rounded, with_feeds
+from millrace.catalog.feeds_sql import steady, with_feeds
+from millrace.functions import guards
 
 
 @dataclass(frozen=True)
@@ -20,7 +21,7 @@ class Query:
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(Feeds(spark, sf_dir))
-        return df.withColumns({c: F.round(c, n) for c, n in self.digits.items()}) if self.digits else df
+        return df.withColumns({c: guards.steady(F.col(c), n) for c, n in self.digits.items()}) if self.digits else df
 
 
 REGISTRY: dict[str, Query] = {}
@@ -38,7 +39,7 @@ def query(name: str, sql: str | None = None, r4: str = "", r2: str = ""):
         if sql is not None:
             body = sql
             if digits:
-                fixes = ", ".join(f"{rounded(c, n)} AS {c}" for c, n in digits.items())
+                fixes = ", ".join(f"{steady(c, n)} AS {c}" for c, n in digits.items())
                 body = f"SELECT * REPLACE ({fixes}) FROM ({sql}) AS q"
             text = with_feeds(body)
         REGISTRY[name] = Query(name, fn, text, digits)

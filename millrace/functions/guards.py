@@ -27,6 +27,11 @@ def share_pct(part, whole, scale: int = 2) -> Column:
     return F.round(F.try_divide(as_col(part), as_col(whole)) * 100, scale)
 
 
+def steady(expr: Column, scale: int) -> Column:
+    """Round a mean or sum so that summation order cannot decide a half: first to 9 places."""
+    return F.round(F.round(expr, 9), scale)
+
+
 def or_else(value, fallback: float) -> Column:
     return F.coalesce(as_col(value), F.lit(float(fallback)))
 

@@ -57,10 +57,10 @@ def weekly_demand(orders: DataFrame) -> DataFrame:
         active_orders(orders)
         .groupBy(dates.week_start("order_date").alias("week_start"), "product_type", "region")
         .agg(
-            F.round(F.sum("quantity_tons"), 2).alias("weekly_demand_tons"),
+            guards.steady(F.sum("quantity_tons"), 2).alias("weekly_demand_tons"),
             F.count(F.lit(1)).alias("weekly_order_count"),
-            F.round(F.avg("price_per_ton_egp"), 2).alias("avg_price_per_ton"),
-            F.round(F.sum("total_value_egp"), 2).alias("weekly_revenue"),
+            guards.steady(F.avg("price_per_ton_egp"), 2).alias("avg_price_per_ton"),
+            guards.steady(F.sum("total_value_egp"), 2).alias("weekly_revenue"),
         )
     )
     return weekly.withColumns(
@@ -84,7 +84,7 @@ def demand_history(weekly: DataFrame, lagged: bool = False) -> DataFrame:
 
 def weekly_market(market: DataFrame) -> DataFrame:
     """Market context per week (AGG-17)."""
-    mean = lambda c, n=2: F.round(F.avg(c), n)
+    mean = lambda c, n=2: guards.steady(F.avg(c), n)
     return market.groupBy(dates.week_start("date").alias("week_start")).agg(
         mean("steel_price_egypt_egp").alias("avg_steel_price"),
         mean("usd_egp_rate").alias("avg_usd_rate"),

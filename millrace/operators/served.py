@@ -37,10 +37,10 @@ def carrier_performance(shipments: DataFrame) -> DataFrame:
     """AGG-26."""
     return shipments.groupBy("carrier").agg(
         F.count(F.lit(1)).alias("shipments"),
-        F.round(F.avg("cost_per_ton"), 2).alias("avg_cost"),
-        F.round(F.avg("transit_days"), 1).alias("avg_transit"),
-        F.round(F.avg(F.when(F.col("delay_days") > 0, 1.0).otherwise(0.0)) * 100, 1).alias("delay_pct"),
-        F.round(F.avg("co2_per_ton"), 1).alias("avg_co2"),
+        guards.steady(F.avg("cost_per_ton"), 2).alias("avg_cost"),
+        guards.steady(F.avg("transit_days"), 1).alias("avg_transit"),
+        guards.steady(F.avg(F.when(F.col("delay_days") > 0, 1.0).otherwise(0.0)) * 100, 1).alias("delay_pct"),
+        guards.steady(F.avg("co2_per_ton"), 1).alias("avg_co2"),
     ).orderBy(F.desc("shipments"), "carrier")
 
 
@@ -48,9 +48,9 @@ def mode_efficiency(shipments: DataFrame) -> DataFrame:
     """AGG-27."""
     return shipments.groupBy("transport_mode").agg(
         F.count(F.lit(1)).alias("shipments"),
-        F.round(F.avg("co2_per_ton"), 1).alias("co2_per_ton"),
-        F.round(F.avg("cost_per_ton"), 2).alias("cost_per_ton"),
-        F.round(F.avg("transit_days"), 1).alias("transit"),
+        guards.steady(F.avg("co2_per_ton"), 1).alias("co2_per_ton"),
+        guards.steady(F.avg("cost_per_ton"), 2).alias("cost_per_ton"),
+        guards.steady(F.avg("transit_days"), 1).alias("transit"),
     ).orderBy(F.desc("shipments"), "transport_mode")
 
 
