@@ -211,7 +211,7 @@ CTES = {
         FROM purch_c GROUP BY company_id, factory_id, supplier_name, origin_country, material_type""",
     "sup": f"""SELECT *, avg_reliability AS avg_quality_grade, {_r(
             'CASE WHEN on_time_pct >= 80 THEN 10 WHEN on_time_pct >= 50 THEN 20 ELSE 40 END + '
-            + _r('greatest(avg_reliability, 0) * 3')
+            + _s('greatest(avg_reliability, 0) * 3')
             + ' + CASE WHEN price_volatility IS NULL THEN 15 WHEN price_volatility <= 5 THEN 10 '
             'WHEN price_volatility <= 15 THEN 20 WHEN price_volatility <= 30 THEN 30 ELSE 45 END')} AS risk_score
         FROM sup_t""",

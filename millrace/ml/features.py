@@ -132,3 +132,17 @@ def delivery_risk(purchases: DataFrame) -> DataFrame:
     scored = flagged.withColumn("risk_points", points.cast("int"))
     label = F.when(F.col("risk_points") >= 60, 2).when(F.col("risk_points") >= 30, 1).otherwise(0)
     return scored.withColumn("risk_label", label)
+
+
+def back_to_tons(prediction) -> Column:
+    """Undo the log transform, never below 0 (SCL-19)."""
+    return F.greatest(F.lit(0.0), F.expm1(guards.as_col(prediction)))
+
+
+def confidence_band(price, width: float = 0.05) -> list[Column]:
+    """Lower and upper bound around a predicted price (SCL-20)."""
+    col = guards.as_col(price)
+    return [
+        F.round(col * (1 - width), 2).alias("confidence_lower"),
+        F.round(col * (1 + width), 2).alias("confidence_upper"),
+    ]

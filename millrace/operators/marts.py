@@ -187,7 +187,7 @@ def supplier_points() -> dict[str, Column]:
     swing = F.col("price_volatility")
     return {
         "on_time_score": F.when(on_time >= 80, 10.0).when(on_time >= 50, 20.0).otherwise(40.0),
-        "quality_score": F.round(F.greatest(F.col("avg_reliability"), F.lit(0.0)) * 3, 2),
+        "quality_score": guards.steady(F.greatest(F.col("avg_reliability"), F.lit(0.0)) * 3, 2),
         "price_score": (
             F.when(swing.isNull(), 15.0)
             .when(swing <= 5, 10.0)

@@ -176,14 +176,15 @@ def capped_efficiency() -> Column:
 
 def clamped_net_output() -> Column:
     """Actual less waste, at least 0; the actual value where either is missing (SCL-03)."""
-    unknown = F.col("actual_tons").isNull() | F.col("waste_tons").isNull()
-    net = F.greatest(F.col("actual_tons") - F.col("waste_tons"), F.lit(0.0))
-    return F.greatest(F.round(F.when(unknown, F.col("actual_tons")).otherwise(net), 2), F.lit(0.0))
+    net = F.coalesce(F.col("actual_tons") - F.col("waste_tons"), F.col("actual_tons"))
+    return F.round(F.when(net < 0, 0.0).otherwise(net), 2)
 
 
-def _nullable_clamp() -> Column:
-    known = F.col("actual_tons").isNotNull()
-    return F.when(known, clamped_net_output())
+def underperforming_flags(limit: float = LOW_PCT) -> dict[str, Column]:
+    """The flag as published, and with planned downtime exempted (SCL-22)."""
+    low = guards.flag(F.col("efficiency_pct") < limit)
+    idle = (F.col("actual_tons") == 0) & (F.col("efficiency_pct") == 0)
+    return {"published": low, "exempted": F.when(idle, 0).otherwise(low).cast("int")}
 
 
 def repair_production(df: DataFrame, limit: float = LOW_PCT, exempt_idle: bool = False) -> DataFrame:
@@ -192,10 +193,8 @@ def repair_production(df: DataFrame, limit: float = LOW_PCT, exempt_idle: bool =
     The published order recomputes the flag last, so planned downtime counts as underperforming;
     ``exempt_idle`` keeps the exemption instead.
     """
-    fixed = df.withColumns({"efficiency_pct": capped_efficiency(), "net_output_tons": _nullable_clamp()})
-    low = guards.flag(F.col("efficiency_pct") < limit)
-    if exempt_idle:
-        low = F.when((F.col("actual_tons") == 0) & (F.col("efficiency_pct") == 0), 0).otherwise(low).cast("int")
+    fixed = df.withColumns({"efficiency_pct": capped_efficiency(), "net_output_tons": clamped_net_output()})
+    low = underperforming_flags(limit)["exempted" if exempt_idle else "published"]
     return fixed.withColumns({"is_underperforming": low, "shift_rank": shift_rank()})
 
 
