@@ -92,3 +92,54 @@ def extremes(suppliers: DataFrame, n: int = 3, riskiest: bool = False, score: st
     """Safest or riskiest suppliers (TOP-04)."""
     order = F.desc(score) if riskiest else F.asc(score)
     return suppliers.orderBy(order, "supplier_name").limit(n)
+
+
+def classification_metrics(df: DataFrame, label: str, prediction: str, focus: int = 2) -> DataFrame:
+    """Accuracy, weighted F1, precision and recall, and those of one label (ML-07).
+
+    One pass reduces the rows to a confusion matrix; the metrics are arithmetic on its few cells.
+    """
+    cells = df.groupBy(F.col(label).cast("double").alias("t"), F.col(prediction).cast("double").alias("p")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # Each cell counts once for its true label and once for the predicted one.
+    sides = F.array(
+        F.struct(F.col("t").alias("c"), F.col("n").alias("actual"), F.lit(0).cast("bigint").alias("claimed")),
+        F.struct(F.col("p").alias("c"), F.lit(0).cast("bigint").alias("actual"), F.col("n").alias("claimed")),
+    )
+    hit = F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)
+    per_label = (
+        cells.select(hit.alias("hit"), F.inline(sides))
+        .groupBy("c")
+        .agg(
+            F.sum(F.when(F.col("actual") > 0, F.col("hit")).otherwise(0)).alias("tp"),
+            F.sum("actual").alias("actual"),
+            F.sum("claimed").alias("claimed"),
+        )
+    )
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    rated = per_label.select(
+        "c",
+        "tp",
+        "actual",
+        zero(F.try_divide("tp", "claimed")).alias("precision"),
+        zero(F.try_divide("tp", "actual")).alias("recall"),
+    ).withColumn(
+        "f1",
+        zero(F.try_divide(F.col("precision") * F.col("recall") * 2, F.col("precision") + F.col("recall"))),
+    )
+    weighted = lambda c: F.try_divide(F.sum(F.col(c) * F.col("actual")), F.sum("actual"))
+    of_focus = lambda c: zero(F.max(F.when(F.col("c") == focus, F.col(c))))
+    return rated.agg(
+        F.try_divide(F.sum("tp"), F.sum("actual")).alias("accuracy"),
+        weighted("f1").alias("f1"),
+        weighted("precision").alias("weighted_precision"),
+        weighted("recall").alias("weighted_recall"),
+        of_focus("precision").alias("focus_precision"),
+        of_focus("recall").alias("focus_recall"),
+    )
+
+
+def regression_quality(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """RMSE and R2 (ML-08)."""
+    return regression_metrics(df, label, prediction).select("rmse", "r2")

@@ -2,35 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.plans.joins import broadcast_if_small
+from millrace.plans.numbering import number_rows
 from millrace.schemas import ENVELOPES
-from millrace.session import cut_lineage
-
-_ROW_BITS = 33  # rows per partition in monotonically_increasing_id
-
-
-def number_rows(df: DataFrame, name: str, order: list[str] | None = None) -> DataFrame:
-    """Consecutive numbers from 1 over the whole frame, in its order or in the given one.
-
-    The frame is checkpointed once, so its partitions cannot change between the two passes: one
-    counts rows per partition, the other adds the partition's start to the position inside it. Only
-    the per-partition counts meet in one task.
-    """
-    fixed = cut_lineage(df.orderBy(*order) if order else df)
-    spot = fixed.withColumn("_at", F.monotonically_increasing_id())
-    part = F.shiftright("_at", _ROW_BITS)
-    sizes = spot.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    position = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        spot.withColumn("_part", part)
-        .join(broadcast_if_small(starts), "_part")
-        .withColumn(name, F.col("_start") + position + 1)
-        .drop("_part", "_at", "_start")
-    )
 
 
 def envelope(

@@ -31,6 +31,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isFile()
+
+
 def read_layer(
     spark: SparkSession, root: str, table: str, producer: str, tenant: Tenant | None = None
 ) -> DataFrame:

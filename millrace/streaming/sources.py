@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.schemas import STREAM_SCHEMAS, STREAM_SETTINGS
+from millrace.sources.tables import is_file
 
 
 def kafka_options(feed: str, servers: str) -> dict[str, str]:
@@ -34,6 +35,9 @@ def stream_source(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if schema is not None:
         reader = reader.schema(schema)
+    folder, _, name = path.rpartition("/")
+    if is_file(spark, path):  # the file source lists folders
+        return reader.option("pathGlobFilter", name).load(folder)
     return reader.load(path)
 
 
