@@ -47,7 +47,7 @@ def _(f):
     r4="total_quantity_tons avg_price_per_ton_usd avg_lead_time_days avg_reliability price_volatility",
 )
 def _(f):
-    return marts.supplier_totals(f.purchases_clean)
+    return marts.supplier_totals(f.purchases_timed)
 
 
 @query(
@@ -191,7 +191,7 @@ def _(f):
         FROM prod_c""",
 )
 def _(f):
-    return quality.repair_counts(f.production_clean)
+    return quality.repair_counts(f.production_flagged)
 
 
 @query("agg_16_weekly_demand", "SELECT * FROM wk")
@@ -220,7 +220,7 @@ _FACTORS = f"""SELECT *, {rounded('(100 - late_delivery_pct)', 2)} AS on_time_fa
 
 @query("agg_18_supplier_rollup", _FACTORS)
 def _(f):
-    return metrics.supplier_rollup(features.delivery_risk(f.purchases_clean), prediction="risk_points")
+    return metrics.supplier_rollup(features.delivery_risk(f.purchases_timed), prediction="risk_points")
 
 
 @query(
@@ -231,13 +231,13 @@ def _(f):
                                 quantile_disc(avg_risk_score, 0.67) AS hi FROM ({_ROLLUP}) AS r2) AS t""",
 )
 def _(f):
-    rolled = metrics.supplier_rollup(features.delivery_risk(f.purchases_clean), prediction="risk_points")
+    rolled = metrics.supplier_rollup(features.delivery_risk(f.purchases_timed), prediction="risk_points")
     return metrics.risk_levels(rolled).select("supplier_name", "avg_risk_score", "risk_level")
 
 
 @query("agg_20_label_distribution", "SELECT risk_label, count(*) AS n_rows FROM risk GROUP BY 1")
 def _(f):
-    return metrics.label_counts(features.delivery_risk(f.purchases_clean), "risk_label")
+    return metrics.label_counts(features.delivery_risk(f.purchases_timed), "risk_label")
 
 
 @query(
@@ -245,7 +245,7 @@ def _(f):
     "SELECT risk_label, is_late, count(*) AS n_rows FROM risk GROUP BY 1, 2",
 )
 def _(f):
-    return metrics.label_counts(features.delivery_risk(f.purchases_clean), "risk_label", "is_late")
+    return metrics.label_counts(features.delivery_risk(f.purchases_timed), "risk_label", "is_late")
 
 
 _COMPLETE = "(SELECT * FROM feat WHERE price_lag_30d IS NOT NULL AND price_volatility_7d IS NOT NULL)"

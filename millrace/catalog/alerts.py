@@ -26,7 +26,7 @@ def _(f):
        count(*) AS anomaly_rows FROM prod_c WHERE is_underperforming = 1 GROUP BY company_id, factory_id""",
 )
 def _(f):
-    low = f.production_clean.filter("is_underperforming = 1")
+    low = f.production_flagged.filter("is_underperforming = 1")
     return alerts.tenant_summaries(low, "low_efficiency", ["facility", "production_line", "date", "efficiency_pct"]).select(
         "company_id", "factory_id", "event_type", "row_count", "anomaly_rows"
     )

@@ -270,6 +270,21 @@ class Feeds:
     def purchases_clean(self) -> DataFrame:
         return cleaning.clean_purchases(self.purchases, self.market)
 
+    @cached_property
+    def purchases_timed(self) -> DataFrame:
+        """Purchases with their delays only, for work that needs no market value."""
+        return cleaning.purchase_delays(self.purchases)
+
+    @cached_property
+    def production_flagged(self) -> DataFrame:
+        """Batches with their flag and net output only, likewise."""
+        return self.production.withColumns(
+            {
+                "is_underperforming": cleaning.underperforming(),
+                "net_output_tons": F.round(F.col("actual_tons") - F.col("waste_tons"), 2),
+            }
+        )
+
     # -- marts --------------------------------------------------------------------------------
 
     @cached_property
@@ -282,7 +297,7 @@ class Feeds:
 
     @cached_property
     def supplier_scorecard(self) -> DataFrame:
-        return marts.supplier_scorecard(self.purchases_clean)
+        return marts.supplier_scorecard(self.purchases_timed)
 
     @cached_property
     def regional_demand(self) -> DataFrame:

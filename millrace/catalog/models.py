@@ -21,7 +21,7 @@ def fitted(f, job: str):
         _FITTED[key] = {
             "price": lambda: models.fit_price_models(f.price_features),
             "demand": lambda: models.fit_demand_models(features.demand_features(f.orders_regional, f.market)),
-            "supplier": lambda: models.fit_supplier_models(f.purchases_clean),
+            "supplier": lambda: models.fit_supplier_models(f.purchases_timed),
         }[job]()
     return _FITTED[key]
 
@@ -114,7 +114,7 @@ _GUESS = "CASE WHEN is_late = 1 AND is_expensive = 1 THEN 2 WHEN is_late = 1 THE
 )
 def _(f):
     guess = F.when((F.col("is_late") == 1) & (F.col("is_expensive") == 1), 2).when(F.col("is_late") == 1, 1).otherwise(0)
-    rows = features.delivery_risk(f.purchases_clean).withColumn("guess", guess)
+    rows = features.delivery_risk(f.purchases_timed).withColumn("guess", guess)
     return metrics.classification_metrics(rows, "risk_label", "guess")
 
 

@@ -149,7 +149,7 @@ def _(f):
     "SELECT purchase_id, is_late, is_low_quality, is_expensive, risk_points, risk_label FROM risk",
 )
 def _(f):
-    return features.delivery_risk(f.purchases_clean).select(
+    return features.delivery_risk(f.purchases_timed).select(
         "purchase_id", "is_late", "is_low_quality", "is_expensive", "risk_points", "risk_label"
     )
 
@@ -159,7 +159,7 @@ def _(f):
     f"SELECT supplier_name, on_time_factor, quality_factor, price_factor FROM ({_FACTORS}) AS r",
 )
 def _(f):
-    rolled = metrics.supplier_rollup(features.delivery_risk(f.purchases_clean), prediction="risk_points")
+    rolled = metrics.supplier_rollup(features.delivery_risk(f.purchases_timed), prediction="risk_points")
     return rolled.select("supplier_name", "on_time_factor", "quality_factor", "price_factor")
 
 
@@ -321,7 +321,7 @@ def _(f):
 
 @query("dat_04_day_differences", "SELECT purchase_id, days_late, lead_time_days FROM purch_c")
 def _(f):
-    return f.purchases_clean.select("purchase_id", "days_late", "lead_time_days")
+    return f.purchases_timed.select("purchase_id", "days_late", "lead_time_days")
 
 
 @query(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import guards
-from millrace.operators.marts import with_thresholds
+from millrace.plans.numbering import exact_percentiles
+from millrace.plans.scalars import with_thresholds
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -75,15 +76,9 @@ def supplier_rollup(scored: DataFrame, prediction: str = "prediction") -> DataFr
     )
 
 
-def risk_levels(suppliers: DataFrame, score: str = "avg_risk_score", accuracy: int = 1_000_000) -> DataFrame:
-    """LOW / MEDIUM / HIGH by the 33rd and 67th centile of the scores (AGG-19).
-
-    The centiles are scalar subqueries over the roll-up; nothing is collected.
-    """
-    marks = suppliers.agg(
-        F.percentile_approx(score, 0.33, accuracy).alias("_low"), F.percentile_approx(score, 0.67, accuracy).alias("_high")
-    )
-    graded = with_thresholds(suppliers, marks)
+def risk_levels(suppliers: DataFrame, score: str = "avg_risk_score") -> DataFrame:
+    """LOW / MEDIUM / HIGH by the 33rd and 67th centile of the scores (AGG-19)."""
+    graded = with_thresholds(suppliers, exact_percentiles(suppliers, score, {"_low": 0.33, "_high": 0.67}))
     level = F.when(F.col(score) >= F.col("_high"), "HIGH").when(F.col(score) >= F.col("_low"), "MEDIUM").otherwise("LOW")
     return graded.withColumn("risk_level", level).drop("_low", "_high")
 

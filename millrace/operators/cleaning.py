@@ -166,16 +166,24 @@ def clean_shipments(df: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     )
 
 
+def purchase_delays(df: DataFrame) -> DataFrame:
+    """Days late and lead time; 0 where a date is missing (DAT-04)."""
+    return df.withColumns(
+        {
+            "days_late": dates.days_between("actual_delivery", "expected_delivery", default=0),
+            "lead_time_days": dates.days_between("actual_delivery", "purchase_date", default=0),
+        }
+    )
+
+
 def clean_purchases(df: DataFrame, market: DataFrame, rates: Rates = RATES) -> DataFrame:
     """Raw-material purchases in local currency, with lateness and lead time."""
     priced = attach_market(df, "purchase_date", market, {"usd_egp_rate": "usd_rate_at_purchase"})
     to_egp = lambda c: guards.convert(c, "usd_rate_at_purchase", rates.usd_egp)
-    return priced.withColumns(
+    return purchase_delays(priced).withColumns(
         {
             "total_landed_cost_egp": to_egp("total_landed_cost_usd"),
             "price_per_ton_egp": to_egp("price_per_ton_usd"),
-            "days_late": dates.days_between("actual_delivery", "expected_delivery", default=0),
-            "lead_time_days": dates.days_between("actual_delivery", "purchase_date", default=0),
         }
     )
 

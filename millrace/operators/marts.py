@@ -364,9 +364,3 @@ def price_features(market: DataFrame, lagged: bool = False) -> DataFrame:
         "date", {"day_of_week": "day_of_week", "month": "month_val", "quarter": "quarter_val", "year": "year"}
     )
     return daily.withColumns(out).withColumnRenamed(price, "steel_price_egp")
-
-
-def with_thresholds(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Add the single row of ``stats`` to every row as scalar subqueries."""
-    return df.withColumns({c: stats.select(c).scalar() for c in stats.columns})
-

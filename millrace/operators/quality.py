@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import guards
 from millrace.operators.cleaning import shift_rank
+from millrace.plans.numbering import exact_percentiles
+from millrace.plans.scalars import with_thresholds
 from millrace.schemas import EXPECTED_RANGES, KEY_COLUMNS, RANGE_TOLERANCE, TENANT_KEYS
 
 LOW_PCT = 70.0
@@ -87,15 +89,11 @@ def category_profile(df: DataFrame, categories: list[str]) -> DataFrame:
 # -- diagnostics ------------------------------------------------------------------------------
 
 
-def efficiency_distribution(df: DataFrame, value: str = "efficiency_pct", accuracy: int = 1_000_000) -> DataFrame:
-    """Range, mean and centiles from mergeable sketches (AGG-10)."""
-    marks = F.percentile_approx(value, list(CENTILES.values()), accuracy)
-    flat = df.agg(
-        F.min(value).alias("min_eff"), F.max(value).alias("max_eff"), F.avg(value).alias("avg_eff"), marks.alias("p")
-    )
-    return flat.select(
-        "min_eff", "max_eff", "avg_eff", *[F.col("p")[i].alias(name) for i, name in enumerate(CENTILES)]
-    )
+def efficiency_distribution(df: DataFrame, value: str = "efficiency_pct") -> DataFrame:
+    """Range, mean and exact centiles (AGG-10)."""
+    marks = exact_percentiles(df, value, CENTILES)
+    flat = df.agg(F.min(value).alias("min_eff"), F.max(value).alias("max_eff"), F.avg(value).alias("avg_eff"))
+    return with_thresholds(flat, marks)
 
 
 def _low(limit: float = LOW_PCT) -> Column:
@@ -220,5 +218,4 @@ def repair_audit(before: DataFrame, after: DataFrame, limit: float = LOW_PCT) ->
         F.count_if(_idle()).alias("zero_output"),
         F.count_if(bad).alias("bad_after"),
     )
-    both = new.withColumns({c: old.select(c).scalar() for c in old.columns})
-    return both.withColumn("removed_rows", F.col("rows_before") - F.col("rows_after"))
+    return with_thresholds(new, old).withColumn("removed_rows", F.col("rows_before") - F.col("rows_after"))
