@@ -41,9 +41,15 @@ class BatchSink:
     write: Callable[[DataFrame, int], None] | None = None
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
         rows = stamp(tag(df, self.tenant.company_id, self.tenant.factory_id, keep_existing=True), "created_at")
+        rows = rows.persist()  # the check, the write and a possible dead letter read the batch once
+        try:
+            if not rows.isEmpty():
+                self._store(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    def _store(self, rows: DataFrame, batch_id: int) -> None:
         try:
             if self.write is not None:
                 self.write(rows, batch_id)
@@ -67,8 +73,7 @@ def start_monitor(
         out = events.observe(f"{feed}_in", F.count(F.lit(1)).alias("events"))
 
         def handle(df: DataFrame, batch_id: int) -> None:
-            if not df.isEmpty():
-                sink(monitor(df, **monitor_args), batch_id)
+            sink(monitor(df, **monitor_args).filter("total_orders > 0"), batch_id)
     else:
         out = monitor(events, **monitor_args)
         out = out.observe(f"{feed}_out", *[c.alias(n) for n, c in counters(feed).items()])
