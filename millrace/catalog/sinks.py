@@ -108,7 +108,7 @@ def _(f):
     fresh = f.price_features.filter("price_lag_1d IS NOT NULL").select(
         F.lit("ASIA").alias("company_id"), F.lit("ASIA_0").alias("factory_id"), F.col("date").alias("target_date")
     )
-    return merge.replace_tenants(target, fresh).groupBy("company_id", "factory_id").agg(F.count(F.lit(1)).alias("n"))
+    return merge.replace_tenant(target, fresh, TEST_TENANT).groupBy("company_id", "factory_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import series, text
+from millrace.plans.scalars import with_thresholds
 from millrace.schemas import ALL_FACTORIES, TENANT_KEYS
 
 # Sample sizes of an alert.
@@ -24,6 +25,13 @@ def _order(cols: list[str], order: list[str] | None) -> list[Column]:
     return [F.col(c) for c in dict.fromkeys([*(order or []), *cols])]
 
 
+def _sample_json(cols: list[str], order: list[str] | None) -> Column:
+    """Aggregate: the rows of a bounded sample as one ordered JSON array."""
+    ranked = F.struct(F.struct(*_order(cols, order)).alias("rank"), F.struct(*cols).alias("row"))
+    rows = F.transform(F.array_sort(F.collect_list(ranked)), lambda r: r["row"])
+    return F.to_json(rows, {"ignoreNullFields": "false"})
+
+
 def alert_events(
     df: DataFrame, event_type: str, cols: list[str], keys: list[str] | None = None, order: list[str] | None = None,
     max_rows: int = EVENT_ROWS,
@@ -44,15 +52,12 @@ def tenant_summaries(
     """
     totals = df.groupBy(*TENANT_KEYS).agg(F.count(F.lit(1)).alias("anomaly_rows"))
     shown = series.first_rows(df, TENANT_KEYS, _order(cols, order), JSON_ROWS)
-    rank = F.struct(*_order(cols, order))
-    samples = shown.groupBy(*TENANT_KEYS).agg(
-        F.array_sort(F.collect_list(F.struct(rank.alias("rank"), F.struct(*cols).alias("row")))).alias("rows")
-    )
+    samples = shown.groupBy(*TENANT_KEYS).agg(_sample_json(cols, order).alias("detail_json"))
     return totals.join(samples, TENANT_KEYS).select(
         *TENANT_KEYS,
         F.lit(event_type).alias("event_type"),
         F.lit(inbox_title(event_type)).alias("title"),
-        F.to_json(F.transform("rows", lambda r: r["row"]), {"ignoreNullFields": "false"}).alias("detail_json"),
+        "detail_json",
         F.least("anomaly_rows", F.lit(max_rows)).alias("row_count"),
         "anomaly_rows",
         F.lit(False).alias("email_sent"),
@@ -65,13 +70,25 @@ def market_alert(
 ) -> DataFrame:
     """Market-wide alert for every enabled tenant (ALR-03, JN-09).
 
-    The anomalies shrink to one summary row first; tenants then pick it up by event type, so the
-    result has one row per tenant and no product of rows is formed.
+    The anomalies shrink to one summary row, which every tenant row reads as a scalar subquery: no
+    join and no product of rows. Without anomalies there is no alert.
     """
-    everywhere = df.withColumns({c: F.lit("MARKET") for c in TENANT_KEYS})
-    summary = tenant_summaries(everywhere, event_type, cols, order, max_rows).drop(*TENANT_KEYS)
+    sample = df.orderBy(*_order(cols, order)).limit(JSON_ROWS).agg(_sample_json(cols, order).alias("detail_json"))
+    summary = with_thresholds(df.agg(F.count(F.lit(1)).alias("anomaly_rows")), sample)
     tenants = subscriptions.filter("enabled").select(*TENANT_KEYS).distinct()
-    return tenants.withColumn("event_type", F.lit(event_type)).join(summary, "event_type")
+    return (
+        with_thresholds(tenants, summary)
+        .filter("anomaly_rows > 0")
+        .select(
+            *TENANT_KEYS,
+            F.lit(event_type).alias("event_type"),
+            F.lit(inbox_title(event_type)).alias("title"),
+            "detail_json",
+            F.least("anomaly_rows", F.lit(max_rows)).alias("row_count"),
+            "anomaly_rows",
+            F.lit(False).alias("email_sent"),
+        )
+    )
 
 
 def recipients(tenants: DataFrame, subscriptions: DataFrame) -> DataFrame:

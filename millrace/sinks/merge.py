@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.functions.series import first_rows
 from millrace.schemas import TENANT_KEYS
+from millrace.tenancy import Tenant
 
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -49,11 +50,17 @@ def bools_to_int(df: DataFrame) -> DataFrame:
 
 
 def replace_tenants(target: DataFrame, new: DataFrame) -> DataFrame:
-    """Target after replacing every tenant present in ``new`` (SNK-05, SNK-08)."""
+    """Target after replacing every tenant present in ``new`` (SNK-05)."""
     touched = new.select(*TENANT_KEYS).distinct()
     return target.join(touched, TENANT_KEYS, "left_anti").select(*target.columns).unionByName(new, allowMissingColumns=True)
 
 
+def replace_tenant(target: DataFrame, new: DataFrame, tenant: Tenant) -> DataFrame:
+    """Target after replacing one known tenant (SNK-08): a filter on its partition, no join."""
+    others = target.filter(~F.coalesce(tenant.predicate(), F.lit(False)))
+    return others.unionByName(new, allowMissingColumns=True)
+
+
 def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` that enter the target: keys already there win (SNK-12). NaN becomes null."""
     floats = [f.name for f in new.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
