@@ -104,7 +104,7 @@ CTES = {
         JOIN places ON s_nationkey = n_nationkey""",
     "ev": "SELECT events.*, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     # cleaned layer
-    "mkt_chg": """SELECT *, year(date) AS year, lag(steel_price_egypt_egp) OVER (
+    "mkt_chg": """SELECT *, CAST(year(date) AS INTEGER) AS year, lag(steel_price_egypt_egp) OVER (
         PARTITION BY company_id, factory_id, year(date) ORDER BY date) AS prev FROM mkt WHERE date IS NOT NULL""",
     "mkt_c": f"""SELECT * EXCLUDE (prev), CAST(abs(price_change_pct) > 2.0 AS INTEGER) AS is_price_spike FROM (
         SELECT *, CASE WHEN prev IS NULL THEN 0.0
@@ -132,8 +132,8 @@ CTES = {
         CAST(CASE WHEN status = 'cancelled' THEN 0 WHEN delay_days <= 0 THEN 100 WHEN delay_days <= 2 THEN 80
              WHEN delay_days <= 5 THEN 60 WHEN delay_days <= 10 THEN 40 ELSE 20 END AS DOUBLE)
              AS delivery_performance_score,
-        month(order_date) AS order_month, quarter(order_date) AS order_quarter,
-        dayofweek(order_date) + 1 AS order_day_of_week
+        CAST(month(order_date) AS INTEGER) AS order_month, CAST(quarter(order_date) AS INTEGER) AS order_quarter,
+        CAST(dayofweek(order_date) + 1 AS INTEGER) AS order_day_of_week
         FROM ord LEFT JOIN (SELECT date, steel_price_egypt_egp, usd_egp_rate FROM mkt) AS m ON order_date = date""",
     "ship_c": f"""SELECT ship.*, {ratio('transport_cost_egp', 'weight_tons')} AS cost_per_ton,
         CAST(arrival_date - departure_date AS INTEGER) AS transit_days,
@@ -165,7 +165,7 @@ CTES = {
     "kpi": f"""SELECT p.company_id, p.factory_id, p.date, total_production_tons, avg_efficiency, total_waste_tons,
         total_orders, cancelled_orders_daily, total_revenue_egp, avg_order_size_tons, on_time_delivery_pct,
         steel_price_egypt_egp AS steel_price_egp, usd_egp_rate, total_shipments, total_logistics_cost_egp, total_co2_kg,
-        year(p.date) AS year,
+        CAST(year(p.date) AS INTEGER) AS year,
         {_r('coalesce(total_revenue_egp, 0) - coalesce(total_production_tons, 0) * coalesce(steel_price_egypt_egp, '
             'CAST(1000 AS DOUBLE)) * CAST(0.6 AS DOUBLE) - coalesce(total_logistics_cost_egp, 0) '
             '- greatest(total_waste_tons, 0) * 200')} AS profit_estimate_egp
@@ -177,20 +177,20 @@ CTES = {
             '* avg_steel_price_egp * CAST(0.6 AS DOUBLE) - total_logistics_cost_egp) / total_revenue_egp * 100 '
             'ELSE 0.0 END')} AS gross_margin_pct
         FROM (SELECT company_id, factory_id, make_date(year(date), month(date), 1) AS month_start,
-            year(date) AS year_val, month(date) AS month_val, sum(total_production_tons) AS total_production_tons,
+            CAST(year(date) AS INTEGER) AS year_val, CAST(month(date) AS INTEGER) AS month_val, sum(total_production_tons) AS total_production_tons,
             sum(total_revenue_egp) AS total_revenue_egp, CAST(sum(total_orders) AS BIGINT) AS total_orders,
             CAST(sum(cancelled_orders_daily) AS BIGINT) AS cancelled_orders,
             sum(total_logistics_cost_egp) AS total_logistics_cost_egp, avg(avg_efficiency) AS avg_efficiency,
             sum(total_co2_kg) AS total_co2_kg, avg(steel_price_egp) AS avg_steel_price_egp,
             avg(usd_egp_rate) AS avg_usd_rate FROM kpi GROUP BY ALL) AS t""",
-    "lead_p": """SELECT * FROM (SELECT company_id, factory_id, year(order_date) AS year_val,
-            month(order_date) AS month_val, product_type AS top_product, row_number() OVER (
+    "lead_p": """SELECT * FROM (SELECT company_id, factory_id, CAST(year(order_date) AS INTEGER) AS year_val,
+            CAST(month(order_date) AS INTEGER) AS month_val, product_type AS top_product, row_number() OVER (
             PARTITION BY company_id, factory_id, year(order_date), month(order_date)
             ORDER BY count(*) DESC, product_type) AS rn
         FROM ord GROUP BY company_id, factory_id, year(order_date), month(order_date), product_type) AS x
         WHERE rn = 1""",
-    "lead_g": f"""SELECT * FROM (SELECT company_id, factory_id, year(order_date) AS year_val,
-            month(order_date) AS month_val, delivery_governorate AS top_governorate, row_number() OVER (
+    "lead_g": f"""SELECT * FROM (SELECT company_id, factory_id, CAST(year(order_date) AS INTEGER) AS year_val,
+            CAST(month(order_date) AS INTEGER) AS month_val, delivery_governorate AS top_governorate, row_number() OVER (
             PARTITION BY company_id, factory_id, year(order_date), month(order_date)
             ORDER BY {_r('sum(total_value_egp)')} DESC NULLS LAST, delivery_governorate) AS rn
         FROM ord GROUP BY company_id, factory_id, year(order_date), month(order_date), delivery_governorate) AS x
@@ -258,7 +258,7 @@ CTES = {
             AS iron_ore_change_pct,
         {_r('(usd_egp_rate - lag(usd_egp_rate) OVER w) / lag(usd_egp_rate) OVER w * 100', 4)} AS usd_change_pct,
         {_r('(brent_oil_usd - lag(brent_oil_usd) OVER w) / lag(brent_oil_usd) OVER w * 100', 4)} AS oil_change_pct,
-        dayofweek(date) + 1 AS day_of_week, month(date) AS month_val, quarter(date) AS quarter_val, year
+        CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week, CAST(month(date) AS INTEGER) AS month_val, CAST(quarter(date) AS INTEGER) AS quarter_val, year
         FROM mkt_c WINDOW w AS (ORDER BY date)""",
     # model features
     "wk": f"""SELECT CAST(date_trunc('week', order_date) AS DATE) AS week_start, product_type, region,
@@ -269,8 +269,8 @@ CTES = {
         {_s('avg(steel_price_egypt_egp)')} AS avg_steel_price, {_s('avg(usd_egp_rate)')} AS avg_usd_rate,
         {_s('avg(iron_ore_price_usd)')} AS avg_iron_ore, {_s('avg(brent_oil_usd)')} AS avg_oil_price,
         {_s('avg(seasonality_index)', 4)} AS avg_seasonality, max(is_ramadan) AS is_ramadan FROM mkt GROUP BY 1""",
-    "wk_h": f"""SELECT *, weekofyear(week_start) AS week_of_year, month(week_start) AS month_val,
-        quarter(week_start) AS quarter_val, year(week_start) AS year_val,
+    "wk_h": f"""SELECT *, CAST(weekofyear(week_start) AS INTEGER) AS week_of_year, CAST(month(week_start) AS INTEGER) AS month_val,
+        CAST(quarter(week_start) AS INTEGER) AS quarter_val, CAST(year(week_start) AS INTEGER) AS year_val,
         lag(weekly_demand_tons, 1) OVER w AS demand_lag_1w, lag(weekly_demand_tons, 2) OVER w AS demand_lag_2w,
         lag(weekly_demand_tons, 3) OVER w AS demand_lag_3w, lag(weekly_demand_tons, 4) OVER w AS demand_lag_4w,
         {_r('avg(weekly_demand_tons) OVER (PARTITION BY product_type, region ORDER BY week_start ROWS 3 PRECEDING)')}

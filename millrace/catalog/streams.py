@@ -153,6 +153,32 @@ def _(f):
     return out
 
 
+@query(
+    "stm_06_resume_from_checkpoint",
+    "SELECT event_type AS origin, count(*) AS n FROM events GROUP BY 1",
+)
+def _(f):
+    """A second run with the same checkpoint finds nothing new and adds nothing."""
+    root = scratch_path(f.spark, "stream-resume")
+    for _run in range(2):
+        begin(f, "shipments", root).awaitTermination()
+    return f.spark.read.parquet(f"{root}/shipments").groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "src_04_stream_source",
+    """SELECT event_type, count(*) AS n, round(sum(value), 4) AS total, min(event_id) AS first_id FROM events GROUP BY 1""",
+)
+def _(f):
+    root = scratch_path(f.spark, "stream-source")
+    writer = live_events(f).writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{root}/rows").awaitTermination()
+    back = f.spark.read.parquet(f"{root}/rows")
+    return back.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"), F.min("event_id").alias("first_id")
+    )
+
+
 @query(
     "stm_07_all_streams",
     """SELECT 'market' AS feed, count(*) AS n FROM events UNION ALL SELECT 'orders', 1 UNION ALL
