@@ -1,6 +1,7 @@
 """Monitors on broken messages, batches and replays; stream results equal batch results."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ def messages(tmp_path):
         folder.mkdir(exist_ok=True)
         name = f"{len(list(folder.iterdir()))}.txt"
         (folder / name).write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in records))
+        # The file source goes by modification time; two files of one millisecond have no order.
+        age = 1_700_000_000 + len(list(folder.iterdir()))
+        os.utime(folder / name, (age, age))
         return str(folder)
 
     return write
