@@ -52,7 +52,8 @@ def _(f):
 
 @query(
     "agg_06_regional_demand", "SELECT * FROM reg",
-    r4="total_quantity_tons total_revenue_egp avg_order_size_tons avg_delivery_days avg_transport_cost_egp",
+    r4="total_quantity_tons avg_order_size_tons avg_delivery_days avg_transport_cost_egp",
+    r2="total_revenue_egp",
 )
 def _(f):
     return f.regional_demand

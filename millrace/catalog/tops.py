@@ -104,7 +104,8 @@ def _(f):
     "top_06_regions_by_revenue",
     """SELECT governorate, region, total_orders, total_quantity_tons, total_revenue_egp, avg_delivery_days, delay_pct,
        top_product FROM reg WHERE company_id = 'ASIA'""",
-    r4="total_quantity_tons total_revenue_egp avg_delivery_days",
+    r4="total_quantity_tons avg_delivery_days",
+    r2="total_revenue_egp",
 )
 def _(f):
     return (
