@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import pieces
+from millrace.llm import pieces, secrets, token_counts
 from millrace.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,19 @@ def piece_model() -> str:
 @query("op10_sentencepiece")
 def op10(spark, sf_dir):
     return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+def rank_file() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query("op4_secrets")
+def op4(spark, sf_dir):
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op7_token_counts")
+def op7(spark, sf_dir):
+    return token_counts.section_rows(table(spark, sf_dir, "documents"), *rank_file())

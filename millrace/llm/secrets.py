@@ -1,0 +1,227 @@
+"""Secret scan over nested encodings.
+
+Every text is scanned, then unwrapped: percent escapes, Unicode escapes and character references are
+replaced over a whole layer; each base64 run that decodes to text, or to a compressed stream that
+inflates to text, is a layer of its own. Layers go on a worklist until none is new; a layer whose
+content and place were seen is not taken up again, so cycles end. Every layer carries the place in the
+original text of each of its characters, so findings are given as spans of the original.
+
+Defined cases: a null text is the empty one and has no findings; repeated rows and null identifiers
+keep their rows; findings of one kind and span count once, the outermost layer's. A layer that inflates to
+more than ``INFLATED`` characters is not opened but counted in ``unopened``, so a stream that blows up
+costs bounded memory and is never passed over in silence.
+"""
+
+from __future__ import annotations
+
+import base64
+import binascii
+import re
+import zlib
+from hashlib import blake2b
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+
+from millrace.llm.texts import whole
+
+KINDS = ("assign", "access", "hex")
+# What counts as a secret. Letters of the keyword are ASCII in either case.
+ASSIGN = re.compile(
+    r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]{16,}")  # the same runs as [0-9a-f]+ of 16 or more
+LEAST_ASSIGN, LEAST_ACCESS = 12, 18
+
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+ESCAPE = re.compile(
+    r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&\#[xX]([0-9A-Fa-f]{1,6});|&\#([0-9]{1,7});"
+)
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+UNPRINTED = re.compile(r"[\x00-\x08\x0E-\x1F\x7F]")
+#: Characters that one compressed layer may inflate to.
+INFLATED = 1 << 26
+
+FOUND = "struct<spans: array<struct<kind: string, start: int, stop: int, depth: int>>, unopened: int>"
+
+
+def find_base(text: str) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of the plain matches: leftmost, non-overlapping for each kind."""
+    found = [(0, *m.span()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_ASSIGN]
+    if "AKIA" in text:
+        found += [(1, *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
+    return found + [(2, *m.span()) for m in HEX.finditer(text)]
+
+
+class Layer:
+    """A text and, unless it is the original, the original span of each of its characters."""
+
+    def __init__(self, text: str, starts: np.ndarray | None = None, stops: np.ndarray | None = None, depth: int = 0):
+        self.text, self.starts, self.stops, self.depth = text, starts, stops, depth
+
+    def span(self, start: int, stop: int) -> tuple[int, int]:
+        return (start, stop) if self.starts is None else (int(self.starts[start]), int(self.stops[stop - 1]))
+
+    def key(self) -> bytes:
+        place = self.span(0, len(self.text))
+        return blake2b(f"{place}".encode() + self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+    def replaced(self, parts: list[tuple[int, int, list[tuple[str, int, int]]]]) -> "Layer":
+        """A layer in which each part (start, end) has given way to characters with their own spans here."""
+        starts = np.arange(len(self.text)) if self.starts is None else self.starts
+        stops = np.arange(1, len(self.text) + 1) if self.stops is None else self.stops
+        text, a, b, at = [], [], [], 0
+        for start, stop, chars in parts:
+            text.append(self.text[at:start])
+            a.append(starts[at:start])
+            b.append(stops[at:start])
+            text += [c for c, _, _ in chars]
+            a.append(starts[[s for _, s, _ in chars]])
+            b.append(stops[[e - 1 for _, _, e in chars]])
+            at = stop
+        text.append(self.text[at:])
+        a.append(starts[at:])
+        b.append(stops[at:])
+        return Layer("".join(text), np.concatenate(a), np.concatenate(b), self.depth + 1)
+
+
+def percent_layer(layer: Layer) -> Layer | None:
+    parts = []
+    for m in PERCENT.finditer(layer.text):
+        chars, at = [], m.start()
+        for c in bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace"):
+            width = 3 * len(c.encode()) if c != "\ufffd" else 3
+            chars.append((c, at, min(at + width, m.end())))
+            at = min(at + width, m.end() - 3)
+        parts.append((*m.span(), chars))
+    return layer.replaced(parts) if parts else None
+
+
+def escape_layer(layer: Layer) -> Layer | None:
+    parts: list[tuple[int, int, list]] = []
+    for m in ESCAPE.finditer(layer.text):
+        code = int(next(g for g in m.groups() if g), 10 if m[6] else 16)
+        last = parts[-1] if parts else None
+        if 0xDC00 <= code <= 0xDFFF and last and last[1] == m.start() and 0xD800 <= last[2][0][1] <= 0xDBFF:
+            joined = 0x10000 + ((last[2][0][1] - 0xD800) << 10) + code - 0xDC00
+            parts[-1] = (last[0], m.end(), [(chr(joined), joined)])
+        else:
+            parts.append((*m.span(), [(chr(code) if code < 0x110000 and not 0xD800 <= code <= 0xDFFF else "\ufffd", code)]))
+    return layer.replaced([(a, b, [(c, a, b)]) for a, b, [(c, _)] in parts]) if parts else None
+
+
+def inflate(data: bytes) -> tuple[bytes | None, bool]:
+    """(content, too large) of a gzip or zlib stream, through streams within streams; None if there is none."""
+    seen, opened = {data}, False
+    while data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and not (data[0] * 256 + data[1]) % 31):
+        try:
+            stream = zlib.decompressobj(47)
+            data = stream.decompress(data, INFLATED)
+        except zlib.error:
+            return None, False
+        if stream.unconsumed_tail:
+            return None, True
+        if data in seen:
+            return None, False
+        seen.add(data)
+        opened = True
+    return (data if opened else None), False
+
+
+def readable(data: bytes) -> str | None:
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    return text if text and not UNPRINTED.search(text) else None
+
+
+def base64_layers(layer: Layer) -> tuple[list[Layer], int]:
+    out, unopened = [], 0
+    for m in BASE64.finditer(layer.text):
+        run = m[0].rstrip("=").translate({45: 43, 95: 47})
+        run = run[: len(run) - (len(run) % 4 == 1)]
+        try:
+            data = base64.b64decode(run + "=" * (-len(run) % 4))
+        except binascii.Error:
+            continue
+        content, large = inflate(data)
+        unopened += large
+        if content is not None:
+            if text := readable(content):
+                start, stop = layer.span(*m.span())
+                out.append(Layer(text, np.full(len(text), start), np.full(len(text), stop), layer.depth + 1))
+        elif not large and (text := readable(data)):
+            # Byte i comes from the characters 4i // 3 to (4i + 3) // 3 of the run.
+            ends = np.cumsum([len(c.encode()) for c in text])
+            begins = np.concatenate([[0], ends[:-1]])
+            a, b = m.start() + begins * 4 // 3, m.start() + (ends * 4 + 2) // 3 - 1
+            starts = a if layer.starts is None else layer.starts[a]
+            stops = b + 1 if layer.stops is None else layer.stops[b]
+            out.append(Layer(text, starts, stops, layer.depth + 1))
+    return out, unopened
+
+
+def scan(text: str) -> tuple[list[tuple[int, int, int, int]], int]:
+    """All findings as (start, kind, end, depth) in order, and the number of layers left unopened."""
+    found: dict[tuple[int, int, int], int] = {}
+    work, seen, unopened = [Layer(text)], set(), 0
+    while work:
+        layer = work.pop(0)
+        for kind, start, stop in find_base(layer.text):
+            a, b = layer.span(start, stop)
+            found.setdefault((a, kind, b), layer.depth)
+        inner, large = base64_layers(layer)
+        unopened += large
+        if "%" in layer.text:
+            inner.append(percent_layer(layer))
+        if "\\" in layer.text or "&#" in layer.text:
+            inner.append(escape_layer(layer))
+        for new in inner:
+            if new is not None and new.text and (key := new.key()) not in seen:
+                seen.add(key)
+                work.append(new)
+    return sorted((a, kind, b, depth) for (a, kind, b), depth in found.items()), unopened
+
+
+def secrets_of(text: Column) -> Column:
+    """Findings of a text: ``spans`` (kind, start, stop, depth; 0 is the text itself) and ``unopened``."""
+
+    @F.arrow_udf(FOUND)
+    def found(texts: pa.Array) -> pa.Array:
+        rows = []
+        for text in texts.to_pylist():
+            spans, unopened = scan(text)
+            rows.append({
+                "spans": [{"kind": KINDS[k], "start": a, "stop": b, "depth": d} for a, k, b, d in spans],
+                "unopened": unopened,
+            })
+        return pa.array(rows, pa.struct([
+            ("spans", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("depth", pa.int32())]))),
+            ("unopened", pa.int32()),
+        ]))
+
+    return found(text)
+
+
+def find_secrets(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows with ``secrets`` (ordered by start, then kind) and ``unopened``; columns so named are replaced."""
+    return df.withColumn("__found", secrets_of(whole(df[text]))).withColumns(
+        {"secrets": F.col("__found.spans"), "unopened": F.col("__found.unopened")}
+    ).drop("__found")
+
+
+def digests(df: DataFrame) -> DataFrame:
+    """Counts and digest of the plain matches and the list of all findings of every document."""
+    found = find_secrets(df.select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["depth"] == 0)
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+        "unopened",
+    )
