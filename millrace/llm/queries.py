@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import pieces, secrets, token_counts
+from millrace.llm import pieces, secret_scan, token_counts, toxicity
 from millrace.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,9 +42,14 @@ def rank_file() -> tuple[str, str]:
 
 @query("op4_secrets")
 def op4(spark, sf_dir):
-    return secrets.digests(table(spark, sf_dir, "documents"))
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
 
 
 @query("op7_token_counts")
 def op7(spark, sf_dir):
     return token_counts.section_rows(table(spark, sf_dir, "documents"), *rank_file())
+
+
+@query("op6_toxicity")
+def op6(spark, sf_dir):
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The six ASCII white space characters, as a character class body.
 SPACE = r"\x20\x09-\x0D"
 
 
+#: Folder that holds the package.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Python workers get the driver's place of this package for their imports,
+    as the functions of the operators are sent to them by name; a cluster may install it instead."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    if ROOT not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, paths]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
