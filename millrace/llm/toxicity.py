@@ -1,10 +1,12 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Fit: on labelled rows, each token gets the log-odds of its rate in toxic against clean text, both
-smoothed by an informative Dirichlet prior (the pooled rate times ``prior``). Tokens whose log-odds
-are ``least_z`` standard errors above zero keep them as score; all other tokens cost ``drift``, so the
-score of clean text falls on average. The labelled rows are a bounded sample: at most ``max_rows`` rows
-of each label in the order of a hash of the identifier; at most ``max_tokens`` scores are kept, the most certain.
+Fit: on labelled rows, each term (a word, or the first letters of one, for words that take endings) gets
+the log-odds of its rate in toxic against clean text, both smoothed by an informative Dirichlet prior
+(the pooled rate times ``prior``). A word may fill one document, so it is documents, not occurrences,
+that must bear a term out: terms whose log-odds over documents are ``least_z`` standard errors above
+zero keep the log-odds over occurrences as score, a word the highest of its terms'; all other words
+cost ``drift``, so the score of clean text falls on average. The labelled rows are a bounded sample: at most ``max_rows`` rows of each
+label in the order of a hash of the identifier; at most ``max_terms`` scores are kept, the most certain.
 
 Scan: one pass finds all maximal-scoring segments of a text (disjoint runs of tokens, none of which can
 be lengthened or shortened to score higher). Karlin and Altschul's extreme-value law for clean text
@@ -31,14 +33,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm.texts import whole
 
 TOKEN = re.compile(r"[^\W_]+")
-COUNTS = "token string, toxic int, n long"
+#: Letters of a word's beginnings that are terms beside the whole word.
+BEGINNINGS = (4, 5, 6, 7)
+COUNTS = "term string, toxic int, n long, times long"
 SCORED = "struct<score: double, passages: array<struct<start: int, stop: int, score: double, expected: double>>>"
 PASSAGE = ("start", "stop", "score", "expected")
 
 
+def terms(words) -> set[str]:
+    """The distinct words and their beginnings."""
+    distinct = set(words)
+    return distinct.union(*({w[:n] for w in distinct} for n in BEGINNINGS))
+
+
 @dataclass(frozen=True)
 class Model:
-    scores: dict[str, float]  # bounded by max_tokens
+    scores: dict[str, float]  # bounded by max_terms
     drift: float
     decay: float  # lambda of the extreme-value law
     scale: float  # K of the law
@@ -48,18 +58,23 @@ class Model:
 
     def segments(self, text: str) -> tuple[list[tuple[int, int, float]], int]:
         """((first token, past the last, score) of the maximal-scoring segments, number of tokens)."""
-        tokens = TOKEN.findall(text.lower())
-        if self.scores.keys().isdisjoint(tokens):
-            return [], len(tokens)
-        hits = [(i, self.scores[t]) for i, t in enumerate(tokens) if t in self.scores]
-        return maximal_segments(hits, self.drift), len(tokens)
-
-    def expected(self, score: float, length: int) -> float:
-        return self.scale * max(length, 1) * float(np.exp(-self.decay * score))
+        words = TOKEN.findall(text.lower())
+        known = self.scores.keys() & terms(words)
+        if not known:
+            return [], len(words)
+        hits = []
+        for i, word in enumerate(words):
+            found = [self.scores[t] for t in (word, *(word[:n] for n in BEGINNINGS)) if t in known]
+            if found:
+                hits.append((i, max(found)))
+        return maximal_segments(hits, self.drift), len(words)
+
+    def log_expected(self, score: float, length: int) -> float:
+        """Logarithm of the number of segments of at least that score in clean text of that length."""
+        return float(np.log(self.scale * max(length, 1)) - self.decay * score)
 
     def evidence(self, segments: list, length: int) -> float:
-        found = [self.expected(s, length) for _, _, s in segments]
-        return float(sum(np.log(self.significance / e) for e in found if e <= self.significance))
+        return sum(max(np.log(self.significance) - self.log_expected(s, length), 0.0) for _, _, s in segments)
 
     def score(self, evidence) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.slope * np.log1p(evidence), -50, 50))))
@@ -73,8 +88,8 @@ class Model:
             places = spans_by_char(text, length)
         passages = []
         for first, stop, s in segments:
-            if (e := self.expected(s, length)) <= self.significance:
-                passages.append(dict(zip(PASSAGE, (places[first][0], places[stop - 1][1], s, e))))
+            if (e := self.log_expected(s, length)) <= np.log(self.significance):
+                passages.append(dict(zip(PASSAGE, (places[first][0], places[stop - 1][1], s, float(np.exp(e))))))
         return {"score": self.score(self.evidence(segments, length)), "passages": passages}
 
 
@@ -111,17 +126,25 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[
     return [(first, stop, after - before) for first, stop, before, after, _ in runs]
 
 
-def _count_tokens(batches):
+def _count_terms(batches):
+    """Documents that hold each term and its occurrences, by label; under the empty term all documents and words."""
     for batch in batches:
-        counts = {label: Counter() for label in (0, 1)}
+        counts, times = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
         for text, toxic in zip(batch.text, batch.toxic):
-            counts[int(toxic)].update(TOKEN.findall(text.lower()))
-        rows = [(t, label, n) for label, c in counts.items() for t, n in c.items()]
-        yield pd.DataFrame(rows, columns=["token", "toxic", "n"])
+            words = Counter(TOKEN.findall(text.lower()))
+            counts[toxic].update(terms(words))
+            counts[toxic][""] += 1
+            times[toxic][""] += words.total()
+            for word, n in words.items():
+                for term in terms((word,)):
+                    times[toxic][term] += n
+        rows = [(t, label, n, times[label][t]) for label, c in counts.items() for t, n in c.items()]
+        yield pd.DataFrame(rows, columns=["term", "toxic", "n", "times"])
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """(text, toxic) of at most ``max_rows`` documents of each label. The labels' side of the join is that small."""
+    """(text, toxic) of at most ``max_rows`` documents of each label, each text once. The labels' side of the
+    join is that small."""
     one = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .groupBy("doc_id").agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
@@ -130,40 +153,49 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
         one.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows) for label in (0, 1)
     ]
     texts = docs.select("doc_id", whole(docs["text"]).alias("text"))
-    return texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("text", "toxic")
+    return texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("text", "toxic").distinct()
 
 
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     max_rows: int = 20_000,
-    max_tokens: int = 50_000,
-    prior: float = 1000.0,
-    least_z: float = 1.5,
+    max_terms: int = 50_000,
+    prior: float = 10.0,
+    least_z: float = 1.7,
     least_log_odds: float = 1.5,
-    drift: float = 1.0,
+    drift: float = 0.1,
     significance: float = 0.05,
 ) -> Model:
     """Learn from ``labels`` (doc_id, toxic), all of which may be used: the caller leaves held-out rows away."""
     rows = sample(docs, labels, max_rows)
     counts = (
-        rows.mapInPandas(_count_tokens, COUNTS).groupBy("token")
-        .agg(*[F.sum(F.when(F.col("toxic") == x, F.col("n")).otherwise(0)).alias(c) for x, c in ((1, "y1"), (0, "y0"))])
+        rows.mapInPandas(_count_terms, COUNTS).groupBy("term").agg(
+            *[
+                F.sum(F.when(F.col("toxic") == x, F.col(c)).otherwise(0)).alias(f"{c}{x}")
+                for c in ("n", "times") for x in (0, 1)
+            ]
+        )
     )
-    n1, n0 = (int(x or 0) for x in counts.agg(F.sum("y1"), F.sum("y0")).first())
-    if not n1 or not n0:
+    # The empty term counts the documents and the words.
+    every = counts.filter(F.col("term") == "").first()
+    if every is None or not every.n0 or not every.n1:
         return Model({}, drift, 1.0, 1.0, significance, -50.0, 0.0)
-    alpha = (F.col("y1") + F.col("y0")) * (prior / (n1 + n0))
-    rate = lambda y, n: (F.col(y) + alpha) / (n + prior)
-    odds = lambda p: F.log(p / (1 - p))
-    rated = counts.select(
-        "token",
-        (odds(rate("y1", n1)) - odds(rate("y0", n0))).alias("log_odds"),
-        F.sqrt(1 / (F.col("y1") + alpha) + 1 / (F.col("y0") + alpha)).alias("error"),
-        rate("y0", n0).alias("clean_rate"),
-    ).filter((F.col("log_odds") >= least_log_odds) & (F.col("log_odds") >= least_z * F.col("error")))
-    kept = rated.orderBy(F.desc(F.col("log_odds") / F.col("error")), "token").limit(max_tokens).collect()
-    scores = {r.token: r.log_odds for r in kept}
+
+    def odds(kind: str) -> tuple[Column, Column, Column]:
+        """(log-odds, their standard error, smoothed clean rate) by documents ("n") or occurrences ("times")."""
+        alpha = (F.col(f"{kind}1") + F.col(f"{kind}0")) * (prior / (every[f"{kind}1"] + every[f"{kind}0"]))
+        rates = [(F.col(f"{kind}{x}") + alpha) / (every[f"{kind}{x}"] + prior) for x in (0, 1)]
+        logs = [F.log(r / (1 - r)) for r in rates]
+        return logs[1] - logs[0], F.sqrt(sum(1 / (F.col(f"{kind}{x}") + alpha) for x in (0, 1))), rates[0]
+
+    by_documents, error, _ = odds("n")
+    by_times, _, clean_rate = odds("times")
+    rated = counts.filter(F.col("term") != "").select(
+        "term", (by_documents / error).alias("z"), by_times.alias("log_odds"), clean_rate.alias("clean_rate")
+    ).filter((F.col("log_odds") >= least_log_odds) & (F.col("z") >= least_z))
+    kept = rated.orderBy(F.desc("z"), "term").limit(max_terms).collect()
+    scores = {r.term: r.log_odds for r in kept}
     decay = solve_decay(np.array([r.clean_rate for r in kept]), np.array([r.log_odds for r in kept]), drift)
     bare = Model(scores, drift, decay, 1.0, significance, 0.0, 0.0)
 
@@ -180,7 +212,7 @@ def fit(
 
 def solve_decay(rates: np.ndarray, scores: np.ndarray, drift: float) -> float:
     """The positive root of E[exp(decay * score)] = 1 over clean tokens."""
-    rest = 1 - rates.sum()
+    rest = max(1 - rates.sum(), 0.0)
     over = lambda x: float((rates * np.exp(np.minimum(x * scores, 700))).sum() + rest * np.exp(-x * drift) - 1)
     low, high = 1e-3, 1.0
     while over(high) < 0 and high < 64:
@@ -196,7 +228,7 @@ def calibrate(bare: Model, seen: pd.DataFrame) -> Model:
     clean = seen[seen.toxic == 0]
     lowest = min(bare.scores.values(), default=1.0)
     above = sum(s >= lowest for found in clean.found for s in found)
-    scale = max(above, 1) / (max(int(clean.length.sum()), 1) * np.exp(-bare.decay * lowest))
+    scale = max(above, 1) / max(int(clean.length.sum()), 1) * np.exp(min(bare.decay * lowest, 500.0))
     model = Model(bare.scores, bare.drift, bare.decay, float(scale), bare.significance, 0.0, 0.0)
     evidence = [model.evidence([(0, 0, s) for s in found], n) for found, n in zip(seen.found, seen.length)]
     bias, slope = logistic(np.log1p(np.array(evidence)), seen.toxic.to_numpy(dtype=float))
