@@ -213,6 +213,11 @@ def find_secrets(df: DataFrame, text: str = "text") -> DataFrame:
     ).drop("__found")
 
 
+def of_kind(spans: Column, kind: str) -> Column:
+    """How many of the spans are of that kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def digests(df: DataFrame) -> DataFrame:
     """Counts and digest of the plain matches and the list of all findings of every document."""
     found = find_secrets(df.select("doc_id", "text"))
@@ -220,7 +225,7 @@ def digests(df: DataFrame) -> DataFrame:
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[of_kind(base, k).alias(f"n_{k}") for k in KINDS],
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("secrets")).alias("spans"),
         "unopened",
