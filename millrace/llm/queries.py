@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import pieces, secret_scan, token_counts, toxicity
+from millrace.llm import pieces, secret_scan, simhash, token_counts, toxicity
 from millrace.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op7(spark, sf_dir):
 @query("op6_toxicity")
 def op6(spark, sf_dir):
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_simhash")
+def op8(spark, sf_dir):
+    return simhash.similar_documents(table(spark, sf_dir, "documents"))

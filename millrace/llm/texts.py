@@ -1,4 +1,4 @@
-"""What the text operators share: table access, the white space class, row keys."""
+"""What the text operators share: table access, the white space class, row numbers, stored tables."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.session import scratch_path
+
 #: The six ASCII white space characters, as a character class body.
 SPACE = r"\x20\x09-\x0D"
 
@@ -29,10 +31,17 @@ def whole(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def content_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """Key of a row by identifier and text.
+def numbered(df: DataFrame, name: str = "__row") -> DataFrame:
+    """Rows of a table read from files under a number of their own, whatever their identifiers.
 
-    It is the same on every scan, so a later scan can be joined to what was derived from an earlier
-    one even when identifiers are null or repeat. Rows that agree in both are one document.
+    The number follows from the file's split and the place in it, so each scan of the same table in a
+    session gives the same one, and what was derived from one scan can be joined to another.
     """
-    return F.md5(F.concat_ws("\x00", F.coalesce(df[id_col].cast("string"), F.lit("null")), whole(df[text_col])))
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and safe when executors are lost."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
