@@ -158,7 +158,7 @@ def count_fields(df: DataFrame, fields: list[str], path: str, pattern: str, sepa
 def section_rows(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row for each line of each document."""
     done = count_sections(df.select("doc_id", "text"), path, pattern)
-    return done.select("doc_id", F.col("n_tokens").cast("long").alias("doc_tokens"), F.inline("section_tokens")).select(
+    return done.select("doc_id", F.col("n_tokens").cast("long").alias("doc_tokens"), F.inline_outer("section_tokens")).select(
         "doc_id", "section", "start", "stop", F.col("n_tokens").cast("long").alias("n_tokens"),
         F.col("n_crossing").cast("long").alias("n_crossing"), "doc_tokens",
     )
