@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import line_dedup, pieces, secret_scan, simhash, token_counts, toxicity
+from millrace.llm import line_dedup, mixing, pieces, secret_scan, simhash, token_counts, toxicity
 from millrace.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op8(spark, sf_dir):
 @query("op9_line_dedup", line_dedup.ORACLE)
 def op9(spark, sf_dir):
     return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op5_mixing", mixing.ORACLE)
+def op5(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
