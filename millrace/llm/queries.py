@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import line_dedup, mixing, pieces, secret_scan, simhash, token_counts, toxicity
+from millrace.llm import exact_dedup, line_dedup, mixing, pieces, secret_scan, simhash, token_counts, toxicity
 from millrace.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op9(spark, sf_dir):
 @query("op5_mixing", mixing.ORACLE)
 def op5(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+@query("op1_exact_dedup", exact_dedup.ORACLE)
+def op1(spark, sf_dir):
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
