@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, line_dedup, mixing, pieces, secret_scan, simhash, token_counts, toxicity
+from millrace.llm import exact_dedup, line_dedup, mixing, pieces, secret_scan, simhash, token_counts, toxicity, warc
 from millrace.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op5(spark, sf_dir):
 @query("op1_exact_dedup", exact_dedup.ORACLE)
 def op1(spark, sf_dir):
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_warc", warc.ORACLE)
+def op3(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages"))
