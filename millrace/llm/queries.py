@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, line_dedup, mixing, pieces, secret_scan, simhash, token_counts, toxicity, warc
+from millrace.llm import ann, exact_dedup, line_dedup, mixing, pieces, secret_scan, simhash, token_counts, toxicity, warc
 from millrace.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op1(spark, sf_dir):
 @query("op3_warc", warc.ORACLE)
 def op3(spark, sf_dir):
     return warc.archived(table(spark, sf_dir, "pages"))
+
+
+@query("op2_nn_descent")
+def op2(spark, sf_dir):
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
