@@ -133,3 +133,91 @@ def similar_documents(df: DataFrame, words: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row."""
     prints = stored(df.select("doc_id", fingerprint(whole(df["text"]), words).alias("fp")), "prints")
     return prints.join(groups(prints), "fp").select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+# Near-duplicates at a stated similarity. Two texts of which 0.8 of the shingles agree differ in about ten of
+# 64 bits: more than segments of useful width can hold equal. Candidates are therefore texts that share one of
+# their least shingle hashes, and pigeonring budgets for WIDE bits over a ring of RING segments prune them.
+WIDE, RING = 16, 8
+#: Least distinct hashes kept of a text, those of them that gather candidates, and texts of a gathering to compare with.
+SKETCH, ANCHORS, LEADERS = 128, 8, 4
+SKETCHED = "struct<fp: long, sketch: array<long>, same: binary>"
+
+
+def sketched(text: Column, words: int) -> Column:
+    """Fingerprint, least distinct hashes, and a key that equal ones share."""
+
+    @F.arrow_udf(SKETCHED)
+    def run(texts: pa.Array) -> pa.Array:
+        from hashlib import blake2b
+
+        prints, sketches, keys = [], [], []
+        for text in texts.to_pylist():
+            least = np.zeros(0, dtype=np.int64)
+
+            def seen(blocks):
+                nonlocal least
+                for hashes in blocks:
+                    least = np.unique(np.concatenate([least, (hashes >> np.uint64(1)).astype(np.int64)]))[:SKETCH]
+                    yield hashes
+
+            fp = fold(seen(shingle_hashes(text, words)))
+            prints.append(fp)
+            sketches.append(least)
+            keys.append(blake2b(least.tobytes() + fp.to_bytes(8, "big", signed=True), digest_size=16).digest())
+        return pa.StructArray.from_arrays(
+            [pa.array(prints, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.binary())],
+            ["fp", "sketch", "same"],
+        )
+
+    return run(text)
+
+
+def resemblance(a: str, b: str) -> Column:
+    """Share of common shingles, from sketches: exact if both hold all of their text's, else estimated."""
+    union = F.array_sort(F.array_union(a, b))
+    union = F.when((F.size(a) < SKETCH) & (F.size(b) < SKETCH), union).otherwise(F.slice(union, 1, SKETCH))
+    return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.greatest(F.size(union), F.lit(1))
+
+
+def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between rows (node, fp, sketch) that resemble each other.
+
+    The texts that share an anchor are compared with a few leaders of theirs, not each with each: their
+    number stays in proportion, and a pair that no common leader joins is met through its other anchors.
+    """
+    anchors = nodes.select("node", F.explode(F.slice("sketch", 1, ANCHORS)).alias("anchor"))
+    leaders = F.array_distinct(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(LEADERS)]))
+    shared = anchors.groupBy("anchor").agg(leaders.alias("leaders"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    met = anchors.join(shared, "anchor").select("node", F.explode("leaders").alias("leader")).filter("node <> leader")
+    pairs = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+    prints = nodes.select("node", "fp")
+    full = pairs.join(prints.toDF("a", "fa"), "a").join(prints.toDF("b", "fb"), "b")
+    masks, a, b = ring_masks(RING), F.col("fa"), F.col("fb")
+    chain = F.lit(False)
+    for start in range(RING):
+        chain = chain | in_budget(a, b, start, masks, WIDE)
+    close = stored(full.filter(chain).filter(differing(a, b) <= WIDE).select("a", "b"), "close")
+    sketches = nodes.select("node", "sketch")
+    both = close.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
+    return both.filter(resemblance("sa", "sb") >= similarity).select("a", "b")
+
+
+def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of a table read from files (doc_id, text, more) without near copies.
+
+    Of each group that links of at least that resemblance join, the row with the smallest doc_id stays;
+    null identifiers come last, then the order of the table decides. Texts without words are one group.
+    """
+    docs = numbered(df)
+    prints = stored(docs.select("__row", "doc_id", sketched(whole(df["text"]), words).alias("x")).select("__row", "doc_id", "x.*"), "sketches")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    copies = prints.groupBy("same").agg(F.min(place).alias("least"), F.min("__row").alias("node"))
+    nodes = stored(copies.join(prints.select(F.col("__row").alias("node"), "fp", "sketch"), "node"), "nodes")
+    rooted = components(similar_links(nodes, similarity), "a", "b")
+    placed = nodes.select("same", "node", "least").join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stays = placed.groupBy("root").agg(F.min("least").alias("stays"))
+    groups_of = placed.join(stays, "root").select("same", F.col("stays.__row").alias("stays"))
+    gone = prints.select("__row", "same").join(groups_of, "same").filter("__row <> stays").select("__row")
+    return docs.join(stored(gone, "gone"), "__row", "left_anti").select(*df.columns)
