@@ -32,11 +32,12 @@ DIGITS = 3
 
 @dataclass(frozen=True)
 class Level:
-    """One level of the tree: its name, the key of a document and the weight of a key (a positive integer)."""
+    """One level of the tree: its name, and as SQL the key of a document and the weight of a key (a positive
+    integer; it may refer to the names of this and the upper levels)."""
 
     name: str
-    key: Column
-    weight: Column
+    key: str
+    weight: str
 
 
 def words_in(text: Column | str) -> Column:
@@ -71,7 +72,7 @@ def share(nodes: DataFrame, parent: list[str], names: list[str]) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, levels: list[Level], parts: int, of: int, max_epochs: int) -> DataFrame:
     """Budget of every leaf, from rows (level names, tokens); the whole budget is ``parts`` / ``of`` of all tokens."""
     names = [level.name for level in levels]
-    weights = {f"weight_{x.name}": F.greatest(F.coalesce(x.weight.cast("long"), F.lit(0)), F.lit(0)) for x in levels}
+    weights = {f"weight_{x.name}": F.greatest(F.expr(x.weight).cast("long"), F.lit(0)) for x in levels}
     open_leaves = leaves.withColumns(weights).filter(
         (F.least(*weights, F.lit(1)) > 0) & (F.col("tokens") > 0)
     ).withColumn("cap", F.col("tokens") * max_epochs)
@@ -95,7 +96,7 @@ def cuts(df: DataFrame, levels: list[Level], parts: int, of: int, max_epochs: in
     """Per leaf: its budget, whole epochs, and the last place taken of the epoch after them (null if none)."""
     names = [level.name for level in levels]
     sized = stored(df.select(
-        *[level.key.alias(level.name) for level in levels], words_in("text").alias("tokens"),
+        *[F.expr(level.key).alias(level.name) for level in levels], words_in("text").alias("tokens"),
         F.col("doc_id").cast("string").alias("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text")).alias("text"),
     ), "sized")
     leaves = sized.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
@@ -127,7 +128,7 @@ def mix(
     names = [f"__{level.name}" for level in levels]
     tree = cuts(df, levels, parts, of, max_epochs, seed)
     tree = tree.select(*[F.col(level.name).alias(n) for level, n in zip(levels, names)], "epochs", "cut")
-    keyed = df.drop("epoch", "place", "epochs", "cut").withColumns({n: level.key for level, n in zip(levels, names)})
+    keyed = df.drop("epoch", "place", "epochs", "cut").withColumns({n: F.expr(level.key) for level, n in zip(levels, names)})
     passes = F.expr("filter(sequence(0, cast(epochs as int)), e -> e < epochs or cut is not null)")
     each = keyed.join(tree, names).withColumn("epoch", F.explode(passes))
     taken = each.withColumn("place", ordered(seed, F.col("epoch"))).filter("epoch < epochs or place <= cut")
@@ -135,21 +136,23 @@ def mix(
 
 
 # The tree of the test tables: a source's domain follows from its number. Weights are the targets.
-NUMBER = F.regexp_extract(F.coalesce(F.col("source"), F.lit("")), "[0-9]+", 0)
-DOMAIN = F.when(NUMBER == "", "unknown").otherwise(F.element_at(
-    F.array(F.lit("web"), F.lit("books"), F.lit("forum")), (F.pmod(F.length(NUMBER) * 7 + F.right(NUMBER, F.lit(1)).try_cast("int"), F.lit(3)) + 1)
-))
+NUMBER = "regexp_extract(coalesce(source, ''), '[0-9]+', 0)"
 TREE = [
-    Level("domain", DOMAIN, F.expr("case domain when 'web' then 5 when 'books' then 3 when 'forum' then 2 else 1 end")),
-    Level("lang", F.coalesce(F.col("lang"), F.lit("unknown")), F.expr("case lang when 'en' then 4 when 'unknown' then 1 else 2 end")),
-    Level("source", F.coalesce(F.col("source"), F.lit("unknown")), F.lit(1)),
+    Level(
+        "domain",
+        f"case when {NUMBER} = '' then 'unknown' else element_at(array('web', 'books', 'forum'),"
+        f" int((length({NUMBER}) * 7 + int(right({NUMBER}, 1))) % 3 + 1)) end",
+        "case domain when 'web' then 5 when 'books' then 3 when 'forum' then 2 else 1 end",
+    ),
+    Level("lang", "coalesce(lang, 'unknown')", "case lang when 'en' then 4 when 'unknown' then 1 else 2 end"),
+    Level("source", "coalesce(source, 'unknown')", "1"),
 ]
 
 
 def mixture(df: DataFrame) -> DataFrame:
     """Selected documents of the test tables: up to two epochs of a leaf, for nine tenths of all tokens."""
     picked = mix(df.select("doc_id", "text", "lang", "source"), TREE, max_epochs=2)
-    return picked.select("doc_id", "epoch", "place", *[x.key.alias(x.name) for x in TREE], words_in("text").alias("n_tokens"))
+    return picked.select("doc_id", "epoch", "place", *[F.expr(x.key).alias(x.name) for x in TREE], words_in("text").alias("n_tokens"))
 
 
 def _level_sql(depth: int) -> str:
