@@ -23,7 +23,11 @@ from millrace.llm.texts import SPACE, stored, whole
 from millrace.session import scratch_path
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Settings of the stream: state on disk, whose files are not allotted ahead, so that small partitions of it stay small.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": STORE,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Size of a micro-batch of keys.
 TRIGGER = {"maxBytesPerTrigger": str(16 << 30)}
 
@@ -70,14 +74,16 @@ def advance(spark: SparkSession, keys: str, checkpoint: str, updates: str, **sou
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
 
-    held = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, STORE)
+    held = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(
             availableNow=True
         ).foreachBatch(write).start().awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, held) if held else spark.conf.unset(PROVIDER)
+        for name, value in held.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
 
 
 def states(spark: SparkSession, updates: str) -> DataFrame:
