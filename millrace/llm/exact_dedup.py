@@ -93,8 +93,9 @@ def states(spark: SparkSession, updates: str) -> DataFrame:
     )
 
 
-def unlike_hits(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of the rows that share a digest, those whose digest stands for more than one text, with that text.
+def unlike_hits(rows: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """Of the rows that share a digest, those whose digest stands for more than one text, with that text; None if
+    there are none.
 
     The texts of the hits are read through their locators. All texts of a digest are equal, byte by
     byte, if the least is the greatest; each task combines its own first, so copies do not meet in one.
@@ -102,7 +103,8 @@ def unlike_hits(rows: DataFrame, docs: DataFrame) -> DataFrame:
     hits = rows.filter("group_size > 1").select("file", "at", "digest", "chars")
     texts = located(docs).join(hits, ["file", "at"]).withColumn("text", normal("text"))
     several = texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a <> b")
-    return texts.join(several.select("digest"), "digest")
+    unlike = stored(several.select("digest"), "unlike")
+    return None if unlike.isEmpty() else stored(texts.join(unlike, "digest"), "unlike-texts")
 
 
 def assign(docs: DataFrame, digest=sha256, **source) -> DataFrame:
@@ -112,8 +114,7 @@ def assign(docs: DataFrame, digest=sha256, **source) -> DataFrame:
     append_keys(docs, keys, digest)
     advance(spark, keys, scratch_path(spark, "stream"), updates, **source)
     rows = stored(spark.read.parquet(keys).join(states(spark, updates), "digest"), "rows")
-    unlike = stored(unlike_hits(rows, docs), "unlike")
-    if not unlike.isEmpty():
+    if (unlike := unlike_hits(rows, docs)) is not None:
         apart = unlike.groupBy("digest", "text").agg(F.min(rank()).alias("best2"), F.count(F.lit(1)).alias("size2"))
         placed = unlike.join(apart, ["digest", "text"]).select("file", "at", "best2", "size2")
         rows = rows.join(placed, ["file", "at"], "left").withColumns(
