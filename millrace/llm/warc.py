@@ -166,8 +166,24 @@ def normalise(spark: SparkSession, path: str, out: str) -> None:
 INDEX = "offset long, length long, record_id string, type string, uri string, digest string, source string"
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there; a normaliser without records writes none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def archive_files(spark: SparkSession, out: str) -> DataFrame:
+    """(archive, content) of the normalised archives."""
+    if not written(spark, f"{out}/kind=archive"):
+        return spark.createDataFrame([], "archive string, content binary")
+    files = spark.read.format("binaryFile").load(f"{out}/kind=archive")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
+
+
 def read_index(spark: SparkSession, out: str) -> DataFrame:
     """Index rows with the ``archive`` that each belongs to."""
+    if not written(spark, f"{out}/kind=index"):
+        return spark.createDataFrame([], f"archive string, {INDEX}")
     rows = spark.read.option("lineSep", "\0").text(f"{out}/kind=index")
     return rows.select(F.from_json("value", INDEX).alias("x"), F.col("_metadata.file_name").alias("archive")).select("archive", "x.*")
 
@@ -225,15 +241,13 @@ def _read(batches):
 
 def read_archives(spark: SparkSession, out: str) -> DataFrame:
     """Every record of the normalised archives."""
-    files = spark.read.format("binaryFile").load(f"{out}/kind=archive")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content").mapInArrow(_read, READ)
+    return archive_files(spark, out).mapInArrow(_read, READ)
 
 
 def read_at(spark: SparkSession, out: str, entries: DataFrame) -> DataFrame:
     """The records of some index rows: each archive is opened once and only those members are inflated."""
     wanted = entries.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("spans"))
-    files = spark.read.format("binaryFile").load(f"{out}/kind=archive")
-    found = files.withColumn("archive", F.element_at(F.split("path", "/"), -1)).join(wanted, "archive")
+    found = archive_files(spark, out).join(wanted, "archive")
     return found.select("archive", F.explode("spans").alias("span"), "content").select(
         "archive", F.substring("content", F.col("span.offset").cast("int") + 1, F.col("span.length").cast("int")).alias("content")
     ).mapInArrow(_read, READ)
