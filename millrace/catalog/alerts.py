@@ -12,38 +12,37 @@ from millrace.operators import alerts
 @query(
     "alr_01_spike_events",
     """SELECT 'price_spike' AS event_type, company_id, factory_id, '{"date":"' || date || '","is_price_spike":'
-       || is_price_spike || '}' AS payload FROM mkt_c WHERE is_price_spike = 1 ORDER BY date DESC LIMIT 200""",
+       || is_price_spike || '}' AS payload FROM mkt_c WHERE is_price_spike = 1""",
 )
 def _(f):
     spikes = f.market_clean.filter("is_price_spike = 1")
-    newest = spikes.withColumn("age", -F.unix_date("date"))
-    return alerts.alert_events(newest, "price_spike", ["date", "is_price_spike"], order=["age"])
+    return alerts.alert_events(spikes, "price_spike", ["date", "is_price_spike"])
 
 
 @query(
     "alr_02_tenant_summaries",
-    """SELECT company_id, factory_id, 'low_efficiency' AS event_type, CAST(least(count(*), 200) AS BIGINT) AS row_count,
-       count(*) AS anomaly_rows FROM prod_c WHERE is_underperforming = 1 GROUP BY company_id, factory_id""",
+    """SELECT company_id, factory_id, 'low_efficiency' AS event_type, count(*) AS row_count
+       FROM prod_c WHERE is_underperforming = 1 GROUP BY company_id, factory_id""",
 )
 def _(f):
     low = f.production_flagged.filter("is_underperforming = 1")
     return alerts.tenant_summaries(low, "low_efficiency", ["facility", "production_line", "date", "efficiency_pct"]).select(
-        "company_id", "factory_id", "event_type", "row_count", "anomaly_rows"
+        "company_id", "factory_id", "event_type", "row_count"
     )
 
 
 @query(
     "alr_03_market_alert",
-    f"""SELECT t.company_id, t.factory_id, d.detail_json, d.anomaly_rows FROM
+    f"""SELECT t.company_id, t.factory_id, d.detail_json, d.row_count FROM
         (SELECT DISTINCT company_id, factory_id FROM {SUBSCRIPTIONS} AS s WHERE enabled) AS t,
         (SELECT '[' || string_agg(CASE WHEN rn <= 10 THEN '{{"date":"' || date || '","is_price_spike":1}}' END, ','
-                ORDER BY rn) || ']' AS detail_json, count(*) AS anomaly_rows
+                ORDER BY rn) || ']' AS detail_json, count(*) AS row_count
          FROM (SELECT date, row_number() OVER (ORDER BY date) AS rn FROM mkt_c WHERE is_price_spike = 1) AS x) AS d""",
 )
 def _(f):
     spikes = f.market_clean.filter("is_price_spike = 1")
     return alerts.market_alert(spikes, "price_spike", ["date", "is_price_spike"], ["date"], subscriptions(f)).select(
-        "company_id", "factory_id", "detail_json", "anomaly_rows"
+        "company_id", "factory_id", "detail_json", "row_count"
     )
 
 

@@ -152,7 +152,7 @@ def _(f):
 @query(
     "jn_09_market_alert_fanout",
     f"""SELECT t.company_id, t.factory_id, 'price_spike' AS event_type,
-        (SELECT count(*) FROM (SELECT 1 FROM mkt_c WHERE is_price_spike = 1 LIMIT 200) AS c) AS row_count
+        (SELECT count(*) FROM mkt_c WHERE is_price_spike = 1) AS row_count
         FROM (SELECT DISTINCT company_id, factory_id FROM {SUBSCRIPTIONS} AS s WHERE enabled) AS t""",
 )
 def _(f):

@@ -11,7 +11,7 @@ from millrace.ml import features
 from millrace.operators import directory, quality, served
 from millrace.sinks.merge import bools_to_int
 from millrace.sources import uploads
-from millrace.tenancy import Tenant, run_scope, scope, strip_reserved, tag, training_scope
+from millrace.tenancy import Tenant, run_scope, scope, scope_sizes, strip_reserved, tag, training_scope
 
 
 @query("prj_01_tenant_tag", "SELECT event_id, 'ASIA' AS company_id, 'ASIA_0' AS factory_id FROM events")
@@ -44,19 +44,28 @@ def _(f):
 
 @query("prj_05_training_scope_factory", "SELECT order_id, factory_id FROM ord WHERE factory_id = 'ASIA_0'")
 def _(f):
-    return training_scope(f.orders.select("order_id", "company_id", "factory_id"), TEST_TENANT).drop("company_id")
+    return training_scope(f.orders.select("order_id", "company_id", "factory_id"), TEST_TENANT, "factory").drop("company_id")
 
 
 @query("prj_05_training_scope_company", "SELECT order_id, factory_id FROM ord WHERE company_id = 'ASIA'")
 def _(f):
     rows = f.orders.select("order_id", "company_id", "factory_id")
-    return training_scope(rows, Tenant("ASIA", "ASIA_NEW")).drop("company_id")
+    return training_scope(rows, Tenant("ASIA", "ASIA_NEW"), "company").drop("company_id")
 
 
 @query("prj_05_training_scope_all", "SELECT order_id, factory_id FROM ord")
 def _(f):
     rows = f.orders.select("order_id", "company_id", "factory_id")
-    return training_scope(rows, Tenant("NEWCOMER", "NEWCOMER_0")).drop("company_id")
+    return training_scope(rows, Tenant("NEWCOMER", "NEWCOMER_0"), "all").drop("company_id")
+
+
+@query(
+    "prj_05_scope_sizes",
+    """SELECT count(*) FILTER (WHERE factory_id = 'ASIA_0') AS factory, count(*) FILTER (WHERE company_id = 'ASIA') AS company,
+       count(*) AS "all" FROM ord""",
+)
+def _(f):
+    return scope_sizes(f.orders, TEST_TENANT)
 
 
 @query("prj_06_strip_reserved", "SELECT batch_id, facility FROM prod")

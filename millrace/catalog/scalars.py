@@ -346,8 +346,8 @@ def _(f):
     "str_01_slug",
     """SELECT p_partkey, CASE WHEN s = '' THEN 'UNIT' ELSE s END AS slug, CASE WHEN c = '' THEN 'FACTORY' ELSE c END AS code,
        'ASIA_' || CASE WHEN s = '' THEN 'UNIT' ELSE s END AS factory_id
-       FROM (SELECT p_partkey, left(trim(regexp_replace(upper(t), '[^A-Z0-9]+', '_', 'g'), '_'), 20) AS s,
-             left(regexp_replace(upper(t), '[^A-Z0-9]', '', 'g'), 12) AS c
+       FROM (SELECT p_partkey, trim(regexp_replace(upper(t), '[^A-Z0-9]+', '_', 'g'), '_') AS s,
+             regexp_replace(upper(t), '[^A-Z0-9]', '', 'g') AS c
              FROM (SELECT p_partkey, ' ' || p_name || ' / ' || p_brand || '!' AS t FROM part) AS x) AS y""",
 )
 def _(f):
@@ -362,7 +362,7 @@ def _(f):
 @query(
     "str_01_factory_rows",
     """SELECT n_name AS factory_name, company_id, n_name AS governorate,
-       company_id || '_' || left(CASE WHEN n_nationkey % 2 = 0 THEN 'UNIT_' || n_nationkey ELSE n_name END, 20)
+       company_id || '_' || CASE WHEN n_nationkey % 2 = 0 THEN 'UNIT_' || n_nationkey ELSE replace(n_name, ' ', '_') END
        AS factory_id FROM places""",
 )
 def _(f):

@@ -244,7 +244,7 @@ def _(f):
 @query(
     "snk_16_alert_rows",
     """SELECT company_id, factory_id, 'low_efficiency' AS event_type, 'Low Production Efficiency' AS title,
-       CAST(least(count(*), 200) AS BIGINT) AS row_count, count(*) AS anomaly_rows, FALSE AS email_sent,
+       count(*) AS row_count, FALSE AS email_sent,
        '[' || string_agg(CASE WHEN rn <= 10 THEN '{"batch_id":"' || batch_id || '","shift":"' || shift || '"}' END, ','
                          ORDER BY rn) || ']' AS detail_json
        FROM (SELECT *, row_number() OVER (PARTITION BY company_id, factory_id ORDER BY batch_id, shift) AS rn

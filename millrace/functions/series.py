@@ -76,6 +76,14 @@ def one_row_per_date(df: DataFrame, date_col: str, values: list[str], prefer: li
     return picked.select(date_col, *[F.col("_v")[c].alias(c) for c in values])
 
 
+def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, the smallest by its other columns in their order. It makes a series daily before
+    a window goes over it, so a feed with many rows a day is neither compared inside a day nor held by one task."""
+    values = [c for c in df.columns if c not in keys]
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_v"))
+    return picked.select(*[F.col(c) if c in keys else F.col("_v")[c].alias(c) for c in df.columns])
+
+
 def first_rows(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
     """First ``n`` rows per key under a total order (TOP-09).
 

@@ -8,9 +8,8 @@ from millrace.functions import series, text
 from millrace.plans.scalars import with_thresholds
 from millrace.schemas import ALL_FACTORIES, TENANT_KEYS
 
-# Sample sizes of an alert.
-EVENT_ROWS = 200
-JSON_ROWS = 10
+# Fixed value: rows that a summary shows; all of them are event rows.
+PREVIEW_ROWS = 10
 
 # Inbox titles by event type.
 TITLES = {"price_spike": "Price Spike Detected", "low_efficiency": "Low Production Efficiency"}
@@ -33,59 +32,55 @@ def _sample_json(cols: list[str], order: list[str] | None) -> Column:
 
 
 def alert_events(
-    df: DataFrame, event_type: str, cols: list[str], keys: list[str] | None = None, order: list[str] | None = None,
-    max_rows: int = EVENT_ROWS,
+    df: DataFrame, event_type: str, cols: list[str], keys: list[str] | None = None
 ) -> DataFrame:
-    """One event row per anomaly, the first ``max_rows`` per tenant (ALR-01, TOP-09)."""
+    """One event row per anomaly (ALR-01)."""
     keys = TENANT_KEYS if keys is None else keys
-    sample = series.first_rows(df, keys, _order(cols, order), max_rows)
-    return sample.select(F.lit(event_type).alias("event_type"), *keys, text.row_json(cols).alias("payload"))
+    return df.select(F.lit(event_type).alias("event_type"), *keys, text.row_json(cols).alias("payload"))
 
 
 def tenant_summaries(
-    df: DataFrame, event_type: str, cols: list[str], order: list[str] | None = None, max_rows: int = EVENT_ROWS
+    df: DataFrame, event_type: str, cols: list[str], order: list[str] | None = None, preview_rows: int = PREVIEW_ROWS
 ) -> DataFrame:
-    """One inbox row per tenant with its own anomalies (ALR-02, SNK-16).
+    """One inbox row per tenant with the number of its anomalies and the first of them (ALR-02, SNK-16).
 
-    The sample is bounded per tenant before it is gathered, so a hot tenant stays small. The count
-    is of the sample, at most ``max_rows``; ``anomaly_rows`` is the true number.
+    The preview is bounded per tenant before it is gathered, so a hot tenant stays small; the whole
+    set is the event table.
     """
-    totals = df.groupBy(*TENANT_KEYS).agg(F.count(F.lit(1)).alias("anomaly_rows"))
-    shown = series.first_rows(df, TENANT_KEYS, _order(cols, order), JSON_ROWS)
+    totals = df.groupBy(*TENANT_KEYS).agg(F.count(F.lit(1)).alias("row_count"))
+    shown = series.first_rows(df, TENANT_KEYS, _order(cols, order), preview_rows)
     samples = shown.groupBy(*TENANT_KEYS).agg(_sample_json(cols, order).alias("detail_json"))
     return totals.join(samples, TENANT_KEYS).select(
         *TENANT_KEYS,
         F.lit(event_type).alias("event_type"),
         F.lit(inbox_title(event_type)).alias("title"),
         "detail_json",
-        F.least("anomaly_rows", F.lit(max_rows)).alias("row_count"),
-        "anomaly_rows",
+        "row_count",
         F.lit(False).alias("email_sent"),
     )
 
 
 def market_alert(
     df: DataFrame, event_type: str, cols: list[str], order: list[str], subscriptions: DataFrame,
-    max_rows: int = EVENT_ROWS,
+    preview_rows: int = PREVIEW_ROWS,
 ) -> DataFrame:
     """Market-wide alert for every enabled tenant (ALR-03, JN-09).
 
     The anomalies shrink to one summary row, which every tenant row reads as a scalar subquery: no
     join and no product of rows. Without anomalies there is no alert.
     """
-    sample = df.orderBy(*_order(cols, order)).limit(JSON_ROWS).agg(_sample_json(cols, order).alias("detail_json"))
-    summary = with_thresholds(df.agg(F.count(F.lit(1)).alias("anomaly_rows")), sample)
+    sample = df.orderBy(*_order(cols, order)).limit(preview_rows).agg(_sample_json(cols, order).alias("detail_json"))
+    summary = with_thresholds(df.agg(F.count(F.lit(1)).alias("row_count")), sample)
     tenants = subscriptions.filter("enabled").select(*TENANT_KEYS).distinct()
     return (
         with_thresholds(tenants, summary)
-        .filter("anomaly_rows > 0")
+        .filter("row_count > 0")
         .select(
             *TENANT_KEYS,
             F.lit(event_type).alias("event_type"),
             F.lit(inbox_title(event_type)).alias("title"),
             "detail_json",
-            F.least("anomaly_rows", F.lit(max_rows)).alias("row_count"),
-            "anomaly_rows",
+            "row_count",
             F.lit(False).alias("email_sent"),
         )
     )

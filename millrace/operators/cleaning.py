@@ -96,8 +96,13 @@ def price_signals(
 
 
 def clean_market(df: DataFrame) -> DataFrame:
-    """Market with signals per tenant and year and prices in local currency (PRJ-08, WIN-01..03)."""
-    dated = df.filter(F.col("date").isNotNull()).withColumn("year", F.year("date"))
+    """Market with signals per tenant and year and prices in local currency (PRJ-08, WIN-01..03).
+
+    The series is made daily first: one row per tenant and date.
+    """
+    keys = [c for c in TENANT_KEYS if c in df.columns] + ["date"]
+    daily = series.one_row_per_key(df.filter(F.col("date").isNotNull()), keys)
+    dated = daily.withColumn("year", F.year("date"))
     signals = price_signals(dated, "steel_price_egypt_egp", partition_by=TENANT_KEYS + ["year"])
     return signals.withColumns(
         {

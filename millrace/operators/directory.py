@@ -27,9 +27,16 @@ def known_places(df: DataFrame, place_col: str, allowed: list[str] = FACTORY_GOV
     return df.filter(listed), df.filter(~listed)
 
 
-def factory_rows(requests: DataFrame) -> DataFrame:
-    """Factory rows from registration requests: code if given, else the name (STR-01)."""
+def factory_rows(requests: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Factory rows from registration requests: code if given, else the name (STR-01). Requests whose
+    identifier ``existing`` already has give no row: ``rejected_requests`` names them."""
     given = F.when(F.length(F.trim("factory_code")) > 0, F.col("factory_code")).otherwise(F.col("factory_name"))
-    return requests.select(
+    made = requests.select(
         text.unit_id("company_id", given).alias("factory_id"), "company_id", "factory_name", "governorate"
     )
+    return made if existing is None else made.join(existing.select("factory_id"), "factory_id", "left_anti")
+
+
+def rejected_requests(requests: DataFrame, existing: DataFrame) -> DataFrame:
+    """Requests whose identifier is taken."""
+    return factory_rows(requests).join(existing.select("factory_id"), "factory_id", "left_semi")

@@ -192,9 +192,9 @@ def recent_days(df: DataFrame, n: int, date_col: str = "date", tie: list[str] |
 
 
 def price_alert_rows(market: DataFrame, limit: int = 20) -> DataFrame:
-    """Recent price spikes, 1 to 200 rows (TOP-07)."""
-    if not 1 <= limit <= 200:
-        raise ValueError("limit must lie between 1 and 200")
+    """The most recent price spikes (TOP-07)."""
+    if limit < 1:
+        raise ValueError("limit must be positive")
     return (
         market.filter("is_price_spike = 1")
         .select("date", "steel_price_egypt_egp", "price_change_pct")

@@ -1,45 +1,21 @@
-"""Join helpers. A broadcast hint is given only to a side whose size was counted."""
+"""Join helpers. Sides carry no hints: Spark broadcasts what it measures as small and splits skewed keys of
+the rest."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.series import one_row_per_date
 from millrace.schemas import TENANT_KEYS
 
-# One row per calendar day for over five centuries, or as many dimension rows.
-BROADCAST_ROW_LIMIT = 200_000
-
-
-def cached_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
-    """Count a side once. A small one stays cached, so counting it is not wasted."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return kept, True
-    kept.unpersist()
-    return df, False
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only below the limit.
-
-    Above it the frame carries no hint: the join is then a shuffled one and adaptive execution
-    splits its skewed partitions.
-    """
-    kept, small = cached_if_small(df, max_rows)
-    return F.broadcast(kept) if small else kept
-
 
 def attach_market(facts: DataFrame, date_col: str, market: DataFrame, values: dict[str, str]) -> DataFrame:
     """Left join of same-day market values under new names (JN-01, JN-05).
 
     The market side is reduced to one row per date first, so a copy per tenant cannot multiply facts.
-    All its columns are cached together: every fact table of a run shares one daily market.
     """
     prefer = [c for c in TENANT_KEYS if c in market.columns] or ["date"]
-    columns = [c for c in market.columns if c not in {"date", *TENANT_KEYS}]
-    daily, small = cached_if_small(one_row_per_date(market, "date", columns, prefer))
+    columns = sorted(set(values))
+    daily = one_row_per_date(market, "date", columns, prefer)
     side = daily.select(F.col("date").alias("_day"), *[F.col(src).alias(dst) for src, dst in values.items()])
-    side = F.broadcast(side) if small else side
     return facts.join(side, facts[date_col] == F.col("_day"), "left").drop("_day")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.plans.joins import broadcast_if_small
 from millrace.session import cut_lineage
 
 _ROW_BITS = 33  # rows per partition in monotonically_increasing_id
@@ -35,7 +34,7 @@ def running_total(
         inside = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
     else:
         inside = F.sum(amount).over(Window.partitionBy("_part").orderBy("_at"))
-    placed = spot.withColumn("_inside", inside).join(broadcast_if_small(starts), "_part")
+    placed = spot.withColumn("_inside", inside).join(starts, "_part")
     return placed.withColumn(name, F.col("_start") + F.col("_inside")).drop("_part", "_at", "_start", "_inside")
 
 

@@ -172,23 +172,23 @@ STREAM_SCHEMAS = {
     for name, fields in _STREAM_FIELDS.items()
 }
 
-# Topic, query name, rate limit and trigger of each stream.
+# Topic, query name, group and trigger of each stream.
 STREAM_SETTINGS = {
     "market": {
         "topic": "steel_market_prices", "query": "market_alerts", "group": "steel-market-alerts",
-        "max_per_trigger": 10, "trigger": "15 seconds",
+        "trigger": "15 seconds",
     },
     "orders": {
         "topic": "steel_orders", "query": "order_tracking", "group": "steel-orders-tracking",
-        "max_per_trigger": 20, "trigger": "20 seconds",
+        "trigger": "20 seconds",
     },
     "production": {
         "topic": "steel_production", "query": "production_monitor", "group": "steel-production-monitor",
-        "max_per_trigger": 15, "trigger": "20 seconds",
+        "trigger": "20 seconds",
     },
     "shipments": {
         "topic": "steel_shipments", "query": "shipment_tracking", "group": "steel-shipments-tracking",
-        "max_per_trigger": 10, "trigger": "25 seconds",
+        "trigger": "25 seconds",
     },
 }
 

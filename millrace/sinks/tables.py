@@ -122,6 +122,6 @@ def dead_letter(df: DataFrame, path: str, table: str, error: object) -> None:
     df.select(
         F.current_timestamp().alias("ts"),
         F.lit(table).alias("table"),
-        F.lit(str(error)[:300]).alias("error"),
+        F.lit(str(error)).alias("error"),
         F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"),
     ).write.mode("append").json(path)

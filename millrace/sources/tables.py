@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace.schemas import FEEDS
+from millrace.schemas import FEEDS, TENANT_KEYS
 from millrace.tenancy import Tenant, scope
 
 
@@ -37,6 +37,16 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isFile()
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table whose tenant columns are text, also where they come from folder names: ids such
+    as 0012 and 12 stay two tenants, whatever Spark would infer from the folders."""
+    found = spark.read.parquet(path)
+    if all(f.dataType == T.StringType() for f in found.schema.fields if f.name in TENANT_KEYS):
+        return found
+    fields = [T.StructField(f.name, T.StringType()) if f.name in TENANT_KEYS else f for f in found.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def read_layer(
     spark: SparkSession, root: str, table: str, producer: str, tenant: Tenant | None = None
 ) -> DataFrame:
@@ -47,5 +57,5 @@ def read_layer(
     path = f"{root.rstrip('/')}/{table}"
     if not path_exists(spark, path):
         raise MissingLayer(f"{path} does not exist; run the {producer} job first")
-    df = spark.read.parquet(path)
+    df = read_table(spark, path)
     return df.transform(scope(tenant)) if tenant and tenant.company_id else df

@@ -8,15 +8,15 @@ from millrace.schemas import STREAM_SCHEMAS, STREAM_SETTINGS
 from millrace.sources.tables import is_file
 
 
-def kafka_options(feed: str, servers: str) -> dict[str, str]:
-    """Options of the Kafka source (SRC-04)."""
+def kafka_options(feed: str, servers: str, max_per_trigger: int | None = None) -> dict[str, str]:
+    """Options of the Kafka source (SRC-04); a limit per trigger only if the caller sets one."""
     s = STREAM_SETTINGS[feed]
-    return {
+    limit = {"maxOffsetsPerTrigger": str(max_per_trigger)} if max_per_trigger else {}
+    return limit | {
         "kafka.bootstrap.servers": servers,
         "subscribe": s["topic"],
         "startingOffsets": "latest",
         "kafka.group.id": s["group"],
-        "maxOffsetsPerTrigger": str(s["max_per_trigger"]),
     }
 
 

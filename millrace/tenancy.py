@@ -50,9 +50,13 @@ def run_scope(df: DataFrame, company_id: str | None, factory_id: str | None) ->
 
 
 def tag(df: DataFrame, company_id: str, factory_id: str, keep_existing: bool = False) -> DataFrame:
-    """Set the tenant columns; ``keep_existing`` fills only those that are missing (PRJ-01)."""
+    """Set the tenant columns as text; ``keep_existing`` fills only those that are missing (PRJ-01)."""
     values = dict(zip(TENANT_KEYS, (company_id, factory_id)))
-    return df.withColumns({c: F.lit(v) for c, v in values.items() if not (keep_existing and c in df.columns)})
+    kept = {c: F.col(c) if keep_existing and c in df.columns else F.lit(v) for c, v in values.items()}
+    unnamed = [c for c, v in values.items() if v is None and not (keep_existing and c in df.columns)]
+    if unnamed:
+        raise ValueError(f"the rows have no {' and '.join(unnamed)}: name a tenant with both parts")
+    return df.withColumns({c: value.cast("string") for c, value in kept.items()})
 
 
 def strip_reserved(df: DataFrame) -> DataFrame:
@@ -60,27 +64,31 @@ def strip_reserved(df: DataFrame) -> DataFrame:
     return df.drop(*TENANT_KEYS)
 
 
-def training_scope(df: DataFrame, tenant: Tenant, min_rows: int = 200) -> DataFrame:
-    """Narrowest scope with enough rows: factory, else company, else everything (PRJ-05).
+SCOPES = ("factory", "company", "all")
 
-    Both counts come from one pass; the decision stays in the plan as scalar subqueries, so nothing
-    is collected and the two filters remain visible to the optimizer.
+
+def training_scope(df: DataFrame, tenant: Tenant, level: str) -> DataFrame:
+    """Rows that train a tenant's model: its factory's, its company's or all (PRJ-05).
+
+    The caller names the level, so one row more never changes what a model is trained on;
+    ``scope_sizes`` tells how many rows each level has.
     """
-    if not set(TENANT_KEYS) <= set(df.columns):
+    if level not in SCOPES:
+        raise ValueError(f"level must be one of {SCOPES}")
+    if level == "all" or not set(TENANT_KEYS) <= set(df.columns):
         return df
+    company = df.filter(F.col("company_id") == tenant.company_id)
+    return company if level == "company" else company.filter(F.col("factory_id") == tenant.factory_id)
+
+
+def scope_sizes(df: DataFrame, tenant: Tenant) -> DataFrame:
+    """Rows of each training scope, in one pass (PRJ-05)."""
     in_company = F.col("company_id") == tenant.company_id
-    in_factory = in_company & (F.col("factory_id") == tenant.factory_id)
-    sizes = df.agg(
-        F.struct(
-            F.count_if(in_factory).alias("factory_rows"), F.count_if(in_company).alias("company_rows")
-        ).alias("n")
-    ).scalar()
-    keep = (
-        F.when(sizes["factory_rows"] >= min_rows, in_factory)
-        .when(sizes["company_rows"] >= min_rows, in_company)
-        .otherwise(F.lit(True))
+    return df.agg(
+        F.count_if(in_company & (F.col("factory_id") == tenant.factory_id)).alias("factory"),
+        F.count_if(in_company).alias("company"),
+        F.count(F.lit(1)).alias("all"),
     )
-    return df.filter(keep)
 
 
 def tenants_of(df: DataFrame) -> DataFrame:

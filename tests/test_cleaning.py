@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import cleaning
-from millrace.plans.joins import attach_market, broadcast_if_small, cached_if_small
+from millrace.plans.joins import attach_market
 
 MARKET = (
     "company_id string, factory_id string, date date, steel_price_egypt_egp double, iron_ore_price_usd double,"
@@ -40,6 +40,12 @@ def test_market_window_resets_at_year_end(market, collect):
     assert {r["iron_ore_price_egp"] for r in got} == {3000.0}
 
 
+def test_change_is_from_day_to_day(rows):
+    days = [(1, 100.0), (1, 110.0), (1, 100.0), (2, 103.0), (2, 120.0)]
+    got = cleaning.clean_market(rows([market_row(date(2024, 1, d), p, "A") for d, p in days], MARKET)).orderBy("date").collect()
+    assert [(r.date.day, r.price_change_pct) for r in got] == [(1, 0.0), (2, 3.0)]
+
+
 def test_two_market_rows_on_a_date_do_not_multiply(rows):
     market = rows([market_row(date(2024, 1, 1), 1.0, "B"), market_row(date(2024, 1, 1), 2.0, "A")], MARKET)
     facts = rows([(date(2024, 1, 1), 1), (date(2024, 1, 2), 2)], "d date, k int")
@@ -102,18 +108,10 @@ def test_shipment_edges(rows, collect):
     assert [got[k]["is_efficient"] for k in "abc"] == [1, 0, 0]
 
 
-def test_broadcast_needs_a_checked_size(spark):
-    small, big = spark.range(10), spark.range(100)
-    assert cached_if_small(small, 50)[1] and not cached_if_small(big, 50)[1]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        def plan(side):
-            return big.join(broadcast_if_small(side, 50), "id")._jdf.queryExecution().toString()
-
-        assert "BroadcastHashJoin" in plan(small)
-        assert "BroadcastHashJoin" not in plan(spark.range(200))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_market_join_keeps_no_cache(spark, rows):
+    market = rows([market_row(date(2024, 1, 1), 1.0, "B")], MARKET)
+    attach_market(rows([(date(2024, 1, 1), 1)], "d date, k int"), "d", market, {"steel_price_egypt_egp": "p"})
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
 def test_statistics_of_an_empty_table(rows):

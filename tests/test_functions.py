@@ -72,8 +72,8 @@ def test_periods(rows):
 
 def test_slug(rows):
     df = rows([("  Steel & Co. / North  ",), ("!!!",), ("a" * 30,)], "t string")
-    assert [r[0] for r in df.select(text.slug("t")).collect()] == ["STEEL_CO_NORTH", "UNIT", "A" * 20]
-    assert [r[0] for r in df.select(text.company_code("t")).collect()] == ["STEELCONORTH", "FACTORY", "A" * 12]
+    assert [r[0] for r in df.select(text.slug("t")).collect()] == ["STEEL_CO_NORTH", "UNIT", "A" * 30]
+    assert [r[0] for r in df.select(text.company_code("t")).collect()] == ["STEELCONORTH", "FACTORY", "A" * 30]
 
 
 def test_product_size(rows):

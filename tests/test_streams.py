@@ -145,5 +145,6 @@ def test_run_monitors_stops_everything(spark, messages, tmp_path):
 
 def test_kafka_options():
     options = kafka_options("orders", "broker:1")
-    assert options["subscribe"] == "steel_orders" and options["maxOffsetsPerTrigger"] == "20"
+    assert options["subscribe"] == "steel_orders" and "maxOffsetsPerTrigger" not in options
+    assert kafka_options("orders", "broker:1", 500)["maxOffsetsPerTrigger"] == "500"
     assert set(counters("orders")) == {"events"}
