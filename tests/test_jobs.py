@@ -52,11 +52,45 @@ def test_repair_reached_the_line_mart(spark, lake):
     assert mart(spark, lake, "production_efficiency").filter("avg_efficiency > 100").isEmpty()
 
 
-def test_alerts_were_appended(spark, lake):
+def test_alerts_of_a_run(spark, lake):
     lake, feeds = lake
+    low = read_layer(spark, f"{lake.root}/clean", "production_clean", "cleaning").filter("is_underperforming = 1")
+    tenants = low.select("company_id", "factory_id").distinct()
+    told = [(r.company_id, r.factory_id, True, "own@x") for r in tenants.limit(1).collect()] + [("NEW", "NEW_1", True, "new@x")]
+    subscriptions = spark.createDataFrame(told, "company_id string, factory_id string, enabled boolean, notify_email string")
+    wired = jobs.Lake(lake.root, regions=TEST_REGIONS, subscriptions=subscriptions)
+    for _ in range(2):  # a second run replaces the first one's
+        jobs.write_alerts(spark, wired)
     alerts = spark.read.parquet(f"{lake.root}/alerts")
-    low = feeds.production.filter("efficiency_pct < 70").select("company_id", "factory_id").distinct()
-    assert alerts.count() == low.count() and alerts.filter("row_count > 200").isEmpty()
+    spikes = read_layer(spark, f"{lake.root}/clean", "market_clean", "cleaning").filter("is_price_spike = 1").count()
+    assert alerts.filter("event_type = 'low_efficiency'").count() == tenants.count()
+    market = alerts.filter("event_type = 'price_spike'").collect()
+    assert {(r.factory_id, r.row_count, r.channel, r.notify_email) for r in market} == {(t[1], spikes, "market", t[3]) for t in told}
+    events = spark.read.parquet(f"{lake.root}/alert_events").groupBy("event_type").count().collect()
+    assert {r.event_type: r["count"] for r in events} == {"low_efficiency": low.count(), "price_spike": spikes}
+
+
+def test_upload_reaches_the_raw_layer(spark, lake, tmp_path):
+    from millrace.schemas import FEED_KEYS, UPLOAD_REQUIRED
+
+    other, feed = jobs.Lake(str(tmp_path / "lake")), "shipments"
+    cols = dict.fromkeys([*UPLOAD_REQUIRED[feed], *FEED_KEYS[feed], "transport_mode"])
+    file = lake[1].shipments.select(*cols).limit(5)
+    factories = spark.createDataFrame([("A", "A1"), ("B", "B1")], "company_id string, factory_id string")
+    first = jobs.load_upload(spark, other, file, feed, Tenant("A", "A1"), factories).count()
+    again = jobs.load_upload(spark, other, file, feed, Tenant("A", "A1"), factories).count()
+    jobs.load_upload(spark, other, file, feed, Tenant("B", "B1"), factories)
+    raw = read_layer(spark, f"{other.root}/raw", feed, "raw")
+    assert again == 0 and first > 0 and {r.factory_id: r["count"] for r in raw.groupBy("factory_id").count().collect()} == {"A1": first, "B1": first}
+
+
+def test_mirror_and_audit(spark, lake):
+    lake, _feeds = lake
+    seen = {}
+    jobs.mirror_marts(spark, lake, lambda name, df: seen.update({name: df.count()}))
+    assert seen.keys() == set(jobs.MARTS) and all(seen.values())
+    audit = jobs.repair_clean(spark, lake).first()
+    assert audit.rows_before == audit.rows_after and audit.bad_before == audit.bad_after and audit.removed_rows == 0
 
 
 def test_tenant_run_leaves_the_others(spark, lake):
