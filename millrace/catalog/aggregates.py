@@ -77,7 +77,11 @@ def _(f):
     return marts.shift_means(f.production)
 
 
-_ORDER_COLS = ["order_id", "order_date", "quantity_tons", "price_per_ton_egp", "delay_days", "is_delayed", "status"]
+_ORDER_COLS = [
+    "company_id", "factory_id", "order_id", "order_date", "customer_id", "customer_type", "product_type", "quantity_tons",
+    "price_per_ton_egp", "total_value_egp", "delivery_governorate", "expected_delivery", "actual_delivery", "delay_days",
+    "is_delayed", "status",
+]
 
 
 @query(

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.feeds import TEST_TENANT
 from millrace.catalog.registry import query
-from millrace.schemas import STREAM_SCHEMAS
 from millrace.session import scratch_path
 from millrace.sinks.tables import write_partitioned
 from millrace.sources import prices, tables, uploads
+from millrace.streaming.sources import decode
 
 
 @query(
@@ -51,10 +51,8 @@ def _(f):
     # Every tenth payload is cut short, as a broken message would be.
     broken = F.when(F.col("event_id") % 10 == 0, F.lit('{"event_id": "')).otherwise(body)
     raw = f.events.select(F.col("event_id").alias("source_id"), broken.alias("value"))
-    both = raw.select("source_id", F.from_json("value", STREAM_SCHEMAS["shipments"]).alias("data"))
-    return both.select(
-        F.col("source_id").alias("event_id"), F.col("data.event_id").alias("decoded_id"), F.col("data.delay_days")
-    )
+    flat = decode(raw, "shipments", keep=("source_id",))
+    return flat.select(F.col("source_id").alias("event_id"), F.col("event_id").alias("decoded_id"), "delay_days")
 
 
 @query(

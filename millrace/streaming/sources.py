@@ -41,13 +41,15 @@ def stream_source(
     return reader.load(path)
 
 
-def decode(df: DataFrame, feed: str, keep_bad: bool = False) -> DataFrame:
+def decode(df: DataFrame, feed: str, keep_bad: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON payload to flat columns (SRC-05); bad JSON gives null fields.
 
-    ``keep_bad`` adds the undecodable text as ``_corrupt_record``.
+    ``keep_bad`` adds the undecodable text as ``_corrupt_record``; ``keep`` names columns beside the payload
+    that stay.
     """
     schema = STREAM_SCHEMAS[feed]
     if keep_bad:
         schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    return df.select(F.from_json(F.col("value").cast("string"), schema, options).alias("data")).select("data.*")
+    data = F.from_json(F.col("value").cast("string"), schema, options).alias("data")
+    return df.select(*keep, data).select(*keep, "data.*")
