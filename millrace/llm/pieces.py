@@ -22,7 +22,7 @@ from millrace.llm.texts import whole
 
 MARK = "▁"
 #: Chunks that a task remembers from batch to batch. A full table starts anew: ids do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Distinct chunks that are segmented by one call, and texts whose chunks are looked up together.
 LINE, TEXTS = 256, 32
 

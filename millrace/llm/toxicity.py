@@ -35,6 +35,8 @@ from millrace.llm.texts import whole
 TOKEN = re.compile(r"[^\W_]+")
 #: Letters of a word's beginnings that are terms beside the whole word.
 BEGINNINGS = (4, 5, 6, 7)
+#: Terms that a task counts before it hands them on.
+COUNTED = 100_000
 COUNTS = "term string, toxic int, n long, times long"
 SCORED = "struct<score: double, passages: array<struct<start: int, stop: int, score: double, expected: double>>>"
 PASSAGE = ("start", "stop", "score", "expected")
@@ -127,9 +129,19 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[
 
 
 def _count_terms(batches):
-    """Documents that hold each term and its occurrences, by label; under the empty term all documents and words."""
+    """Documents that hold each term and its occurrences, by label; under the empty term all documents and words.
+
+    Counts leave the task whenever ``COUNTED`` terms are held, so its memory does not follow its input.
+    """
+    counts, times = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
+
+    def rows() -> pd.DataFrame:
+        found = [(t, label, n, times[label][t]) for label, c in counts.items() for t, n in c.items()]
+        for counter in (*counts.values(), *times.values()):
+            counter.clear()
+        return pd.DataFrame(found, columns=["term", "toxic", "n", "times"])
+
     for batch in batches:
-        counts, times = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
         for text, toxic in zip(batch.text, batch.toxic):
             words = Counter(TOKEN.findall(text.lower()))
             counts[toxic].update(terms(words))
@@ -138,8 +150,9 @@ def _count_terms(batches):
             for word, n in words.items():
                 for term in terms((word,)):
                     times[toxic][term] += n
-        rows = [(t, label, n, times[label][t]) for label, c in counts.items() for t, n in c.items()]
-        yield pd.DataFrame(rows, columns=["term", "toxic", "n", "times"])
+            if len(counts[0]) + len(counts[1]) > COUNTED:
+                yield rows()
+    yield rows()
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
