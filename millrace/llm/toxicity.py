@@ -42,10 +42,38 @@ SCORED = "struct<score: double, passages: array<struct<start: int, stop: int, sc
 PASSAGE = ("start", "stop", "score", "expected")
 
 
-def terms(words) -> set[str]:
-    """The distinct words and their beginnings."""
-    distinct = set(words)
-    return distinct.union(*({w[:n] for w in distinct} for n in BEGINNINGS))
+def term_times(words: list[str]) -> Counter:
+    """Occurrences of the words and of their beginnings."""
+    times = Counter(words)
+    for word, n in list(times.items()):
+        for k in BEGINNINGS:
+            if len(word) > k:
+                times[word[:k]] += n
+    return times
+
+
+class Matcher:
+    """Finds a model's terms at the starts of words, in one pass over a text."""
+
+    def __init__(self, scores: dict[str, float]):
+        import ahocorasick
+
+        self.found = ahocorasick.Automaton()
+        for term, score in scores.items():
+            self.found.add_word(term, (len(term), len(term) not in BEGINNINGS, score))
+        if scores:
+            self.found.make_automaton()
+
+    def hits(self, low: str) -> dict[int, float]:
+        """Score of each word that has one, by its place in the lower-cased text."""
+        out: dict[int, float] = {}
+        if len(self.found):
+            for last, (length, is_word, score) in self.found.iter(low):
+                at = last - length + 1
+                if at and low[at - 1].isalnum() or is_word and low[last + 1 : last + 2].isalnum():
+                    continue
+                out[at] = max(score, out.get(at, score))
+        return out
 
 
 @dataclass(frozen=True)
@@ -58,18 +86,15 @@ class Model:
     bias: float
     slope: float
 
-    def segments(self, text: str) -> tuple[list[tuple[int, int, float]], int]:
-        """((first token, past the last, score) of the maximal-scoring segments, number of tokens)."""
-        words = TOKEN.findall(text.lower())
-        known = self.scores.keys() & terms(words)
-        if not known:
-            return [], len(words)
-        hits = []
-        for i, word in enumerate(words):
-            found = [self.scores[t] for t in (word, *(word[:n] for n in BEGINNINGS)) if t in known]
-            if found:
-                hits.append((i, max(found)))
-        return maximal_segments(hits, self.drift), len(words)
+    def segments(self, text: str, matcher: Matcher) -> tuple[list[tuple[int, int, float]], int]:
+        """((first token, past the last, score) of the maximal-scoring segments, number of tokens or 0 if none scores)."""
+        low = text.lower()
+        scored_words = matcher.hits(low)
+        if not scored_words:
+            return [], 0
+        starts = [m.start() for m in TOKEN.finditer(low)]
+        hits = [(i, scored_words[at]) for i, at in enumerate(starts) if at in scored_words]
+        return maximal_segments(hits, self.drift), len(starts)
 
     def log_expected(self, score: float, length: int) -> float:
         """Logarithm of the number of segments of at least that score in clean text of that length."""
@@ -81,8 +106,8 @@ class Model:
     def score(self, evidence) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.slope * np.log1p(evidence), -50, 50))))
 
-    def scan(self, text: str) -> dict:
-        segments, length = self.segments(text)
+    def scan(self, text: str, matcher: Matcher) -> dict:
+        segments, length = self.segments(text, matcher)
         if not segments:
             return {"score": self.score(0.0), "passages": []}
         places = [m.span() for m in TOKEN.finditer(text)] if len(text) == len(text.lower()) else None
@@ -143,13 +168,12 @@ def _count_terms(batches):
 
     for batch in batches:
         for text, toxic in zip(batch.text, batch.toxic):
-            words = Counter(TOKEN.findall(text.lower()))
-            counts[toxic].update(terms(words))
+            words = TOKEN.findall(text.lower())
+            found = term_times(words)
+            counts[toxic].update(found.keys())
             counts[toxic][""] += 1
-            times[toxic][""] += words.total()
-            for word, n in words.items():
-                for term in terms((word,)):
-                    times[toxic][term] += n
+            times[toxic].update(found)
+            times[toxic][""] += len(words)
             if len(counts[0]) + len(counts[1]) > COUNTED:
                 yield rows()
     yield rows()
@@ -213,10 +237,12 @@ def fit(
     bare = Model(scores, drift, decay, 1.0, significance, 0.0, 0.0)
 
     def scan(batches):
+        matcher = Matcher(bare.scores)
         for batch in batches:
-            found = [bare.segments(t) for t in batch.text]
+            found = [bare.segments(t, matcher) for t in batch.text]
+            lengths = [n or len(TOKEN.findall(t)) for t, (_, n) in zip(batch.text, found)]
             yield pd.DataFrame({
-                "toxic": batch.toxic, "length": [n for _, n in found], "found": [[s for _, _, s in x] for x, _ in found],
+                "toxic": batch.toxic, "length": lengths, "found": [[s for _, _, s in x] for x, _ in found],
             })
 
     seen = rows.mapInPandas(scan, "toxic int, length long, found array<double>").toPandas()  # at most 2 * max_rows
@@ -265,7 +291,8 @@ def scored(text: Column, model: Model) -> Column:
 
     @F.pandas_udf(SCORED)
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.scan(t) for t in texts], columns=["score", "passages"])
+        matcher = Matcher(model.scores)
+        return pd.DataFrame([model.scan(t, matcher) for t in texts], columns=["score", "passages"])
 
     return run(text)
 
