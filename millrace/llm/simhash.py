@@ -137,71 +137,98 @@ def similar_documents(df: DataFrame, words: int = 3) -> DataFrame:
 
 # Near-duplicates at a stated similarity. Two texts of which 0.8 of the shingles agree differ in about ten of
 # 64 bits: more than segments of useful width can hold equal. Candidates are therefore texts that share one of
-# their least shingle hashes, and pigeonring budgets for WIDE bits over a ring of RING segments prune them.
-WIDE, RING = 16, 8
+# their least shingle hashes; their sizes, pigeonring budgets for WIDE bits over a ring of RING segments (five
+# deviations above those ten bits) and sketches prune them, and their whole sets of shingles decide.
+WIDE, RING = 24, 8
 #: Least distinct hashes kept of a text, those of them that gather candidates, and texts of a gathering to compare with.
 SKETCH, ANCHORS, LEADERS = 128, 8, 4
-SKETCHED = "struct<fp: long, sketch: array<long>, same: binary>"
+#: How far below the similarity sketches may put a pair (over four deviations).
+MARGIN = 0.25
+SKETCHED = "struct<fp: long, sketch: array<long>, size: long, same: binary>"
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """The distinct hashes of the shingles, in order as signed numbers."""
+    blocks = list(shingle_hashes(text, words))
+    return np.unique(np.concatenate(blocks).view(np.int64)) if blocks else np.zeros(0, dtype=np.int64)
 
 
 def sketched(text: Column, words: int) -> Column:
-    """Fingerprint, least distinct hashes, and a key that equal ones share."""
+    """Fingerprint of the distinct shingles, their least hashes, their number, and a key that equal sets share."""
 
     @F.arrow_udf(SKETCHED)
     def run(texts: pa.Array) -> pa.Array:
         from hashlib import blake2b
 
-        prints, sketches, keys = [], [], []
+        prints, sketches, sizes, keys = [], [], [], []
         for text in texts.to_pylist():
-            least = np.zeros(0, dtype=np.int64)
-
-            def seen(blocks):
-                nonlocal least
-                for hashes in blocks:
-                    least = np.unique(np.concatenate([least, (hashes >> np.uint64(1)).astype(np.int64)]))[:SKETCH]
-                    yield hashes
-
-            fp = fold(seen(shingle_hashes(text, words)))
-            prints.append(fp)
-            sketches.append(least)
-            keys.append(blake2b(least.tobytes() + fp.to_bytes(8, "big", signed=True), digest_size=16).digest())
+            found = shingle_set(text, words)
+            prints.append(fold(found[at : at + BLOCK].view(np.uint64) for at in range(0, len(found), BLOCK)))
+            sketches.append(found[:SKETCH].copy())
+            sizes.append(len(found))
+            keys.append(blake2b(found.tobytes(), digest_size=16).digest())
         return pa.StructArray.from_arrays(
-            [pa.array(prints, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.binary())],
-            ["fp", "sketch", "same"],
+            [pa.array(prints, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())],
+            ["fp", "sketch", "size", "same"],
         )
 
     return run(text)
 
 
-def resemblance(a: str, b: str) -> Column:
-    """Share of common shingles, from sketches: exact if both hold all of their text's, else estimated."""
-    union = F.array_sort(F.array_union(a, b))
-    union = F.when((F.size(a) < SKETCH) & (F.size(b) < SKETCH), union).otherwise(F.slice(union, 1, SKETCH))
-    return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.greatest(F.size(union), F.lit(1))
+def shingle_sets(text: Column, words: int) -> Column:
+    @F.arrow_udf("array<long>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t, words) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
+    return run(text)
 
-def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) between rows (node, fp, sketch) that resemble each other.
 
-    The texts that share an anchor are compared with a few leaders of theirs, not each with each: their
-    number stays in proportion, and a pair that no common leader joins is met through its other anchors.
-    """
-    anchors = nodes.select("node", F.explode(F.slice("sketch", 1, ANCHORS)).alias("anchor"))
-    leaders = F.array_distinct(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(LEADERS)]))
-    shared = anchors.groupBy("anchor").agg(leaders.alias("leaders"), F.count(F.lit(1)).alias("times")).filter("times > 1")
-    met = anchors.join(shared, "anchor").select("node", F.explode("leaders").alias("leader")).filter("node <> leader")
-    pairs = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-
-    prints = nodes.select("node", "fp")
-    full = pairs.join(prints.toDF("a", "fa"), "a").join(prints.toDF("b", "fb"), "b")
+def likely(similarity: float) -> Column:
+    """Whether sizes and fingerprints (na, fa) and (nb, fb) allow the similarity."""
     masks, a, b = ring_masks(RING), F.col("fa"), F.col("fb")
     chain = F.lit(False)
     for start in range(RING):
         chain = chain | in_budget(a, b, start, masks, WIDE)
-    close = stored(full.filter(chain).filter(differing(a, b) <= WIDE).select("a", "b"), "close")
-    sketches = nodes.select("node", "sketch")
-    both = close.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-    return both.filter(resemblance("sa", "sb") >= similarity).select("a", "b")
+    sizes = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - 1e-9
+    return sizes & (differing(a, b) <= WIDE) & chain
+
+
+def settled(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) whose sets of shingles resemble each other.
+
+    The sketches only leave out what is far below; the texts (node, text) of the other pairs give their
+    sets of shingles once more, and the common ones are counted.
+    """
+    sketches = nodes.select("node", "sketch", "size")
+    both = pairs.join(sketches.toDF("a", "sa", "na"), "a").join(sketches.toDF("b", "sb", "nb"), "b")
+    # Texts that resemble each other by s have s / (1 + s) of both sizes in common, the sketches in proportion.
+    low = similarity - MARGIN
+    expected = low / (1 + low) * (F.col("na") + F.col("nb")) * F.least(F.lit(1.0), SKETCH / F.greatest("na", "nb"))
+    close = stored(both.filter(F.size(F.array_intersect("sa", "sb")) >= expected).select("a", "b"), "close")
+    needed = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(texts.join(needed, "node").select("node", shingle_sets(whole("text"), words).alias("found")), "shingles")
+    full = close.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    counted = full.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+    return stored(counted.filter(F.col("common") / (F.col("n") - F.col("common")) >= similarity).select("a", "b"), "links")
+
+
+def leader_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of each row (anchor, node, fp, size) with a few leaders of its anchor."""
+    one = F.struct("node", "fp", "size")
+    leaders = F.array_distinct(F.array(*[F.min_by(one, F.xxhash64("node", F.lit(i))) for i in range(LEADERS)]))
+    shared = members.groupBy("anchor").agg(leaders.alias("leaders"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    met = members.join(shared, "anchor").withColumn("l", F.explode("leaders")).filter("node <> l.node")
+    return met.select(
+        F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b"),
+        F.col("fp").alias("fa"), F.col("l.fp").alias("fb"), F.col("size").alias("na"), F.col("l.size").alias("nb"),
+    )
+
+
+def similar_links(nodes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links (a, b) between rows (node, fp, sketch, size) that resemble each other and share a leader of an anchor."""
+    anchors = nodes.select("node", "fp", "size", F.explode(F.slice("sketch", 1, ANCHORS)).alias("anchor"))
+    possible = leader_pairs(anchors).filter(likely(similarity)).select("a", "b").distinct()
+    return settled(possible, nodes, texts, words, similarity)
 
 
 def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -214,8 +241,9 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8)
     prints = stored(docs.select("__row", "doc_id", sketched(whole(df["text"]), words).alias("x")).select("__row", "doc_id", "x.*"), "sketches")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
     copies = prints.groupBy("same").agg(F.min(place).alias("least"), F.min("__row").alias("node"))
-    nodes = stored(copies.join(prints.select(F.col("__row").alias("node"), "fp", "sketch"), "node"), "nodes")
-    rooted = components(similar_links(nodes, similarity), "a", "b")
+    nodes = stored(copies.join(prints.select(F.col("__row").alias("node"), "fp", "sketch", "size"), "node"), "nodes")
+    texts = docs.select(F.col("__row").alias("node"), "text")
+    rooted = components(similar_links(nodes, texts, words, similarity), "a", "b")
     placed = nodes.select("same", "node", "least").join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stays = placed.groupBy("root").agg(F.min("least").alias("stays"))
     groups_of = placed.join(stays, "root").select("same", F.col("stays.__row").alias("stays"))
