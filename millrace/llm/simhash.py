@@ -140,10 +140,10 @@ def similar_documents(df: DataFrame, words: int = 3) -> DataFrame:
 # their least shingle hashes; their sizes, pigeonring budgets for WIDE bits over a ring of RING segments (five
 # deviations above those ten bits) and sketches prune them, and their whole sets of shingles decide.
 WIDE, RING = 24, 8
-#: Least distinct hashes kept of a text, those of them that gather candidates, and texts of a gathering to compare with.
+#: Least distinct hashes kept of a text, those of them that gather candidates, and texts compared with all of a gathering first.
 SKETCH, ANCHORS, LEADERS = 128, 8, 4
-#: How far below the similarity sketches may put a pair (over four deviations).
-MARGIN = 0.25
+#: How far below the similarity sketches may put a pair (over four deviations), and texts of a gathering in one block.
+MARGIN, TOGETHER = 0.25, 512
 SKETCHED = "struct<fp: long, sketch: array<long>, size: long, same: binary>"
 
 
@@ -224,11 +224,40 @@ def leader_pairs(members: DataFrame) -> DataFrame:
     )
 
 
+def all_pairs(members: DataFrame, together: int = TOGETHER) -> DataFrame:
+    """Every pair of rows (anchor, node, root, fp, size) that share an anchor and have different roots.
+
+    The rows of an anchor are dealt to blocks and each block meets each, so that no task holds or pairs
+    more than two blocks at a time however many texts share an anchor.
+    """
+    shared = members.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / together).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
+    dealt = members.join(shared.filter("low <> high").select("anchor", "blocks"), "anchor")
+    dealt = stored(dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "blocks")
+    left = dealt.select(
+        "anchor", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"),
+        F.col("node").alias("a"), F.col("root").alias("ra"), F.col("fp").alias("fa"), F.col("size").alias("na"),
+    )
+    right = dealt.select(
+        "anchor", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"),
+        F.col("node").alias("b"), F.col("root").alias("rb"), F.col("fp").alias("fb"), F.col("size").alias("nb"),
+    )
+    return left.join(right, ["anchor", "i", "j"]).filter("ra <> rb and (i < j or a < b)").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "fa", "fb", "na", "nb"
+    )
+
+
 def similar_links(nodes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links (a, b) between rows (node, fp, sketch, size) that resemble each other and share a leader of an anchor."""
+    """Links (a, b) that join all of the rows (node, fp, sketch, size) which share an anchor and resemble each other.
+
+    The texts of an anchor first meet a few leaders, which joins the most part of large groups of copies.
+    Then every pair whose texts are not yet in one component is met, so none is left out.
+    """
     anchors = nodes.select("node", "fp", "size", F.explode(F.slice("sketch", 1, ANCHORS)).alias("anchor"))
     possible = leader_pairs(anchors).filter(likely(similarity)).select("a", "b").distinct()
-    return settled(possible, nodes, texts, words, similarity)
+    rooted = stored(components(settled(possible, nodes, texts, words, similarity), "a", "b"), "roots")
+    placed = anchors.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = all_pairs(placed).filter(likely(similarity)).select("a", "b").distinct()
+    return settled(rest, nodes, texts, words, similarity).unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
 
 def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -129,6 +129,24 @@ def kept_by_brute_force(texts, words=5, similarity=0.8):
     return [i for i in range(len(texts)) if root[i] == i]
 
 
+def test_star_of_copies_is_one_group(files):
+    """Copies resemble their original, but hardly each other, and the original is no leader of theirs."""
+    rng = random.Random(11)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(400)]
+    texts = [" ".join(base)] + [" ".join(changed(rng, base, 8, f"c{i}x")) for i in range(300)]
+    got = simhash.drop_near_duplicates(files([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    exact = kept_by_brute_force(texts)
+    assert sorted(r.doc_id for r in got) == exact and len(exact) < 60
+
+
+def test_blocks_pair_every_member(spark):
+    rows = [(1, n, n, n, 10) for n in range(40)] + [(2, n, n % 2, n, 10) for n in range(7)] + [(3, 1, 1, 1, 10), (3, 5, 1, 5, 10)]
+    members = spark.createDataFrame(rows, "anchor long, node long, root long, fp long, size long")
+    got = sorted((r.a, r.b) for r in simhash.all_pairs(members, together=6).collect())
+    want = [(a, b) for b in range(40) for a in range(b)] + [(a, b) for b in range(7) for a in range(b) if a % 2 != b % 2]
+    assert got == sorted(want)
+
+
 def test_pairs_near_the_limit_are_settled_on_whole_texts(files):
     """Sketches of 128 put about a quarter of such pairs on the wrong side."""
     rng, texts = random.Random(12), []
