@@ -18,6 +18,7 @@ import base64
 import binascii
 import re
 import zlib
+from codecs import getincrementaldecoder
 from hashlib import blake2b
 
 import numpy as np
@@ -39,8 +40,13 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&\#[xX]([0-9A-Fa-f]{1,6});|&\#([0-9]{1,7});"
 )
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A run that may go on over single line breaks, if what stands before each is as long as a wrapped line.
+BASE64 = re.compile(r"(?:[A-Za-z0-9+/_-]{16,}\r?\n)*[A-Za-z0-9+/_-]{16,}={0,2}|(?:[A-Za-z0-9+/_-]{16,}\r?\n)+[A-Za-z0-9+/_-]{1,15}={0,2}")
+LINE_BREAK = re.compile(r"\r?\n")
+SEPARATOR = re.compile(r"[/_-]+")
 UNPRINTED = re.compile(r"[\x00-\x08\x0E-\x1F\x7F]")
+#: Characters of a payload that show whether decoding all of it is worth while.
+HEAD = 64
 #: Characters that one compressed layer may inflate to.
 INFLATED = 1 << 26
 
@@ -113,16 +119,25 @@ def escape_layer(layer: Layer) -> Layer | None:
 
 
 def inflate(data: bytes) -> tuple[bytes | None, bool]:
-    """(content, too large) of a gzip or zlib stream, through streams within streams; None if there is none."""
+    """(content, too large) of a gzip or zlib stream, all its members, through streams within streams; None if there is none."""
     seen, opened = {data}, False
-    while data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and not (data[0] * 256 + data[1]) % 31):
-        try:
-            stream = zlib.decompressobj(47)
-            data = stream.decompress(data, INFLATED)
-        except zlib.error:
-            return None, False
-        if stream.unconsumed_tail:
-            return None, True
+    while packed(data):
+        parts, room = [], INFLATED
+        # Members may follow each other; what is no member behind the last one is not part of the stream.
+        while packed(data):
+            try:
+                stream = zlib.decompressobj(47)
+                part = stream.decompress(data, room + 1)
+            except zlib.error:
+                if not parts:
+                    return None, False
+                break
+            if len(part) > room:
+                return None, True
+            parts.append(part)
+            room -= len(part)
+            data = stream.unused_data
+        data = b"".join(parts)
         if data in seen:
             return None, False
         seen.add(data)
@@ -130,6 +145,10 @@ def inflate(data: bytes) -> tuple[bytes | None, bool]:
     return (data if opened else None), False
 
 
+def packed(data: bytes) -> bool:
+    return data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and not (data[0] * 256 + data[1]) % 31)
+
+
 def readable(data: bytes) -> str | None:
     try:
         text = data.decode("utf-8")
@@ -138,32 +157,75 @@ def readable(data: bytes) -> str | None:
     return text if text and not UNPRINTED.search(text) else None
 
 
+def base64_starts(run: str) -> list[int]:
+    """Where a payload may begin in a run: at each alignment of its start, and behind each group of separators."""
+    starts = [0, 1, 2, 3, *(m.end() for m in SEPARATOR.finditer(run))]
+    return [at for at in dict.fromkeys(starts) if len(run) - at >= 16 and promising(run[at : at + HEAD])]
+
+
+def promising(head: str) -> bool:
+    """Whether what a payload begins with decodes to a stream's mark or the beginning of a text."""
+    data = decoded(head)
+    if data is None or packed(data):
+        return data is not None
+    try:
+        return not UNPRINTED.search(getincrementaldecoder("utf-8")().decode(data))
+    except UnicodeDecodeError:
+        return False
+
+
+def decoded(chars: str) -> bytes | None:
+    """The bytes of a base64 text, without a last character that stands for no byte."""
+    run = chars.rstrip("=").translate({45: 43, 95: 47})
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    try:
+        return base64.b64decode(run + "=" * (-len(run) % 4))
+    except binascii.Error:
+        return None
+
+
 def base64_layers(layer: Layer) -> tuple[list[Layer], int]:
     out, unopened = [], 0
     for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").translate({45: 43, 95: 47})
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
-        except binascii.Error:
-            continue
-        content, large = inflate(data)
-        unopened += large
-        if content is not None:
-            if text := readable(content):
-                start, stop = layer.span(*m.span())
-                out.append(Layer(text, np.full(len(text), start), np.full(len(text), stop), layer.depth + 1))
-        elif not large and (text := readable(data)):
-            # Byte i comes from the characters 4i // 3 to (4i + 3) // 3 of the run.
-            ends = np.cumsum([len(c.encode()) for c in text])
-            begins = np.concatenate([[0], ends[:-1]])
-            a, b = m.start() + begins * 4 // 3, m.start() + (ends * 4 + 2) // 3 - 1
-            starts = a if layer.starts is None else layer.starts[a]
-            stops = b + 1 if layer.stops is None else layer.stops[b]
-            out.append(Layer(text, starts, stops, layer.depth + 1))
+        breaks = [x.span() for x in LINE_BREAK.finditer(m[0])]
+        large_run = False
+        lines = [(a, b) for a, b in zip([0, *(e for _, e in breaks)], [*(s for s, _ in breaks), len(m[0])])]
+        # The lines as one run, then each line by itself, as they need not belong together.
+        for wrapped in [lines, *([x] for x in lines if len(lines) > 1)]:
+            chars = "".join(m[0][a:b] for a, b in wrapped)
+            places = np.concatenate([np.arange(a, b) for a, b in wrapped]) + m.start()
+            for at in base64_starts(chars):
+                new, large = base64_layer(layer, chars[at:], places[at:])
+                large_run |= large
+                if new is not None:
+                    out.append(new)
+                if new is not None or large:
+                    break
+        unopened += large_run
     return out, unopened
 
 
+def base64_layer(layer: Layer, chars: str, places: np.ndarray) -> tuple[Layer | None, bool]:
+    """The layer that a run decodes to, if any, and whether it is too large; ``places`` are those of its characters."""
+    data = decoded(chars)
+    if data is None:
+        return None, False
+    content, large = inflate(data)
+    if content is not None:
+        if text := readable(content):
+            start, stop = layer.span(int(places[0]), int(places[-1]) + 1)
+            return Layer(text, np.full(len(text), start), np.full(len(text), stop), layer.depth + 1), False
+    elif not large and (text := readable(data)):
+        # Byte i comes from the characters 4i // 3 to (4i + 3) // 3 of the run.
+        ends = np.cumsum([len(c.encode()) for c in text])
+        begins = np.concatenate([[0], ends[:-1]])
+        a, b = places[begins * 4 // 3], places[(ends * 4 + 2) // 3 - 1]
+        starts = a if layer.starts is None else layer.starts[a]
+        stops = b + 1 if layer.stops is None else layer.stops[b]
+        return Layer(text, starts, stops, layer.depth + 1), False
+    return None, large
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int, int]], int]:
     """All findings as (start, kind, end, depth) in order, and the number of layers left unopened."""
     found: dict[tuple[int, int, int], int] = {}

@@ -41,6 +41,27 @@ def test_spans_map_to_the_original():
     assert [(text[a:b], d) for a, _, b, d in scan(text)[0]] == [("%70assword%3A abcdefghijkl", 1)]
 
 
+def wrapped(text, width=76):
+    return "\n".join(text[i : i + width] for i in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("text", [
+    base64.b64encode(gzip.compress(b"first member, no secret ") + gzip.compress(SECRET.encode())).decode(),
+    wrapped(base64.b64encode(gzip.compress(hashlib.sha512(b"x").hexdigest().upper().encode() + b" " + SECRET.encode())).decode()),
+    wrapped(base64.b64encode(b"a line of words before it, so that it breaks " + SECRET.encode()).decode(), 64),
+    f"blob-{B64}", f"x_{B64}", f"/files/v1/{B64}", f"xyz{B64}",
+])
+def test_members_wrapped_lines_and_prefixes(text):
+    got = found(f"see {text} tail")
+    assert [(k, d) for k, _, d in got] == [("assign", 1)]
+    assert all(span in text for _, span, _ in got)
+
+
+def test_lines_that_do_not_belong_together():
+    noise = "abcdefghijklmnopq"  # not a multiple of four
+    assert [k for k, _, d in found(f"{noise}\n{B64}") if d == 1] == ["assign"]
+
+
 def test_base_rules():
     assert found("token = token=\"abcdefghijklmnop\"") == []  # the short match takes the place of the long one
     assert found("toKen=abcdefghijkl paſswd=abcdefghijkl") == []  # only ASCII letters have two cases
