@@ -27,12 +27,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.texts import stored
 
-#: Links of a node, in-links in a block, rounds, share of new links to stop at.
-LINKS, BLOCK, ROUNDS, STILL = 24, 48, 2, 0.05
+#: Links of a node, in-links in a block, share of new links to stop at.
+LINKS, BLOCK, STILL = 24, 48, 0.05
 #: Orders of the start, nodes of a leaf, links that a leaf gives a node.
 ORDERS, LEAF, PICKED = 20, 2048, 12
 #: Nodes that a search expands, and entry nodes for queries that are not in the index.
-BEAM, ENTRIES, SEARCHES = 40, 8, 12
+BEAM, ENTRIES = 40, 8
 SEED = 11
 
 
@@ -210,10 +210,10 @@ def descend(nodes: DataFrame, graph: DataFrame, links: int) -> DataFrame:
     return stored(nearest_links(both, links), "graph")
 
 
-def build(nodes: DataFrame, links: int = LINKS, rounds: int = ROUNDS) -> DataFrame:
-    """The neighbour graph (u, v, near, fresh)."""
+def build(nodes: DataFrame, links: int = LINKS) -> DataFrame:
+    """The neighbour graph (u, v, near, fresh). Links only give way to nearer ones, so the rounds end."""
     graph = first_graph(nodes, links)
-    for _ in range(rounds):
+    while True:
         graph = descend(nodes, graph, links)
         fresh, every = graph.agg(F.count_if("fresh"), F.count(F.lit(1))).first()
         if fresh <= STILL * every:
@@ -243,7 +243,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, k: int, beam:
     away = at_home.filter("node is null").select("query_id", F.explode(F.array(*map(F.lit, entries)) if entries else F.array().cast("array<long>")).alias("node"))
     pool = stored(scored(home.unionByName(away)).withColumn("open", F.lit(True)), "pool")
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "node")
-    for _ in range(SEARCHES):
+    while True:
         ranked = pool.withColumn("nth", F.row_number().over(nearest))
         front = ranked.filter((F.col("nth") <= beam) & F.col("open"))
         reached = front.select("query_id", F.col("node").alias("u")).join(ways, "u").select("query_id", F.col("v").alias("node")).distinct()

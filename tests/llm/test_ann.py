@@ -74,3 +74,24 @@ def test_recall_on_the_test_table(spark, sf_dir):
         best = set(ids[np.lexsort((ids, -score))[:5]].tolist())
         hits.append(len(best & found[int(ids[at])]) / 5)
     assert np.mean(hits) >= 0.9
+
+
+@pytest.mark.parametrize("size", [500, 2000])
+def test_descent_finds_what_small_leaves_do_not(files, monkeypatch, size):
+    """Leaves of 24 in two orders hold few of the neighbours, so the rounds have to find them."""
+    monkeypatch.setattr(ann, "LEAF", 24)
+    monkeypatch.setattr(ann, "ORDERS", 2)
+    x = np.random.default_rng(7).standard_normal((size, 8)).astype(np.float32)
+    sound = ann.usable(files([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), "vec_id", "embedding")
+    nodes = ann.nodes_of(sound, 6)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T
+    np.fill_diagonal(near, -2)
+    best = np.argsort(-near, axis=1)[:, :5]
+
+    def recall(graph):
+        links = {(r.u, r.v) for r in graph.select("u", "v").collect()}
+        return np.mean([(u, int(v)) in links for u in range(size) for v in best[u]])
+
+    print(size, recall(ann.first_graph(nodes, 10)), done := recall(ann.build(nodes, 10)))
+    assert done >= 0.9 > recall(ann.first_graph(nodes, 10)) + 0.2
