@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ann, exact_dedup, line_dedup, mixing, pieces, secret_scan, simhash, token_counts, toxicity, warc
+from millrace.llm import (
+    ann, bpe_chunks, exact_dedup, line_dedup, merkle, mixing, phrases, pieces, secret_scan, simhash, token_counts, toxicity, warc,
+)
 from millrace.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +85,24 @@ def op3(spark, sf_dir):
 @query("op2_nn_descent")
 def op2(spark, sf_dir):
     return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def word_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op11_bpe_chunks")
+def op11(spark, sf_dir):
+    return bpe_chunks.digests(table(spark, sf_dir, "documents"), word_model())
+
+
+@query("op12_collocations", phrases.ORACLE)
+def op12(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle", merkle.ORACLE)
+def op13(spark, sf_dir):
+    return merkle.tampering(table(spark, sf_dir, "documents"))
