@@ -2,16 +2,18 @@
 
 Texts are lower-cased in ASCII, cut into pieces at punctuation and line ends, and pieces into words at spaces and
 tabs. A suffix is the words from a place on within its piece, at most ``DEPTH`` of them. The suffix tree of a
-language is partitioned by prefixes (as ERA does): a pass counts the one-word prefixes, and a prefix with more than a
-quarter of ``BUDGET`` occurrences is extended by a word, counted in a pass of its own, until none is left or the
-depth is reached. Prefixes are dealt to groups by hash, as many as keep a group near the budget; suffixes end before
-a word that is itself too rare, and equal suffixes of a task are combined before the shuffle. Each group then builds
-its subtrees alone, level by level: a node's total is the sum of the leaves below it, and nodes below ``least`` are
-not opened. Extended prefixes have their totals from the pass that counted them.
-
-Words travel as 64-bit hashes. The pass that counts words also shows whether two words share one; then it
-starts anew with another seed, so totals are exact. Rare words and extended prefixes reach the tasks as bit
-filters of a fixed size, whose false positives cost work only.
+language is partitioned by prefixes (as ERA does): passes count the prefixes of one and of two words, and a prefix of
+more than ``BUDGET`` occurrences is extended by a word, counted in a pass of its own, until none is left or the
+depth is reached. Prefixes are dealt to groups by hash, so many that a group holds a quarter of the budget on average;
+suffixes under a prefix that is itself too rare are left out, others end before a word that is too rare, and equal
+suffixes of a task are combined before the shuffle. Each group then builds its subtrees alone, level by level:
+a node's total is the sum of the leaves below it, and nodes below ``least`` are not opened. Prefixes of two words and
+extended ones have their totals from the passes that counted them.
+
+Words travel as 64-bit hashes, the ``SHORT`` most frequent ones as small numbers in their place. The pass that counts
+words also shows whether two words share a code; then it starts anew with another seed, so totals are exact.
+Frequent words, frequent prefixes and extended ones reach the tasks as tables and bit filters of a fixed size, whose
+limits and false positives cost work only.
 
 Scores: a candidate is a phrase of two words or more with at least ``least`` occurrences; of the cuts into two parts,
 the one with the lowest floor(1000 * a * n / (l * r)) counts, then the earlier one. A candidate that lies in a longer
@@ -34,10 +36,12 @@ from millrace.llm.bits import bit_filter, held
 from millrace.llm.texts import stored, whole
 
 DEPTH, LEAST, TOP = 5, 100, 2000
-#: Suffixes that a group should hold; a prefix heavier than a quarter of it is extended.
+#: Suffixes under one prefix above which it is extended; a group holds a quarter on average.
 BUDGET = 1 << 20
-#: Words that a task gathers before it combines and hands on, and word hashes that it remembers.
-ROOM, REMEMBERED = 1 << 21, 300_000
+#: Words that a task gathers before it combines and hands on, and word codes that it remembers.
+ROOM, REMEMBERED = 1 << 20, 200_000
+#: Frequent words with a short code.
+SHORT = 1 << 18
 #: Log of the bits of the filter of extended prefixes.
 HOT_BITS = 23
 
@@ -54,18 +58,19 @@ def marked_words(text: bytes) -> list[bytes]:
 
 
 class Coder(dict):
-    """Hash of each word as a signed number; zero is the mark."""
+    """Code of each word as a signed number; zero is the mark. ``short`` holds hashes, whose places are short codes."""
 
-    def __init__(self, seed: int):
+    def __init__(self, seed: int, short: np.ndarray | None = None):
         super().__init__({MARK: 0})
         self.seed, self.words = seed, {}
+        self.short = {} if short is None else {c: i for i, c in enumerate(short.tolist(), 1)}
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
         code = xxhash.xxh64_intdigest(word, self.seed)
         code -= (code >> 63) << 64
-        self[word] = code
+        self[word] = code = self.short.get(code, code)
         self.words[code] = word
         return code
 
@@ -106,29 +111,37 @@ def mixed(lang: str, columns: list[np.ndarray]) -> list[np.ndarray]:
     return keys
 
 
-def windows(codes: np.ndarray, known: np.ndarray, depth: int) -> list[np.ndarray]:
-    """For each place the codes of its suffix, zero from the first mark or rare word on."""
+def prefixes(codes: np.ndarray, known: np.ndarray, lang: str, pairs: np.ndarray | None, depth: int) -> list[np.ndarray]:
+    """Codes of the suffixes that go on to a second frequent word, zero from the first mark or rare word on.
+
+    With a filter of pairs, only those under a frequent pair.
+    """
     good = codes != 0
     good[good] = held(known, codes[good])
-    columns, alive = [], np.ones(len(codes), dtype=bool)
-    for k in range(depth):
-        moved, fine = np.zeros_like(codes), np.zeros(len(codes), dtype=bool)
-        moved[: len(codes) - k], fine[: len(codes) - k] = codes[k:], good[k:]
-        alive = alive & fine
-        columns.append(np.where(alive, moved, 0))
+    at = np.flatnonzero(good[:-1] & good[1:])
+    columns = [codes[at], codes[at + 1]]
+    if pairs is not None:
+        kept = held(pairs, mixed(lang, columns)[1])
+        at, columns = at[kept], [c[kept] for c in columns]
+    alive = np.ones(len(at), dtype=bool)
+    for k in range(2, depth):
+        there = np.minimum(at + k, len(codes) - 1)  # the last code is a mark
+        alive &= good[there]
+        columns.append(np.where(alive, codes[there], 0))
     return columns
 
 
-def combined(columns: list[np.ndarray], mix: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Rows that are equal in all columns as one, the number of each, and where it stood; ``mix`` brings equal rows together."""
-    order = np.argsort(mix, kind="stable")
+def combined(columns: list[np.ndarray], keys: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows that are equal in all columns as one, and the number of each; those of one prefix stand together."""
+    mix = (keys[-2] & np.uint64(0xFFFFFFFF << 32)) | (keys[-1] >> np.uint64(32))
+    order = np.argsort(mix)
     columns = [c[order] for c in columns]
     if not len(order):
-        return columns, np.zeros(0, dtype=np.int64), order
+        return columns, np.zeros(0, dtype=np.int64)
     new = np.ones(len(order), dtype=bool)
     new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
     at = np.flatnonzero(new)
-    return [c[at] for c in columns], np.diff(np.append(at, len(order))), order[at]
+    return [c[at] for c in columns], np.diff(np.append(at, len(order)))
 
 
 def texts_of(df: DataFrame) -> DataFrame:
@@ -136,60 +149,87 @@ def texts_of(df: DataFrame) -> DataFrame:
 
 
 def counted_words(texts: DataFrame, seed: int) -> DataFrame:
-    """(lang, word, c1, key, n) of every word."""
+    """(lang, word, hash, n) of every word."""
 
     def run(batches):
         coder = Coder(seed)
         for by_lang in gathered(batches, coder):
             for lang, codes in by_lang.items():
                 found, n = np.unique(codes[codes != 0], return_counts=True)
-                if len(found):
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": [lang] * len(found), "word": pa.array([coder.words[c] for c in found.tolist()], pa.binary()).cast(pa.string()),
-                        "c1": found, "key": mixed(lang, [found])[0].view(np.int64), "n": n,
-                    })
-            # A word hashed to zero would pass for a mark; it shows here as a word twice in the table of hashes.
-            if 0 in coder.words:
-                yield pa.RecordBatch.from_pydict({k: pa.array([v] * 1, t) for k, v, t in [
-                    ("lang", "", pa.string()), ("word", "", pa.string()), ("c1", 0, pa.int64()), ("key", 0, pa.int64()), ("n", 0, pa.int64())]})
+                words = pa.array([coder.words[c] for c in found.tolist()], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(n), pa.string()), "word": words, "hash": found, "n": n})
+            if 0 in coder.words:  # a word with the code of the mark: the seed is given up
+                yield pa.RecordBatch.from_pydict({"lang": [""], "word": [""], "hash": pa.array([0], pa.int64()), "n": pa.array([0], pa.int64())})
 
-    rows = texts.mapInArrow(run, "lang string, word string, c1 long, key long, n long")
-    return stored(rows.groupBy("lang", "word", "c1", "key").agg(F.sum("n").alias("n")), "words")
+    rows = texts.mapInArrow(run, "lang string, word string, hash long, n long")
+    return stored(rows.groupBy("lang", "word", "hash").agg(F.sum("n").alias("n")), "words")
 
 
 def one_to_one(words: DataFrame) -> bool:
-    """Whether no two words share a hash, and none has that of the mark."""
-    doubles = words.groupBy("c1").agg(F.min("word").alias("low"), F.max("word").alias("high"))
-    return doubles.filter("low <> high or c1 = 0").isEmpty()
+    """Whether no two words share a hash, and none has that of the mark or of a short code."""
+    doubles = words.groupBy("hash").agg(F.min("word").alias("low"), F.max("word").alias("high"))
+    return doubles.filter((F.col("low") != F.col("high")) | F.col("hash").between(0, SHORT)).isEmpty()
 
 
-def extended(keys: list[np.ndarray], hot: list[np.ndarray]) -> list[np.ndarray]:
-    """For each counted depth, where the prefix of that many words is extended."""
-    out, now = [], np.ones(len(keys[0]), dtype=bool)
-    for key, filter_ in zip(keys, hot):
-        now = now & held(filter_, key)
-        out.append(now)
-    return out
+def short_codes(frequent: DataFrame) -> np.ndarray:
+    """Hashes of the most frequent words, ``SHORT`` at most."""
+    totals = frequent.groupBy("hash").agg(F.sum("n").alias("n"))
+    return totals.orderBy(F.desc("n"), "hash").limit(SHORT).select("hash").toPandas()["hash"].to_numpy(dtype=np.int64)
 
 
-def counted_prefixes(texts: DataFrame, seed: int, known, hot: list, depth: int) -> DataFrame:
-    """(lang, c1 .., key, n) of the prefixes of ``depth`` words whose shorter prefixes are all extended."""
+class Pass:
+    """What every task of a pass over the texts knows: the seed and the bounded tables."""
 
-    def run(batches):
-        for by_lang in gathered(batches, Coder(seed)):
+    def __init__(self, seed: int, short, known, pairs=None, hot=()):
+        self.seed, self.short, self.known, self.pairs, self.hot = seed, short, known, pairs, list(hot)
+
+    def suffixes(self, batches, depth: int) -> Iterator[tuple[str, list[np.ndarray]]]:
+        pairs = self.pairs.value if self.pairs is not None else None
+        for by_lang in gathered(batches, Coder(self.seed, self.short.value)):
             for lang, codes in by_lang.items():
-                columns = windows(codes, known.value, depth)
-                keys = mixed(lang, columns)
-                keep = (columns[-1] != 0) & extended(keys, [h.value for h in hot])[-1]
-                kept, n, at = combined([c[keep] for c in columns], keys[-1][keep])
-                if len(n):
-                    yield pa.RecordBatch.from_pydict(
-                        {"lang": [lang] * len(n)} | dict(zip(CODES, kept)) | {"key": keys[-1][keep][at].view(np.int64), "n": n}
-                    )
+                yield lang, prefixes(codes, self.known.value, lang, pairs, depth)
+
+    def extended(self, keys: list[np.ndarray]) -> list[np.ndarray]:
+        """From two words on, where the prefix is extended."""
+        out, now = [], np.ones(len(keys[0]), dtype=bool)
+        for key, filter_ in zip(keys[1:], self.hot):
+            now = now & held(filter_.value, key)
+            out.append(now)
+        return out
+
+
+def counted_prefixes(texts: DataFrame, told: Pass, depth: int) -> DataFrame:
+    """(lang, c1 .., n) of the prefixes of ``depth`` words whose shorter ones from two words on are extended."""
+
+    def run(batches):
+        for lang, columns in told.suffixes(batches, depth):
+            keep = columns[-1] != 0
+            for further in told.extended(mixed(lang, columns)):
+                keep = keep & further
+            columns = [c[keep] for c in columns]
+            kept, n = combined(columns, mixed(lang, columns))
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(n), pa.string())} | dict(zip(CODES, kept)) | {"n": n})
 
     names = CODES[:depth]
-    rows = texts.mapInArrow(run, "lang string, " + ", ".join(f"{c} long" for c in names) + ", key long, n long")
-    return stored(rows.groupBy("lang", *names, "key").agg(F.sum("n").alias("n")), "prefixes")
+    rows = texts.mapInArrow(run, "lang string, " + ", ".join(f"{c} long" for c in names) + ", n long")
+    return rows.groupBy("lang", *names).agg(F.sum("n").alias("n"))
+
+
+def keyed(rows: DataFrame, depth: int) -> DataFrame:
+    """The rows (lang, c1 .., n) with the hash of their prefix as ``key``."""
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(1 + i).to_numpy(zero_copy_only=False) for i in range(depth)]
+            langs = np.array(batch.column(0).to_pylist(), dtype=object)
+            key = np.zeros(len(langs), dtype=np.uint64)
+            for lang in set(langs.tolist()):
+                own = langs == lang
+                key[own] = mixed(lang, [c[own] for c in columns])[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key.view(np.int64))], [*batch.schema.names, "key"])
+
+    names = CODES[:depth]
+    return rows.select("lang", *names, "n").mapInArrow(run, "lang string, " + ", ".join(f"{c} long" for c in names) + ", n long, key long")
 
 
 def only_extended(rows: DataFrame, hot) -> DataFrame:
@@ -203,36 +243,35 @@ def only_extended(rows: DataFrame, hot) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
-def suffixes(texts: DataFrame, seed: int, known, hot: list, groups: int) -> DataFrame:
-    """(lang, part, root, c1 .. , n): suffixes of two words or more with their group and the length of their prefix."""
+def dealt(texts: DataFrame, told: Pass, groups: int) -> DataFrame:
+    """(lang, part, root, c1 .. , n): suffixes of three words or more with their group and the length of their prefix."""
 
     def run(batches):
-        for by_lang in gathered(batches, Coder(seed)):
-            for lang, codes in by_lang.items():
-                columns = windows(codes, known.value, DEPTH)
-                keep = columns[1] != 0
-                columns, n, _ = combined([c[keep] for c in columns], mixed(lang, columns)[-1][keep])
-                if not len(n):
-                    continue
-                keys = mixed(lang, columns)
-                root, key = np.ones(len(n), dtype=np.int32), keys[0].copy()
-                for d, further in enumerate(extended(keys, [h.value for h in hot]), 2):
-                    root[further] = d
-                    key[further] = keys[d - 1][further]
-                # A suffix that ends in an extended prefix was counted with it.
-                ends = np.sum([c != 0 for c in columns], axis=0) >= root
-                part = (key % np.uint64(groups)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict(
-                    {"lang": [lang] * int(ends.sum()), "part": part[ends], "root": root[ends]} | {c: x[ends] for c, x in zip(CODES, columns)} | {"n": n[ends]}
-                )
-
-    return texts.mapInArrow(run, "lang string, part long, root int, " + ", ".join(f"{c} long" for c in CODES) + ", n long")
+        for lang, columns in told.suffixes(batches, DEPTH):
+            longer = columns[2] != 0
+            columns = [c[longer] for c in columns]
+            columns, n = combined(columns, [mixed(lang, columns[:2])[1], mixed(lang, columns)[-1]])
+            keys = mixed(lang, columns)
+            root, key = np.full(len(n), 2, dtype=np.int32), keys[1].copy()
+            for d, further in enumerate(told.extended(keys), 3):
+                root[further] = d
+                key[further] = keys[d - 1][further]
+            # A suffix that ends in an extended prefix was counted with it.
+            kept = np.sum([c != 0 for c in columns], axis=0) >= root
+            part = (key % np.uint64(groups)).astype(np.int32)
+            named = {"lang": pa.array([lang] * int(kept.sum()), pa.string()), "part": part[kept], "root": root[kept]}
+            yield pa.RecordBatch.from_pydict(named | {c: x[kept] for c, x in zip(CODES, columns)} | {"n": n[kept]})
+
+    rows = texts.mapInArrow(run, "lang string, part int, root int, " + ", ".join(f"{c} long" for c in CODES) + ", n long")
+    return rows.repartition(groups, "lang", "part")
 
 
 def subtree(columns: list[np.ndarray], root: np.ndarray, n: np.ndarray, least: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Nodes of two words and more of the subtrees of a group: their codes and totals, level by level."""
-    _, above = np.unique(columns[0], return_inverse=True)
-    for depth in range(2, len(columns) + 1):
+    """Nodes of three words and more of the subtrees of a group: their codes and totals, level by level."""
+    order = np.lexsort((columns[1], columns[0]))
+    columns, root, n = [c[order] for c in columns], root[order], n[order]
+    above = np.cumsum(np.concatenate([[False], (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])]))
+    for depth in range(3, len(columns) + 1):
         there = columns[depth - 1] != 0
         columns, root, n, above = [c[there] for c in columns], root[there], n[there], above[there]
         if not len(n):
@@ -270,33 +309,39 @@ def subtrees(rows: DataFrame, least: int) -> DataFrame:
 
 
 def phrase_counts(df: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
-    """(lang, word, c1, n) of all words, and (lang, codes, a) of the phrases of two words up to ``DEPTH`` with that total."""
-    share = df.sparkSession.sparkContext.broadcast
+    """(lang, word, code, n) of all words, and (lang, codes, a) of the phrases of two words up to ``DEPTH`` with that total."""
+    spark = df.sparkSession
+    share = spark.sparkContext.broadcast
     texts, seed = texts_of(df), 0
     words = counted_words(texts, seed)
     while not one_to_one(words):
         seed += 1
         words = counted_words(texts, seed)
-    known = share(bit_filter(words.filter(F.col("n") >= least), "c1"))
-    hot: list = []
-    found: list[DataFrame] = []
-    counts = words.select("lang", "c1", "key", "n")
-    for depth in range(1, DEPTH):
-        heavy = counts.filter(F.col("n") > max(budget // 4, least))
+    frequent = words.filter(F.col("n") >= least)
+    short = short_codes(frequent)
+    codes = spark.createDataFrame(list(zip(short.tolist(), range(1, len(short) + 1))), "hash long, short long")
+    words = words.join(codes, "hash", "left").select("lang", "word", F.coalesce("short", "hash").alias("code"), "n")
+    known = share(bit_filter(words.filter(F.col("n") >= least), "code"))
+
+    told = Pass(seed, share(short), known)
+    counts = stored(keyed(counted_prefixes(texts, told, 2).filter(F.col("n") >= least), 2), "pairs")
+    told.pairs = share(bit_filter(counts, "key"))
+    found = [counts]
+    for depth in range(3, DEPTH + 1):
+        heavy = counts.filter(F.col("n") > budget)
         if heavy.isEmpty():
             break
-        hot.append(share(bit_filter(heavy, "key", HOT_BITS)))
-        if depth > 1:
-            found.append(only_extended(counts, hot[-1]))
-        counts = counted_prefixes(texts, seed, known, hot, depth + 1)
-    if len(hot) == DEPTH - 1:
+        told.hot.append(share(bit_filter(heavy, "key", HOT_BITS)))
+        if depth > 3:
+            found.append(only_extended(counts, told.hot[-1]))
+        counts = stored(keyed(counted_prefixes(texts, told, depth).filter(F.col("n") >= least), depth), "longer")
+    if len(told.hot) == DEPTH - 2:
         found.append(counts)  # whole suffixes: counted already, they open no subtree
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    nodes = subtrees(suffixes(texts, seed, known, hot, -(-total // budget) or 1), least)
+    total = found[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    nodes = subtrees(dealt(texts, told, -(-total * 4 // budget) or 1), least)
     for rows in found:
-        codes = [c for c in rows.columns if c in CODES]
-        nodes = nodes.unionByName(rows.filter(F.col("n") >= least).select("lang", F.array(*codes).alias("codes"), F.col("n").alias("a")))
-    return words.drop("key"), stored(nodes.distinct() if found else nodes, "phrases")
+        nodes = nodes.unionByName(rows.select("lang", F.array(*[c for c in rows.columns if c in CODES]).alias("codes"), F.col("n").alias("a")))
+    return words, stored(nodes.distinct() if told.hot else nodes, "phrases")
 
 
 def collocations(df: DataFrame, least: int = LEAST, top: int = TOP, share: int = 100, budget: int = BUDGET) -> DataFrame:
@@ -304,7 +349,7 @@ def collocations(df: DataFrame, least: int = LEAST, top: int = TOP, share: int =
     words, phrases = phrase_counts(df, least, budget)
     frequent = words.filter(F.col("n") >= least)
     size = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    parts = phrases.unionByName(frequent.select("lang", F.array("c1").alias("codes"), F.col("n").alias("a")))
+    parts = phrases.unionByName(frequent.select("lang", F.array("code").alias("codes"), F.col("n").alias("a")))
     longer = phrases.filter(F.size("codes") > 2).select(
         "lang", F.explode(F.array(F.expr("slice(codes, 1, size(codes) - 1)"), F.expr("slice(codes, 2, size(codes) - 1)"))).alias("codes"), "a"
     ).groupBy("lang", "codes").agg(F.max("a").alias("longer"))
@@ -318,7 +363,7 @@ def collocations(df: DataFrame, least: int = LEAST, top: int = TOP, share: int =
     wide = {c: F.col(c).cast("decimal(19,0)") for c in "alrn"}
     scored = both.withColumns({"over": (wide["a"] * 1000).cast("decimal(23,0)") * wide["n"], "under": wide["l"] * wide["r"]}).withColumn("score", F.expr("over div under"))
     best = scored.groupBy("lang", "codes", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    placed = best.select("*", F.posexplode("codes").alias("i", "c1")).join(frequent.select("lang", "c1", "word"), ["lang", "c1"])
+    placed = best.select("*", F.posexplode("codes").alias("i", "code")).join(frequent.select("lang", "code", "word"), ["lang", "code"])
     named = placed.groupBy("lang", "codes", "a", "n", "cut").agg(F.array_sort(F.collect_list(F.struct("i", "word")))["word"].alias("w"))
     rows = named.select("lang", F.array_join("w", " ").alias("phrase"), "a", "cut.l", "cut.r", "n", "cut.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

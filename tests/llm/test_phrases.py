@@ -60,7 +60,7 @@ def test_empty_table(files):
 
 def test_numbers_beyond_64_bits(spark, monkeypatch):
     big = 10**12
-    words = spark.createDataFrame([("en", "a", 1, big), ("en", "b", 2, big), ("en", "z", 3, 8 * big)], "lang string, word string, c1 long, n long")
+    words = spark.createDataFrame([("en", "a", 1, big), ("en", "b", 2, big), ("en", "z", 3, 8 * big)], "lang string, word string, code long, n long")
     found = spark.createDataFrame([("en", [1, 2], big - 1)], "lang string, codes array<long>, a long")
     monkeypatch.setattr(phrases, "phrase_counts", lambda *a: (words, found))
     row = phrases.collocations(None).first()
@@ -68,10 +68,19 @@ def test_numbers_beyond_64_bits(spark, monkeypatch):
 
 
 def test_words_that_share_a_hash_are_seen(spark):
-    schema = "lang string, word string, c1 long, key long, n long"
-    assert phrases.one_to_one(spark.createDataFrame([("en", "a", 5, 1, 1), ("fr", "a", 5, 2, 1), ("fr", "b", 6, 3, 1)], schema))
-    assert not phrases.one_to_one(spark.createDataFrame([("en", "a", 5, 1, 1), ("fr", "b", 5, 2, 1)], schema))
-    assert not phrases.one_to_one(spark.createDataFrame([("en", "a", 0, 1, 1)], schema))
+    schema, big = "lang string, word string, hash long, n long", phrases.SHORT + 5
+    assert phrases.one_to_one(spark.createDataFrame([("en", "a", big, 1), ("fr", "a", big, 1), ("fr", "b", -6, 1)], schema))
+    assert not phrases.one_to_one(spark.createDataFrame([("en", "a", big, 1), ("fr", "b", big, 1)], schema))
+    assert not phrases.one_to_one(spark.createDataFrame([("en", "a", 0, 1)], schema))
+    assert not phrases.one_to_one(spark.createDataFrame([("en", "a", 7, 1)], schema))
+
+
+def test_few_short_codes_change_nothing(files, monkeypatch):
+    rng = random.Random(8)
+    rows = [(" ".join(rng.choice("abcdefg") for _ in range(60)), "en") for _ in range(40)]
+    df = files([(i, t, lang, "", 0) for i, (t, lang) in enumerate(rows)], SCHEMA)
+    monkeypatch.setattr(phrases, "SHORT", 3)
+    assert rows_of(phrases.collocations(df, least=9, top=50)) == brute(rows, 9, 50)
 
 
 def test_query_is_its_sql(spark):
