@@ -13,48 +13,67 @@ encoded once more; if that agrees with the pieces' own ids they stay, else it re
 
 Defined cases: a null text is the empty one, without ids. Repeated rows and null identifiers keep their rows. Columns
 named ``ids`` and ``decoded`` are replaced, any others may have any name. A text without cuts is cut at ``LONGEST``
-characters. Within a task each distinct word is handed to the library once. Added tokens in a text are found as the
-library finds them.
+characters. Added tokens in a text are found as the library finds them.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.bits import bit_filter, held
 from millrace.llm.texts import stored, whole
 
 WINDOW, BITS, LONGEST = 16, 10, 1 << 16
-#: Distinct words whose ids a worker remembers; a full table starts anew.
-REMEMBERED = 200_000
-POWERS = np.array([pow(0x9E3779B97F4A7C15, WINDOW - 1 - k, 1 << 64) for k in range(WINDOW)], dtype=np.uint64)
-
-# The ASCII white space besides the space.
-SPACES = {c: " " for c in range(0x09, 0x0E)}
-#: ids: packed integers; inner: the bytes between the ids of ``front`` and those of ``back``; cut: whether there is white space.
+#: Texts that are encoded and handed on together.
+TOGETHER = 256
+#: The base of the rolling hash and its inverse modulo 2 ** 32, and characters that are hashed at a time.
+BASE, BLOCK = 0x9E3779B1, 1 << 16
+
+#: The normaliser that has a short cut for Latin-1 texts.
+LOWERING = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]}
+
+# The ASCII white space.
+SPACES = " \t\n\x0b\x0c\r"
+#: ids: packed integers, of which ``head`` bytes come from ``front`` and ``tail`` bytes from ``back``; cut: whether there is white space.
 PIECE = "struct<ids: binary, head: int, tail: int, front: string, back: string, cut: boolean>"
-SEGMENT = f"array<struct<digest: binary, piece: {PIECE}>>"
-RESULT = "struct<ids: array<int>, decoded: string>"
+
+
+@lru_cache(maxsize=1)
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse."""
+    base, inverse = (np.full(BLOCK + WINDOW, x, dtype=np.uint32) for x in (BASE, pow(BASE, -1, 1 << 32)))
+    base[0] = inverse[0] = 1
+    return np.multiply.accumulate(base, dtype=np.uint32), np.multiply.accumulate(inverse, dtype=np.uint32)
+
+
+def rolled(code: np.ndarray) -> np.ndarray:
+    """Hash of each window of ``WINDOW`` characters, from differences of one running sum."""
+    up, down = powers()
+    size = len(code) - WINDOW + 1
+    sums = np.zeros(len(code) + 1, dtype=np.uint32)
+    np.cumsum(code * down[: len(code)], dtype=np.uint32, out=sums[1:])
+    found = (sums[WINDOW:] - sums[:size]) * up[:size]
+    found ^= found >> np.uint32(15)
+    return found * np.uint32(0x85EBCA6B)
 
 
 def chunk_ends(text: str, bits: int = BITS) -> list[int]:
     """Where the chunks of a text end."""
     marks: list[int] = []
-    if len(text) > WINDOW:
-        code = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        size = len(code) - WINDOW + 1
-        rolled = np.zeros(size, dtype=np.uint64)
-        for k in range(WINDOW):
-            rolled += code[k : k + size] * POWERS[k]
-        rolled ^= rolled >> np.uint64(29)
-        rolled *= np.uint64(0xBF58476D1CE4E5B9)
-        marks = (np.flatnonzero(rolled >> np.uint64(64 - bits) == 0) + WINDOW).tolist()
+    code = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    below = np.uint32(1 << (32 - bits))
+    for at in range(0, len(code) - WINDOW, BLOCK):
+        found = rolled(code[at : at + BLOCK + WINDOW - 1])
+        marks += (np.flatnonzero(found < below) + at + WINDOW).tolist()
     ends, at = [], 0
     for mark in [*marks, len(text)]:
         while mark - at > LONGEST:
@@ -82,7 +101,7 @@ def digest(chunk: str) -> bytes:
 
 
 class Encoder:
-    """The library's ids of texts, by way of the distinct words between ASCII white space."""
+    """The library, with ids as bytes of integers."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
@@ -91,64 +110,91 @@ class Encoder:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        self.words: dict[str, list[int]] = {}
-        self.packed = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = [[w for w in text.translate(SPACES).split(" ") if w] for text in texts]
-        new = list(set().union(*cut).difference(self.words))
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            new = list(set().union(*cut))
-        self.words.update(zip(new, [e.ids for e in self.model.encode_batch_fast(new, add_special_tokens=False)]))
-        return [[i for word in words for i in self.words[word]] for words in cut]
+        size = self.model.get_vocab_size()
+        kept = json.loads(self.model.to_str())
+        self.plain = None
+        if kept["normalizer"] == LOWERING:
+            self.added = [token["content"].lower() for token in kept["added_tokens"]]
+            self.plain = Tokenizer.from_str(json.dumps(kept | {"normalizer": None}))
+        self.packed = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.tokens = [self.model.id_to_token(i) for i in range(size)]
+
+    def lowered(self, text: str) -> str | None:
+        """What the model's normaliser makes of a text but for the width of white space, which is no token; None if it is to do so.
+
+        Latin-1 is composed already and has no lower case that depends on neighbours.
+        """
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        low = text.lower()
+        return None if any(a in low for a in self.added) else low
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids without special tokens. A normaliser that only lowers Latin-1 texts is done here, which costs it less."""
+        low = [self.lowered(t) if self.plain else None for t in texts]
+        some = iter(self.plain.encode_batch_fast([t for t in low if t is not None], add_special_tokens=False) if self.plain else ())
+        rest = iter(self.model.encode_batch_fast([t for t, x in zip(texts, low) if x is None], add_special_tokens=False))
+        return [np.array(next(rest if x is None else some).ids, dtype=self.packed).tobytes() for x in low]
+
+    def decode(self, ids: list[int]) -> str:
+        """As the library's; without a decoder it puts spaces between tokens."""
+        if self.model.decoder is None:
+            return " ".join(map(self.tokens.__getitem__, ids))
+        return self.model.decode(ids, skip_special_tokens=False)
 
     def pieces(self, texts: list[str]) -> list[dict]:
         """Every text as a piece."""
         parts, cut = [], []
         for text in texts:
-            flat = text.translate(SPACES)
-            first, last = flat.find(" "), flat.rfind(" ")
+            first = min((i for i in map(text.find, SPACES) if i >= 0), default=-1)
+            last = max(map(text.rfind, SPACES))
             cut.append(first >= 0)
             parts += [text[:first], text[first : last + 1], text[last + 1 :]] if first >= 0 else [text, "", ""]
         ids = self.encode(parts)
         return [
-            {"ids": np.array(a + b + c, dtype=self.packed).tobytes(), "head": len(a), "tail": len(c), "front": parts[3 * i], "back": parts[3 * i + 2], "cut": cut[i]}
+            {"ids": a + b + c, "head": len(a), "tail": len(c), "front": parts[3 * i], "back": parts[3 * i + 2], "cut": cut[i]}
             for i, (a, b, c) in enumerate(zip(ids[::3], ids[1::3], ids[2::3]))
         ]
 
-    def joined(self, rows: list[list[dict]]) -> list[list[int]]:
+    def joined(self, rows: list[list[dict]]) -> list[bytes]:
         """The ids of texts given as lists of pieces, their joins repaired."""
         plans: list[list] = []
-        windows: dict[str, list[int]] = {}
+        windows: dict[str, bytes] = {}
         for row in rows:
             plan: list = []
-            around, own, met = "", [], 0
+            around, own, met = "", b"", 0
             for piece in row:
-                ids = np.frombuffer(piece["ids"], dtype=self.packed).tolist()
+                ids = piece["ids"]
                 head = piece["head"] if piece["cut"] else len(ids)
                 around, own, met = around + piece["front"], own + ids[:head], met + 1
                 if piece["cut"]:
                     plan += [(around, own, met > 1), ids[head : len(ids) - piece["tail"]]]
                     around, own, met = piece["back"], ids[len(ids) - piece["tail"] :], 1
             plan.append((around, own, met > 1))
-            windows.update((p[0], []) for p in plan if isinstance(p, tuple) and p[2])
+            windows.update((p[0], b"") for p in plan if isinstance(p, tuple) and p[2])
             plans.append(plan)
         windows = dict(zip(windows, self.encode(list(windows))))
         out = []
         for plan in plans:
-            ids: list[int] = []
+            settled = []
             for part in plan:
                 if isinstance(part, tuple):
                     around, own, doubtful = part
                     part = windows[around] if doubtful and windows[around] != own else own
-                ids += part
-            out.append(ids)
+                settled.append(part)
+            out.append(b"".join(settled))
         return out
 
-    def result(self, ids: list[list[int]]) -> pa.Array:
-        decoded = [self.model.decode(x, skip_special_tokens=False) for x in ids]
-        return pa.StructArray.from_arrays([pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["ids", "decoded"])
+    def numbers(self, ids: bytes) -> np.ndarray:
+        return np.frombuffer(ids, dtype=self.packed)
+
+    def result(self, encoded: list[bytes]) -> pa.Array:
+        flat = self.numbers(b"".join(encoded)).astype(np.int32)
+        offsets = np.cumsum([0, *(len(x) // self.packed.itemsize for x in encoded)], dtype=np.int32)
+        decoded = [self.decode(self.numbers(x).tolist()) for x in encoded]
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(decoded, pa.string())], ["ids", "decoded"])
 
 
 @lru_cache(maxsize=2)
@@ -157,22 +203,16 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def chunk_keys(text: Column, bits: int) -> Column:
-    @F.arrow_udf("array<long>")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([keys_of(chunks(t, bits)).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
-
-    return run(text)
-
+def chunk_keys(texts: DataFrame, bits: int) -> DataFrame:
+    """(key) of every chunk of the rows (text)."""
 
-def holds_shared(text: Column, known, bits: int) -> Column:
-    """Whether a chunk of the text may occur elsewhere."""
-
-    @F.arrow_udf("boolean")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([bool(held(known.value, keys_of(chunks(t, bits))).any()) for t in texts.to_pylist()], pa.bool_())
+    def run(batches):
+        for batch in batches:
+            for at in range(0, len(batch), TOGETHER):
+                found = [keys_of(chunks(t, bits)) for t in batch.column(0).slice(at, TOGETHER).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
 
-    return run(text)
+    return texts.mapInArrow(run, "key long")
 
 
 def chunk_table(texts: DataFrame, known, path: str, bits: int) -> DataFrame:
@@ -181,16 +221,18 @@ def chunk_table(texts: DataFrame, known, path: str, bits: int) -> DataFrame:
     def found(batches):
         for batch in batches:
             seen: dict[bytes, str] = {}
-            for text in batch.column(0).to_pylist():
-                parts = chunks(text, bits)
+            for text in batch.column(0):
+                parts = chunks(text.as_py(), bits)
                 for i in np.flatnonzero(held(known.value, keys_of(parts))).tolist():
                     seen.setdefault(digest(parts[i]), parts[i])
             yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.string())], ["digest", "chunk"])
 
     def encoded(batches):
         for batch in batches:
-            made = encoder(path).pieces(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, piece_type())], ["digest", "piece"])
+            for at in range(0, len(batch), TOGETHER):
+                some = batch.slice(at, TOGETHER)
+                made = encoder(path).pieces(some.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(made, piece_type())], ["digest", "piece"])
 
     distinct = texts.mapInArrow(found, "digest binary, chunk string").groupBy("digest").agg(F.first("chunk").alias("chunk"))
     return stored(distinct.mapInArrow(encoded, f"digest binary, piece {PIECE}"), "chunks")
@@ -200,65 +242,92 @@ def piece_type() -> pa.DataType:
     return pa.struct([("ids", pa.binary()), ("head", pa.int32()), ("tail", pa.int32()), ("front", pa.string()), ("back", pa.string()), ("cut", pa.bool_())])
 
 
-def segments(text: Column, known, path: str, bits: int) -> Column:
-    """A text as references to shared chunks and, between them, encoded pieces."""
-
-    @F.arrow_udf(SEGMENT)
-    def run(texts: pa.Array) -> pa.Array:
-        rows, own = [], []
-        for text in texts.to_pylist():
-            parts, row = chunks(text, bits), []
-            for part, shared in zip(parts, held(known.value, keys_of(parts)).tolist()):
-                if shared:
-                    row.append({"digest": digest(part), "piece": None})
-                elif row and row[-1]["digest"] is None:
-                    row[-1]["piece"] += part
-                else:
-                    row.append({"digest": None, "piece": part})
-            own += [s for s in row if s["digest"] is None]
-            rows.append(row)
-        for segment, piece in zip(own, encoder(path).pieces([s["piece"] for s in own])):
-            segment["piece"] = piece
-        return pa.array(rows, pa.list_(pa.struct([("digest", pa.binary()), ("piece", piece_type())])))
-
-    return run(text)
-
-
-def encoded_whole(text: Column, path: str) -> Column:
-    @F.arrow_udf(RESULT)
-    def run(texts: pa.Array) -> pa.Array:
-        return encoder(path).result(encoder(path).encode(texts.to_pylist()))
-
-    return run(text)
-
-
-def encoded_pieces(pieces: Column, path: str) -> Column:
-    @F.arrow_udf(RESULT)
-    def run(rows: pa.Array) -> pa.Array:
-        return encoder(path).result(encoder(path).joined(rows.to_pylist()))
+def split_rows(batches, known, bits: int):
+    """A few rows (id, row, text) at a time, with the chunks of their texts and which of those may be shared."""
+    for batch in batches:
+        for at in range(0, len(batch), TOGETHER):
+            some = batch.slice(at, TOGETHER)
+            parts = [chunks(t, bits) for t in some.column(2).to_pylist()]
+            yield some, parts, [held(known.value, keys_of(p)) for p in parts]
+
+
+def encoded_alone(rows: DataFrame, kind: str, known, path: str, bits: int) -> DataFrame:
+    """(row, ids, decoded) of the texts without shared chunks."""
+
+    def run(batches):
+        for some, parts, shared in split_rows(batches, known, bits):
+            alone = [not s.any() for s in shared]
+            made = encoder(path).result(encoder(path).encode(["".join(p) for p, a in zip(parts, alone) if a]))
+            yield pa.RecordBatch.from_arrays([some.filter(pa.array(alone)).column(1), *made.flatten()], ["row", "ids", "decoded"])
+
+    return rows.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
+
+
+def segments(rows: DataFrame, kind: str, known, path: str, bits: int) -> DataFrame:
+    """(id, i, row, digest, piece) of the other texts: references to shared chunks and, between them, encoded pieces.
+
+    The row stands with the first segment.
+    """
+
+    def run(batches):
+        for some, parts, shared in split_rows(batches, known, bits):
+            ids, places, first, digests_, pieces = [], [], [], [], []
+            own: list[int] = []
+            for at, (id_, texts, flags) in enumerate(zip(some.column(0).to_pylist(), parts, shared)):
+                if not flags.any():
+                    continue
+                before, begin = False, len(ids)
+                for text, flag in zip(texts, flags.tolist()):
+                    if not flag and before:
+                        pieces[-1] += text
+                        continue
+                    if not flag:
+                        own.append(len(ids))
+                    before = not flag
+                    first.append(at if len(ids) == begin else None)
+                    places.append(len(ids) - begin)
+                    ids.append(id_)
+                    digests_.append(digest(text) if flag else None)
+                    pieces.append(None if flag else text)
+            for at, piece in zip(own, encoder(path).pieces([pieces[i] for i in own])):
+                pieces[at] = piece
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(places, pa.int32()), some.column(1).take(pa.array(first, pa.int64())), pa.array(digests_, pa.binary()), pa.array(pieces, piece_type())],
+                ["id", "i", "row", "digest", "piece"],
+            )
+
+    return rows.mapInArrow(run, f"id long, i int, row {kind}, digest binary, piece {PIECE}")
+
+
+def encoded_pieces(rows: DataFrame, kind: str, path: str) -> DataFrame:
+    """(row, ids, decoded) from rows (row, pieces in order)."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, len(batch), TOGETHER):
+                some = batch.slice(at, TOGETHER)
+                made = encoder(path).result(encoder(path).joined(some.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([some.column(0), *made.flatten()], ["row", "ids", "decoded"])
 
-    return run(pieces)
+    return rows.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
 
 
 def tokenize(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, bits: int = BITS) -> DataFrame:
     """The columns ``keep`` (all if not given) with ``ids`` (array of int) and ``decoded``."""
     names = [c for c in (df.columns if keep is None else keep) if c not in ("ids", "decoded")]
-    rows = df.select(F.struct(*[df[c] for c in names]).alias("row"), whole(df[text]).alias("text"))
-    counts = rows.select(F.explode(chunk_keys(rows["text"], bits)).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    rows = df.select(F.monotonically_increasing_id().alias("id"), F.struct(*[df[c] for c in names]).alias("row"), whole(df[text]).alias("text"))
+    kind, texts = rows.schema["row"].dataType.simpleString(), rows.select("text")
+    counts = chunk_keys(texts, bits).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     known = df.sparkSession.sparkContext.broadcast(bit_filter(counts.filter("n > 1"), "key"))
-    alone = ~holds_shared(rows["text"], known, bits)
-    single = rows.filter(alone).select("row", encoded_whole(F.col("text"), path).alias("x"))
-
-    table = chunk_table(rows.select("text"), known, path, bits)
-    cut = rows.filter(~alone).select("row", segments(F.col("text"), known, path, bits).alias("parts"))
-    cut = cut.withColumn("id", F.monotonically_increasing_id()).select("id", "row", F.posexplode("parts").alias("i", "part"))
-    placed = cut.select("id", "i", F.when(F.col("i") == 0, F.col("row")).alias("row"), "part.digest", "part.piece")
-    met = placed.join(table.withColumnRenamed("piece", "shared"), "digest", "left")
+    single = encoded_alone(rows, kind, known, path, bits)
+
+    table = chunk_table(texts, known, path, bits).withColumnRenamed("piece", "shared")
+    met = segments(rows, kind, known, path, bits).join(table, "digest", "left")
     piece = F.struct("i", F.coalesce("piece", "shared").alias("piece"))
     gathered = met.groupBy("id").agg(F.first("row", ignorenulls=True).alias("row"), F.collect_list(piece).alias("parts"))
     in_order = F.array_sort("parts", lambda a, b: a["i"] - b["i"])["piece"]
-    several = gathered.select("row", encoded_pieces(in_order, path).alias("x"))
-    return single.unionByName(several).select("row.*", "x.*")
+    several = encoded_pieces(gathered.select("row", in_order.alias("parts")), kind, path)
+    return single.unionByName(several).select("row.*", "ids", "decoded")
 
 
 def digests(df: DataFrame, path: str) -> DataFrame:

@@ -26,9 +26,15 @@ def test_joins_are_repaired(model):
         text = "".join(rng.choice("  abcABC.,'s\t\n1é漢́ \x1c<|endoftext|>") for _ in range(rng.randint(0, 60)))
         ends = sorted(rng.sample(range(len(text) + 1), min(len(text), rng.randint(0, 9)))) + [len(text)]
         parts = [text[a:b] for a, b in zip([0, *ends], ends)]
-        assert encoder.joined([encoder.pieces(parts)])[0] == ids_of(model, text), (text, parts)
+        ids = encoder.numbers(encoder.joined([encoder.pieces(parts)])[0]).tolist()
+        assert ids == ids_of(model, text), (text, parts)
+        assert encoder.decode(ids) == model.decode(ids, skip_special_tokens=False)
+    assert encoder.plain is not None
+    for _ in range(3000):
+        text = "".join(chr(rng.randint(0, 255)) if rng.random() < 0.5 else rng.choice("aB '<|endoftext|>\u0301") for _ in range(rng.randint(0, 40)))
+        assert encoder.numbers(encoder.encode([text])[0]).tolist() == ids_of(model, text), text
     whole = "x" * 400 + "<|endoftext|>" + "Don't " * 50
-    assert encoder.encode([whole, ""]) == [ids_of(model, whole), []]
+    assert [encoder.numbers(x).tolist() for x in encoder.encode([whole, ""])] == [ids_of(model, whole), []]
 
 
 def test_chunks_depend_on_their_surroundings_only():
@@ -37,7 +43,9 @@ def test_chunks_depend_on_their_surroundings_only():
     passage = " ".join(rng.choice(words) for _ in range(3000))
     one, two = bpe_chunks.chunks(passage, 8), bpe_chunks.chunks("elsewhere " * 7 + passage, 8)
     assert "".join(one) == passage and one[1:] == two[-len(one) + 1 :] and len(one) > 20
-    flat = bpe_chunks.chunks("a" * (bpe_chunks.LONGEST * 2 + 5), 40)
+    long = "".join(rng.choice("abcd ") for _ in range(3 * bpe_chunks.BLOCK))
+    assert bpe_chunks.chunks(long, 6)[-50:] == bpe_chunks.chunks(long[bpe_chunks.BLOCK + 7 :], 6)[-50:]
+    flat = bpe_chunks.chunks("a" * (bpe_chunks.LONGEST * 2 + 5), 30)
     assert [len(c) for c in flat] == [bpe_chunks.LONGEST] * 2 + [5]
     assert bpe_chunks.chunks("", 8) == []
 
