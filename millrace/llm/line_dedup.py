@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.texts import SPACE, numbered, stored, whole
+from millrace.llm.texts import SPACE, free_name, numbered, stored, whole
 
 #: Words of the shortest run that is always found, and of the shortest that may be deleted.
 GUARANTEE, NOISE = 50, 40
@@ -96,19 +96,21 @@ def repeated_lines(docs: DataFrame, guarantee: int = GUARANTEE, noise: int = NOI
     return gone.groupBy("__row").agg(F.collect_list("n").alias("dropped"))
 
 
-def drop_repeats(df: DataFrame, guarantee: int = GUARANTEE, noise: int = NOISE) -> DataFrame:
-    """The rows with ``text`` free of repeated runs, and ``lines_deleted``."""
-    docs = numbered(df)
-    gone = repeated_lines(docs.select("__row", "doc_id", "text"), guarantee, noise)
+def drop_repeats(df: DataFrame, guarantee: int = GUARANTEE, noise: int = NOISE, deleted: str | None = "lines_deleted") -> DataFrame:
+    """The rows with ``text`` free of repeated runs and the number of deleted lines, replacing a column of that name.
+
+    With ``deleted=None`` the rows have their own columns only.
+    """
+    row, dropped = free_name(df, "__row"), free_name(df, "__dropped")
+    docs = numbered(df, row)
+    gone = repeated_lines(docs.select(docs[row].alias("__row"), "doc_id", "text"), guarantee, noise).toDF(row, dropped)
     parts = F.split("text", "\n")
-    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("dropped")))
+    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(dropped)))
     cleaned = F.array_join(F.transform(kept, lambda i: parts[i]), "\n")
-    joined = docs.join(gone, "__row", "left")
-    return joined.select(
-        *[F.when(F.col("dropped").isNull(), F.col("text")).otherwise(cleaned).alias("text") if c == "text" else joined[c]
-          for c in df.columns if c != "lines_deleted"],
-        F.coalesce(F.size("dropped"), F.lit(0)).alias("lines_deleted"),
-    )
+    names = [c for c in df.columns if c != deleted]
+    text = F.when(F.col(dropped).isNull(), F.col("text")).otherwise(cleaned).alias("text")
+    count = [F.coalesce(F.size(dropped), F.lit(0)).alias(deleted)] if deleted else []
+    return docs.join(gone, row, "left").select(*[text if c == "text" else F.col(c) for c in names], *count)
 
 
 def digests(df: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.texts import SPACE, stored, whole
+from millrace.llm.texts import free_name, SPACE, stored, whole
 
 #: Hexadecimal digits of the order that name a bucket.
 DIGITS = 3
@@ -118,21 +118,25 @@ def cuts(df: DataFrame, levels: list[Level], parts: int, of: int, max_epochs: in
 
 
 def mix(
-    df: DataFrame, levels: list[Level], parts: int = 9, of: int = 10, max_epochs: int = 1, seed: int = 7
+    df: DataFrame, levels: list[Level], parts: int = 9, of: int = 10, max_epochs: int = 1, seed: int = 7,
+    epoch: str | None = "epoch", place: str | None = "place",
 ) -> DataFrame:
     """The selected rows, once for each epoch that takes them, with ``epoch`` and their ``place`` in its order.
 
-    The rows of a leaf meet its few numbers in a join by the leaf's key. Spark broadcasts that table
-    of leaves if its stored size allows, and else splits the join's skewed keys.
+    Columns of these two names are replaced; with None the rows have their own columns only. The rows of a leaf meet
+    its few numbers in a join by the leaf's key. Spark broadcasts that table of leaves if its stored size allows,
+    and else splits the join's skewed keys.
     """
-    names = [f"__{level.name}" for level in levels]
+    names = [free_name(df, f"__{level.name}") for level in levels]
+    epochs, cut, now, at = (free_name(df, f"__{c}") for c in ("epochs", "cut", "epoch", "place"))
     tree = cuts(df, levels, parts, of, max_epochs, seed)
-    tree = tree.select(*[F.col(level.name).alias(n) for level, n in zip(levels, names)], "epochs", "cut")
-    keyed = df.drop("epoch", "place", "epochs", "cut").withColumns({n: F.expr(level.key) for level, n in zip(levels, names)})
-    passes = F.expr("filter(sequence(0, cast(epochs as int)), e -> e < epochs or cut is not null)")
-    each = keyed.join(tree, names).withColumn("epoch", F.explode(passes))
-    taken = each.withColumn("place", ordered(seed, F.col("epoch"))).filter("epoch < epochs or place <= cut")
-    return taken.drop(*names, "epochs", "cut")
+    tree = tree.select(*[F.col(level.name).alias(n) for level, n in zip(levels, names)], F.col("epochs").alias(epochs), F.col("cut").alias(cut))
+    keyed = df.withColumns({n: F.expr(level.key) for level, n in zip(levels, names)})
+    passes = F.filter(F.sequence(F.lit(0), F.col(epochs).cast("int")), lambda e: (e < F.col(epochs)) | F.col(cut).isNotNull())
+    each = keyed.join(tree, names).withColumn(now, F.explode(passes))
+    taken = each.withColumn(at, ordered(seed, F.col(now))).filter((F.col(now) < F.col(epochs)) | (F.col(at) <= F.col(cut)))
+    more = {epoch: F.col(now), place: F.col(at)}
+    return taken.select(*[c for c in df.columns if c not in more], *[c.alias(n) for n, c in more.items() if n])
 
 
 # The tree of the test tables: a source's domain follows from its number. Weights are the targets.

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import components
-from millrace.llm.texts import numbered, stored, whole
+from millrace.llm.texts import free_name, numbered, stored, whole
 
 SEED, BITS, DISTANCE = 42, 64, 2
 #: Distinct fingerprints up to which those of a bucket are paired.
@@ -136,14 +136,17 @@ def similar_documents(df: DataFrame, words: int = 3) -> DataFrame:
 
 
 # Near-duplicates at a stated similarity. Two texts of which 0.8 of the shingles agree differ in about ten of
-# 64 bits: more than segments of useful width can hold equal. Candidates are therefore texts that share one of
-# their least shingle hashes; their sizes, pigeonring budgets for WIDE bits over a ring of RING segments (five
-# deviations above those ten bits) and sketches prune them, and their whole sets of shingles decide.
+# 64 bits: more than segments of useful width can hold equal. Candidates are therefore texts that share a rare one of
+# their least shingle hashes; sizes, pigeonring budgets for WIDE bits over a ring of RING segments (five
+# deviations above those ten bits) and sketches prune those that meet a leader, and whole sets of shingles decide.
 WIDE, RING = 24, 8
-#: Least distinct hashes kept of a text, those of them that gather candidates, and texts compared with all of a gathering first.
-SKETCH, ANCHORS, LEADERS = 128, 8, 4
-#: How far below the similarity sketches may put a pair (over four deviations), and texts of a gathering in one block.
-MARGIN, TOGETHER = 0.25, 512
+#: Least distinct hashes kept of a text; of the first ANCHORS similar texts share at least the part COMMON (five
+#: deviations below what 0.8 leads one to expect), so they share one of the rarest that are left beside so many.
+SKETCH, ANCHORS, COMMON = 128, 32, 0.56
+#: How far below the similarity sketches may put a pair (over four deviations).
+MARGIN = 0.25
+#: Texts, and shingles of texts, that a block holds; columns of a matrix of texts by shingles.
+TOGETHER, SHINGLES, COLUMNS = 512, 1 << 18, 1 << 12
 SKETCHED = "struct<fp: long, sketch: array<long>, size: long, same: binary>"
 
 
@@ -212,52 +215,121 @@ def settled(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, si
     return stored(counted.filter(F.col("common") / (F.col("n") - F.col("common")) >= similarity).select("a", "b"), "links")
 
 
+def rare_anchors(nodes: DataFrame) -> DataFrame:
+    """(node, anchor, weight): the hashes through which each row (node, sketch) meets others.
+
+    Of two sets that have at least c of m elements in common, the m - c + 1 rarest of either, in one order of all,
+    include a common one. Rarity is the number of texts with that hash among their least; one that no other
+    text has gathers nobody. A passage of very many texts comes last in the order, so it gathers only texts
+    that consist of it for the most part. ``weight`` is how common the hashes of the text are on average.
+    """
+    each = nodes.select("node", F.explode(F.slice("sketch", 1, ANCHORS)).alias("anchor"))
+    counts = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    met = each.join(counts, "anchor").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("times", "anchor"))).alias("found"))
+    size = F.least(F.size("sketch"), F.lit(ANCHORS))
+    kept = met.join(nodes.select("node", "sketch"), "node").withColumn("size", size).withColumn(
+        "open", F.size("found") - F.ceil(F.lit(COMMON) * F.col("size")).cast("int") + 1
+    ).filter("open > 0")
+    weight = F.aggregate("found", F.lit(0).cast("long"), lambda total, x: total + x["times"]) / F.col("size")
+    return kept.select("node", weight.alias("weight"), F.explode(F.slice("found.anchor", F.lit(1), F.col("open"))).alias("anchor"))
+
+
 def leader_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of each row (anchor, node, fp, size) with a few leaders of its anchor."""
-    one = F.struct("node", "fp", "size")
-    leaders = F.array_distinct(F.array(*[F.min_by(one, F.xxhash64("node", F.lit(i))) for i in range(LEADERS)]))
-    shared = members.groupBy("anchor").agg(leaders.alias("leaders"), F.count(F.lit(1)).alias("times")).filter("times > 1")
-    met = members.join(shared, "anchor").withColumn("l", F.explode("leaders")).filter("node <> l.node")
+    """Pairs of each row (anchor, weight, node, fp, size) with the heaviest of its anchor: the centre of a group of copies."""
+    leader = F.max_by(F.struct("node", "fp", "size"), F.struct("weight", "node"))
+    shared = members.groupBy("anchor").agg(leader.alias("l"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    met = members.join(shared, "anchor").filter("node <> l.node")
     return met.select(
         F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b"),
         F.col("fp").alias("fa"), F.col("l.fp").alias("fb"), F.col("size").alias("na"), F.col("l.size").alias("nb"),
     )
 
 
-def all_pairs(members: DataFrame, together: int = TOGETHER) -> DataFrame:
-    """Every pair of rows (anchor, node, root, fp, size) that share an anchor and have different roots.
-
-    The rows of an anchor are dealt to blocks and each block meets each, so that no task holds or pairs
-    more than two blocks at a time however many texts share an anchor.
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements every set of one list has in common with every one of the other."""
+    both = [*left, *right]
+    found, at = np.unique(np.concatenate(both), return_inverse=True)
+    rows = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    shared = np.bincount(at, minlength=len(found)) > 1
+    place = np.cumsum(shared) - 1
+    rows, at = rows[shared[at]], place[at[shared[at]]]
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        inside = (at >= low) & (at < low + COLUMNS)
+        matrix = np.zeros((len(both), COLUMNS), dtype=np.float32)
+        matrix[rows[inside], at[inside] - low] = 1
+        total += matrix[: len(left)] @ matrix[len(left) :].T
+    return total
+
+
+def spanning(pairs: list[tuple], roots: dict) -> list[tuple]:
+    """Those of the pairs that join what the roots and the pairs before have not."""
+    above: dict = {}
+
+    def top(x):
+        while above.get(x, x) != x:
+            x = above[x]
+        return x
+
+    kept = []
+    for a, b in pairs:
+        ra, rb = top(roots[a]), top(roots[b])
+        if ra != rb:
+            above[ra] = rb
+            kept.append((a, b))
+    return kept
+
+
+def block_links(members: DataFrame, similarity: float, together: int = TOGETHER) -> DataFrame:
+    """Links (a, b) that join all similar rows (cluster, node, root, found) of a cluster; ``found`` is the set of shingles.
+
+    The rows of a cluster are dealt to blocks of a stated size and each block meets each in a task of its own, which
+    counts the common shingles of all its pairs and hands on only those that join something.
     """
-    shared = members.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / together).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
-    dealt = members.join(shared.filter("low <> high").select("anchor", "blocks"), "anchor")
-    dealt = stored(dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "blocks")
-    left = dealt.select(
-        "anchor", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"),
-        F.col("node").alias("a"), F.col("root").alias("ra"), F.col("fp").alias("fa"), F.col("size").alias("na"),
-    )
-    right = dealt.select(
-        "anchor", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"),
-        F.col("node").alias("b"), F.col("root").alias("rb"), F.col("fp").alias("fb"), F.col("size").alias("nb"),
-    )
-    return left.join(right, ["anchor", "i", "j"]).filter("ra <> rb and (i < j or a < b)").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "fa", "fb", "na", "nb"
-    )
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / together, F.sum(F.size("found")) / SHINGLES)).cast("int")
+    sizes = members.groupBy("cluster").agg(blocks.alias("blocks"))
+    dealt = members.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = stored(dealt, "blocks")
+    left = dealt.select("cluster", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "node", "root", "found")
+    right = dealt.filter("own > 0").select("cluster", F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "node", "root", "found")
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = list(zip(*[table.column(c).to_pylist() for c in ("side", "node", "root")]))
+        sets = [np.array(x, dtype=np.int64) for x in table.column("found").to_pylist()]
+        a = [k for k, r in enumerate(rows) if r[0] == 0]
+        same = table.column("i")[0] == table.column("j")[0]
+        b = a if same else [k for k, r in enumerate(rows) if r[0] == 1]
+        if not a or not b:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        common = common_counts([sets[k] for k in a], [sets[k] for k in b])
+        size = np.array([len(s) for s in sets], dtype=np.float32)
+        all_ = np.maximum(size[a][:, None] + size[b][None, :] - common, 1)
+        root = np.array([r[2] for r in rows], dtype=np.int64)
+        hits = np.argwhere((common / all_ >= similarity - 1e-6) & (root[a][:, None] != root[b][None, :]))
+        pairs = [(rows[a[x]][1], rows[b[y]][1]) for x, y in hits.tolist() if not same or x < y]
+        kept = spanning(pairs, {r[1]: r[2] for r in rows})
+        return pa.table({"a": pa.array([min(p) for p in kept], pa.int64()), "b": pa.array([max(p) for p in kept], pa.int64())})
+
+    return left.unionByName(right).groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def similar_links(nodes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """Links (a, b) that join all of the rows (node, fp, sketch, size) which share an anchor and resemble each other.
 
-    The texts of an anchor first meet a few leaders, which joins the most part of large groups of copies.
-    Then every pair whose texts are not yet in one component is met, so none is left out.
+    The texts of an anchor first meet the heaviest of them, which joins most of a large group of copies. Texts
+    that share an anchor but are not joined yet form clusters, and within a cluster all are compared.
     """
-    anchors = nodes.select("node", "fp", "size", F.explode(F.slice("sketch", 1, ANCHORS)).alias("anchor"))
+    anchors = stored(rare_anchors(nodes).join(nodes.select("node", "fp", "size"), "node"), "anchors")
     possible = leader_pairs(anchors).filter(likely(similarity)).select("a", "b").distinct()
     rooted = stored(components(settled(possible, nodes, texts, words, similarity), "a", "b"), "roots")
-    placed = anchors.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = all_pairs(placed).filter(likely(similarity)).select("a", "b").distinct()
-    return settled(rest, nodes, texts, words, similarity).unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    placed = stored(anchors.join(rooted, "node", "left").select("anchor", "node", F.coalesce("root", "node").alias("root")), "placed")
+    apart = placed.groupBy("anchor").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    edges = placed.join(apart.select("anchor", "low"), "anchor").filter("root <> low").select(F.col("root").alias("a"), F.col("low").alias("b")).distinct()
+    clusters = components(edges, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("cluster"))
+    members = placed.select("node", "root").distinct().join(clusters, "root")
+    found = texts.join(members, "node").select("cluster", "node", "root", shingle_sets(whole("text"), words).alias("found"))
+    links = block_links(stored(found, "members"), similarity)
+    return stored(links, "links").unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
 
 def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -266,15 +338,16 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8)
     Of each group that links of at least that resemblance join, the row with the smallest doc_id stays;
     null identifiers come last, then the order of the table decides. Texts without words are one group.
     """
-    docs = numbered(df)
-    prints = stored(docs.select("__row", "doc_id", sketched(whole(df["text"]), words).alias("x")).select("__row", "doc_id", "x.*"), "sketches")
+    row = free_name(df, "__row")
+    docs = numbered(df, row)
+    prints = stored(docs.select(F.col(row).alias("__row"), "doc_id", sketched(whole("text"), words).alias("x")).select("__row", "doc_id", "x.*"), "sketches")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
     copies = prints.groupBy("same").agg(F.min(place).alias("least"), F.min("__row").alias("node"))
     nodes = stored(copies.join(prints.select(F.col("__row").alias("node"), "fp", "sketch", "size"), "node"), "nodes")
-    texts = docs.select(F.col("__row").alias("node"), "text")
+    texts = docs.select(F.col(row).alias("node"), "text")
     rooted = components(similar_links(nodes, texts, words, similarity), "a", "b")
     placed = nodes.select("same", "node", "least").join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stays = placed.groupBy("root").agg(F.min("least").alias("stays"))
     groups_of = placed.join(stays, "root").select("same", F.col("stays.__row").alias("stays"))
-    gone = prints.select("__row", "same").join(groups_of, "same").filter("__row <> stays").select("__row")
-    return docs.join(stored(gone, "gone"), "__row", "left_anti").select(*df.columns)
+    gone = prints.select("__row", "same").join(groups_of, "same").filter("__row <> stays").select(F.col("__row").alias(row))
+    return docs.join(stored(gone, "gone"), row, "left_anti").select(*df.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.session import scratch_path
 
@@ -31,13 +31,26 @@ def whole(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def numbered(df: DataFrame, name: str = "__row") -> DataFrame:
     """Rows of a table read from files under a number of their own, whatever their identifiers.
 
-    The number follows from the file's split and the place in it, so each scan of the same table in a
-    session gives the same one, and what was derived from one scan can be joined to another.
+    The number is the file's place among the paths and the row's place in the file. It does not depend on how
+    files are split, so whatever is derived from one scan can be joined to another, also after executors come or go.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    places = df.select(F.col("_metadata.file_path").alias("path")).distinct()
+    files = stored(places.withColumn("file", F.row_number().over(Window.orderBy("path")).cast("long")), "files")
+    path, file = free_name(df, "__path"), free_name(df, "__file")
+    spot = df.withColumns({path: F.col("_metadata.file_path"), name: F.col("_metadata.row_index")})
+    met = spot.join(files.toDF(path, file), path)
+    return met.withColumn(name, F.call_function("shiftleft", F.col(file), F.lit(40)).bitwiseOR(F.col(name))).drop(path, file)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm.queries import piece_model
@@ -66,6 +67,33 @@ def test_stages(spark, folder, tmp_path):
     }
 
 
+def test_rows_keep_their_numbers_when_splits_change(spark, folder):
+    from millrace.llm.texts import numbered
+
+    seen = []
+    for parts in ("1", "16"):
+        spark.conf.set("spark.sql.files.minPartitionNum", parts)
+        try:
+            docs = numbered(spark.read.parquet(f"{folder[0]}/documents.parquet"), "row")
+            seen.append(sorted((r.row, str(r.doc_id), r.text or "") for r in docs.select("row", "doc_id", "text").collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert seen[0] == seen[1] and len({r[0] for r in seen[0]}) == len(folder[1])
+
+
+def test_stages_keep_columns_of_any_name(spark, folder, tmp_path):
+    names = "__row __dropped dropped lines_deleted __path __file __epochs __cut __epoch __place epochs cut epoch place __domain h n fp same row node anchor".split()
+    frame = spark.read.parquet(f"{folder[0]}/documents.parquet")
+    frame = frame.select("*", *[F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in names])
+    for at, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        frame.write.parquet(str(tmp_path / f"in{at}"))
+        read = spark.read.parquet(str(tmp_path / f"in{at}"))
+        frame = stage(spark, read, folder[0])
+        assert frame.columns == read.columns, name
+    rows = frame.collect()
+    assert rows and all(r[c] == f"{c}-{'none' if r.doc_id is None else r.doc_id}" for r in rows for c in names)
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
