@@ -1,4 +1,4 @@
-"""SNK, AGG: tables as versions, checked by reading back."""
+"""SNK, AGG: tables as versions and batches without their bad rows, checked by reading back."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from millrace.catalog.sinks import _COUNTS, _SLIM, _UPSERT, _counts, _lines
 from millrace.schemas import TENANT_KEYS
 from millrace.session import scratch_path
 from millrace.sinks import snapshots
+from millrace.streaming.isolation import IsolatingSink
 
 
 @query(
@@ -94,3 +95,25 @@ def _(f):
     return written(f.orders_clean, "orders_clean", F.col("is_large_order") == 1, "quantity_tons").unionByName(
         written(f.shipments_clean, "shipments_clean", F.col("is_efficient") == 1, "transit_days")
     )
+
+
+@query(
+    "snk_10_bad_rows",
+    """SELECT event_id, event_type, CASE WHEN event_id % 5000 = 7 THEN 'refused' ELSE 'stored' END AS outcome FROM events""",
+)
+def _(f):
+    root = scratch_path(f.spark, "isolated")
+
+    def refuse(rows, folder):
+        if not rows.filter("event_id % 5000 = 7").isEmpty():
+            raise ValueError("refused")
+        rows.write.mode("append").parquet(folder)
+
+    sink = IsolatingSink(f"{root}/rows", f"{root}/dead", "events", TEST_TENANT, refuse, "events")
+    rows = f.table("events").select("event_id", "event_type")
+    for _ in range(2):  # the batch and its replay
+        sink(rows, 0)
+    kept = f.spark.read.parquet(f"{root}/rows").select("event_id", "event_type", F.lit("stored").alias("outcome"))
+    dead = f.spark.read.schema("error string, record string").json(f"{root}/dead")
+    record = F.from_json("record", rows.schema)
+    return kept.unionByName(dead.select(record["event_id"].alias("event_id"), record["event_type"].alias("event_type"), F.col("error").alias("outcome")))
