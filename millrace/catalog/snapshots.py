@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.feeds import TEST_TENANT
 from millrace.catalog.registry import query
 from millrace.catalog.sinks import _COUNTS, _SLIM, _UPSERT, _counts, _lines
+from millrace.operators import states
 from millrace.schemas import TENANT_KEYS
 from millrace.session import scratch_path
 from millrace.sinks import snapshots
@@ -117,3 +118,17 @@ def _(f):
     dead = f.spark.read.schema("error string, record string").json(f"{root}/dead")
     record = F.from_json("record", rows.schema)
     return kept.unionByName(dead.select(record["event_id"].alias("event_id"), record["event_type"].alias("event_type"), F.col("error").alias("outcome")))
+
+
+@query(
+    "agg_05_incremental_totals", "SELECT * FROM sup_t",
+    r4="total_quantity_tons avg_price_per_ton_usd avg_lead_time_days avg_reliability price_volatility",
+)
+def _(f):
+    path = scratch_path(f.spark, "states")
+    rows = f.purchases_timed
+    late, early = F.crc32(F.col("purchase_id").cast("binary")) % 10 == 0, F.month("purchase_date") <= 6
+    for part in (early & ~late, ~early & ~late, late):  # two halves of the year, then late rows of all days
+        states.add_purchases(rows.filter(part), path)
+    states.compact_purchases(f.spark, path)
+    return states.supplier_totals(snapshots.read_snapshot(f.spark, path))
