@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import re
 import zlib
 from codecs import getincrementaldecoder
@@ -93,15 +94,34 @@ class Layer:
         return Layer("".join(text), np.concatenate(a), np.concatenate(b), self.depth + 1)
 
 
+_unread: list[tuple[int, int]] = []
+
+
+def _note(error: UnicodeDecodeError) -> tuple[str, int]:
+    _unread.append((error.start, error.end))
+    return "\ufffd", error.end
+
+
+codecs.register_error("millrace.note", _note)
+
+
+def read_bytes(data: bytes) -> list[tuple[str, int, int]]:
+    """The characters of UTF-8 bytes with the bytes each stands for; what is malformed gives U+FFFD as in ``replace``."""
+    _unread.clear()
+    text = data.decode("utf-8", "millrace.note")
+    malformed, out, at = dict(_unread), [], 0
+    for c in text:
+        stop = malformed.get(at, at + len(c.encode()))
+        out.append((c, at, stop))
+        at = stop
+    return out
+
+
 def percent_layer(layer: Layer) -> Layer | None:
     parts = []
     for m in PERCENT.finditer(layer.text):
-        chars, at = [], m.start()
-        for c in bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace"):
-            width = 3 * len(c.encode()) if c != "\ufffd" else 3
-            chars.append((c, at, min(at + width, m.end())))
-            at = min(at + width, m.end() - 3)
-        parts.append((*m.span(), chars))
+        chars = read_bytes(bytes.fromhex(m[0].replace("%", "")))
+        parts.append((*m.span(), [(c, m.start() + 3 * a, m.start() + 3 * b) for c, a, b in chars]))
     return layer.replaced(parts) if parts else None
 
 

@@ -103,3 +103,18 @@ def test_null_empty_repeats_and_clashing(files):
     got = secret_scan.find_secrets(rows).collect()
     assert sorted(len(r.secrets) for r in got) == [0, 0, 1, 1]
     assert secret_scan.digests(rows.limit(0)).count() == 0
+
+
+def test_spans_behind_malformed_escapes():
+    secret = "token=abcdefghijkl1234"
+    coded = "".join(f"%{b:02X}" for b in secret.encode())
+    for prefix in ("%E2%82", "%EF%BF%BD", "%F0%9F%98", "%41", "%FF", "%FF%FE", "%C3%A9", "%ED%A0%80", ""):
+        spans, _ = secret_scan.scan(f"zz {prefix}{coded} end")
+        start = 3 + len(prefix)
+        assert [(a, b) for a, kind, b, _ in spans if kind == 0] == [(start, start + len(coded))], prefix
+    long = "%FF" * 200_000 + coded
+    assert secret_scan.scan(long)[0][0][:3] == (600_000, 0, 600_000 + len(coded))
+    for data in (b"\xe2\x82a", b"\xf0\x9f\x98", b"\xff\xef\xbf\xbdz", "\ufffd\u00e9".encode()):
+        found = secret_scan.read_bytes(data)
+        assert "".join(c for c, _, _ in found) == data.decode("utf-8", "replace")
+        assert [a for _, a, _ in found] == [0, *(b for _, _, b in found)][:-1] and found[-1][2] == len(data)
