@@ -210,6 +210,15 @@ def _(f):
     return features.weekly_market(f.market)
 
 
+@query("agg_17_weekly_market_of_copies", "SELECT * FROM wk_mkt")
+def _(f):
+    """The market under two tenants, the second with other values and not on all days: each day counts once."""
+    copy = f.market.filter(F.dayofmonth("date") % 3 == 0).withColumns(
+        {"company_id": F.lit("OTHER"), "steel_price_egypt_egp": F.col("steel_price_egypt_egp") * 3}
+    )
+    return features.weekly_market(f.market.unionByName(copy))
+
+
 # The model's score is not an SQL value; the roll-up is checked with the risk points in its place.
 _ROLLUP = f"""SELECT supplier_name, min(origin_country) AS origin_country, min(material_type) AS material_type,
     {steady('avg(risk_points)', 2)} AS avg_risk_score, {steady('avg(risk_points)', 2)} AS actual_avg_risk,

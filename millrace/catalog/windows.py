@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.registry import query
 from millrace.functions import series
 from millrace.ml import features as ml_features
-from millrace.operators import marts, served
+from millrace.operators import cleaning, marts, served
 
 PRICE = "steel_price_egypt_egp"
 YEARLY = ["company_id", "factory_id", "year"]
@@ -192,3 +192,19 @@ def _(f):
 )
 def _(f):
     return served.latest_change(f.market, "date", PRICE)
+
+
+def _corrected(f):
+    """Two rows a day: a wrong one, above or below the right one in turn, and the right one loaded a day later."""
+    at = lambda day: F.to_timestamp(F.lit(f"2025-01-0{day}"))
+    wrong = f.market.withColumn(PRICE, F.col(PRICE) * F.when(F.dayofmonth("date") % 2 == 0, 0.5).otherwise(2.0))
+    return wrong.withColumn("loaded_at", at(1)).unionByName(f.market.withColumn("loaded_at", at(2)))
+
+
+@query(
+    "win_01_corrected_rows",
+    "SELECT date, price_change_pct, moving_avg_7d, moving_avg_30d, price_volatility_7d FROM mkt_c",
+)
+def _(f):
+    names = ["price_change_pct", "moving_avg_7d", "moving_avg_30d", "price_volatility_7d"]
+    return cleaning.clean_market(_corrected(f)).select("date", *names)

@@ -68,19 +68,25 @@ def bottom_label(label, weight) -> Column:
 
 
 def one_row_per_date(df: DataFrame, date_col: str, values: list[str], prefer: list[str]) -> DataFrame:
-    """One row per date, the first by ``prefer``; a table copied under several tenants collapses.
+    """One row per date, the first by ``prefer``, then the one loaded last; a table copied under several tenants collapses.
 
     This is what makes a join on the date alone safe, and what bounds a global window.
     """
-    picked = df.groupBy(date_col).agg(F.min_by(F.struct(*values), F.struct(*prefer)).alias("_v"))
+    picked = df.groupBy(date_col).agg(F.min_by(F.struct(*values), F.struct(*prefer, *newest_first(df), *values)).alias("_v"))
     return picked.select(date_col, *[F.col("_v")[c].alias(c) for c in values])
 
 
+def newest_first(df: DataFrame, loaded: str = "loaded_at") -> list[Column]:
+    """Sort keys that put the row loaded last first and rows without a load time last; none if the rows carry no time."""
+    return [F.col(loaded).isNull(), -F.unix_micros(F.col(loaded).cast("timestamp"))] if loaded in df.columns else []
+
+
 def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key, the smallest by its other columns in their order. It makes a series daily before
-    a window goes over it, so a feed with many rows a day is neither compared inside a day nor held by one task."""
+    """One row per key: the one loaded last, so a correction counts whichever way it goes, then the smallest by its
+    other columns in their order. It makes a series daily before a window goes over it, so a feed with many rows
+    a day is neither compared inside a day nor held by one task."""
     values = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_v"))
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*values), F.struct(*newest_first(df), *values)).alias("_v"))
     return picked.select(*[F.col(c) if c in keys else F.col("_v")[c].alias(c) for c in df.columns])
 
 

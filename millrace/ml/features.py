@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import dates, guards, series
 from millrace.operators.served import active_orders
+from millrace.schemas import TENANT_KEYS
 
 # Inputs of each model.
 PRICE_FEATURES = [
@@ -82,10 +83,17 @@ def demand_history(weekly: DataFrame, lagged: bool = False) -> DataFrame:
     )
 
 
+MARKET_CONTEXT = [
+    "steel_price_egypt_egp", "usd_egp_rate", "iron_ore_price_usd", "brent_oil_usd", "seasonality_index", "is_ramadan",
+]
+
+
 def weekly_market(market: DataFrame) -> DataFrame:
-    """Market context per week (AGG-17)."""
+    """Market context per week (AGG-17). The market is made daily first, so copies per tenant do not weight the means."""
     mean = lambda c, n=2: guards.steady(F.avg(c), n)
-    return market.groupBy(dates.week_start("date").alias("week_start")).agg(
+    prefer = [c for c in TENANT_KEYS if c in market.columns] or ["date"]
+    daily = series.one_row_per_date(market, "date", MARKET_CONTEXT, prefer)
+    return daily.groupBy(dates.week_start("date").alias("week_start")).agg(
         mean("steel_price_egypt_egp").alias("avg_steel_price"),
         mean("usd_egp_rate").alias("avg_usd_rate"),
         mean("iron_ore_price_usd").alias("avg_iron_ore"),

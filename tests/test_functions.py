@@ -128,3 +128,15 @@ def test_first_rows_limits_before_the_shuffle(rows):
     assert out.count() == 4
     plan = out._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_newest_row_of_a_key_wins_whichever_way_it_goes(rows, collect):
+    df = rows(
+        [("a", 1.0, "2024-01-01"), ("a", 9.0, "2024-01-02"), ("b", 9.0, "2024-01-01"), ("b", 1.0, "2024-01-02"),
+         ("c", 5.0, None), ("c", 7.0, "2024-01-01"), ("d", 3.0, "2024-01-01"), ("d", 2.0, "2024-01-01")],
+        "k string, x double, loaded_at string",
+    ).selectExpr("k", "x", "to_timestamp(loaded_at) AS loaded_at")
+    want = {"a": 9.0, "b": 1.0, "c": 7.0, "d": 2.0}
+    assert {r["k"]: r["x"] for r in collect(series.one_row_per_key(df, ["k"]))} == want
+    assert {r["k"]: r["x"] for r in collect(series.one_row_per_date(df, "k", ["x"], ["k"]))} == want
+    assert {r["k"]: r["x"] for r in collect(series.one_row_per_key(df.drop("loaded_at"), ["k"]))} == {"a": 1.0, "b": 1.0, "c": 5.0, "d": 2.0}
