@@ -9,6 +9,7 @@ from millrace.catalog.feeds_sql import rounded
 from millrace.catalog.registry import query
 from millrace.session import scratch_path
 from millrace.streaming import monitors
+from millrace.streaming.counters import CounterLog, read_counters
 from millrace.streaming.runner import BatchSink, counters, run_monitors, start_monitor
 from millrace.streaming.sources import decode, stream_source
 
@@ -135,12 +136,12 @@ def _(f):
     return at_second(drained(f, "shipments"), "event_time")
 
 
-@query(
-    "stm_05_batch_counters",
-    f"""SELECT 'market' AS feed, count(*) AS events, count(*) FILTER (abs({_CHANGE}) > 10) AS flagged FROM events
+_COUNTED = f"""SELECT 'market' AS feed, count(*) AS events, count(*) FILTER (abs({_CHANGE}) > 10) AS flagged FROM events
         UNION ALL SELECT 'production', count(*), count(*) FILTER (event_type IN ('error', 'signup') OR value < 70 OR k < 70)
-        FROM ev UNION ALL SELECT 'shipments', count(*), count(*) FILTER (k > 50) FROM ev""",
-)
+        FROM ev UNION ALL SELECT 'shipments', count(*), count(*) FILTER (k > 50) FROM ev"""
+
+
+@query("stm_05_batch_counters", _COUNTED)
 def _(f):
     out = None
     for feed, args in [("market", {"baseline": STREAM_BASELINE}), ("production", {}), ("shipments", {})]:
@@ -153,6 +154,27 @@ def _(f):
     return out
 
 
+@query("stm_05_stored_counters", _COUNTED)
+def _(f):
+    """Counters of drained streams, read back as rows; a second run from the same checkpoints adds none."""
+    root = scratch_path(f.spark, "stream-counters")
+    log = CounterLog(f.spark, f"{root}/counters")
+    f.spark.streams.addListener(log)
+    try:
+        for _run in range(2):
+            for feed, args in [("market", {"baseline": STREAM_BASELINE}), ("production", {}), ("shipments", {})]:
+                running = begin(f, feed, root, **args)
+                running.awaitTermination()
+                log.wait(running)
+    finally:
+        f.spark.streams.removeListener(log)
+    rows = read_counters(f.spark, f"{root}/counters").withColumn("feed", F.regexp_extract("observed", "^(.*)_out$", 1))
+    is_total = F.col("counter") == "events"
+    return rows.groupBy("feed").agg(
+        F.sum(F.when(is_total, F.col("value"))).alias("events"), F.sum(F.when(~is_total, F.col("value"))).alias("flagged")
+    )
+
+
 @query(
     "stm_06_resume_from_checkpoint",
     "SELECT event_type AS origin, count(*) AS n FROM events GROUP BY 1",

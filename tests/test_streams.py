@@ -148,3 +148,28 @@ def test_kafka_options():
     assert options["subscribe"] == "steel_orders" and "maxOffsetsPerTrigger" not in options
     assert kafka_options("orders", "broker:1", 500)["maxOffsetsPerTrigger"] == "500"
     assert set(counters("orders")) == {"events"}
+
+
+def test_stored_counters(spark, messages, tmp_path):
+    from millrace.streaming.counters import CounterLog, read_counters
+
+    path = str(tmp_path / "counters")
+    log = CounterLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        messages(*MARKET[:2])
+        folder = messages(*MARKET[2:])
+        for _ in range(2):  # the second run finds nothing new
+            log.wait(run(spark, "market", folder, tmp_path))
+        got = {(r.batch_id, r.counter): r.value for r in read_counters(spark, path).collect()}
+        assert got == {(0, "events"): 2, (0, "high_alerts"): 0, (1, "events"): 4, (1, "high_alerts"): 2}
+        # A replay of a batch takes the place of its counters; a folder that cannot be written is reported.
+        log._store(f"{path}/query_id=x", 0, '{"counter": "events", "value": 1}')
+        log._store(f"{path}/query_id=x", 0, '{"counter": "events", "value": 2}')
+        assert [r.value for r in read_counters(spark, path).filter("query_id = 'x'").collect()] == [2]
+        log.path = "nosuchscheme://x/y"
+        messages(*MARKET)
+        with pytest.raises(Exception):
+            log.wait(run(spark, "market", folder, tmp_path))
+    finally:
+        spark.streams.removeListener(log)
