@@ -132,3 +132,57 @@ def _(f):
         states.add_purchases(rows.filter(part), path)
     states.compact_purchases(f.spark, path)
     return states.supplier_totals(snapshots.read_snapshot(f.spark, path))
+
+
+def _kpi_states(f, **facts):
+    """States of facts that came in two batches, the second with late rows of all days and given twice."""
+    kept = states.KpiStates(scratch_path(f.spark, "kpi-states"))
+    ids = {"production": "batch_id", "orders": "order_id", "shipments": "shipment_id"}
+    for at, late in [(0, False), (1, True), (1, True)]:
+        part = {n: df.filter((F.crc32(F.col(ids[n]).cast("binary")) % 10 == 0) == late) for n, df in facts.items()}
+        kept.add(**part, batch=at)
+    return kept
+
+
+@query(
+    "agg_01_incremental_days", "SELECT * FROM d_prod", r4="total_production_tons avg_efficiency total_waste_tons total_energy_kwh",
+)
+def _(f):
+    path = _kpi_states(f, production=f.production).path
+    return states.production_days(states.production_states().read(f.spark, f"{path}/production"))
+
+
+@query("agg_02_incremental_days", "SELECT * FROM d_ord", r4="total_order_tons total_revenue_egp avg_order_size_tons")
+def _(f):
+    path = _kpi_states(f, orders=f.orders).path
+    return states.order_days(states.order_states().read(f.spark, f"{path}/orders"))
+
+
+@query(
+    "agg_03_incremental_days", "SELECT * FROM d_ship",
+    r4="total_logistics_cost_egp total_co2_kg total_fuel_liters avg_cost_per_ton_km",
+)
+def _(f):
+    path = _kpi_states(f, shipments=f.shipments).path
+    return states.shipment_days(states.shipment_states().read(f.spark, f"{path}/shipments"))
+
+
+@query(
+    "jn_02_incremental_star", "SELECT * FROM kpi",
+    r4="total_production_tons avg_efficiency total_waste_tons total_revenue_egp avg_order_size_tons "
+    "total_logistics_cost_egp total_co2_kg steel_price_egp usd_egp_rate",
+    r2="profit_estimate_egp",
+)
+def _(f):
+    return _kpi_states(f, production=f.production, orders=f.orders, shipments=f.shipments).daily(f.market)
+
+
+@query(
+    "jn_03_incremental_summary", "SELECT * FROM mon",
+    r4="total_production_tons total_revenue_egp avg_efficiency total_co2_kg avg_steel_price_egp avg_usd_rate",
+    r2="gross_margin_pct",
+)
+def _(f):
+    kept = _kpi_states(f, production=f.production, orders=f.orders, shipments=f.shipments)
+    kept.compact(f.spark)
+    return kept.monthly(f.market)

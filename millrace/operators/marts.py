@@ -90,12 +90,15 @@ def daily_kpis(
     The three facts are reduced to tenant-days before they meet. Their aggregates are already
     partitioned by the join keys, so the joins add no exchange of fact rows.
     """
+    return kpi_star(daily_production(production), daily_orders(orders), daily_shipments(shipments), market, model)
+
+
+def kpi_star(
+    production_days: DataFrame, order_days: DataFrame, shipment_days: DataFrame, market: DataFrame, model: ProfitModel = PROFIT
+) -> DataFrame:
+    """The star from facts that are tenant-days already (JN-02)."""
     keys = TENANT_KEYS + ["date"]
-    star = (
-        daily_production(production)
-        .join(daily_orders(orders), keys, "left")
-        .join(daily_shipments(shipments), keys, "left")
-    )
+    star = production_days.join(order_days, keys, "left").join(shipment_days, keys, "left")
     priced = attach_market(
         star, "date", market, {"steel_price_egypt_egp": "steel_price_egp", "usd_egp_rate": "usd_egp_rate"}
     )
@@ -145,7 +148,6 @@ def monthly_leaders(orders: DataFrame) -> DataFrame:
     One pre-aggregate over (product, governorate) feeds both; each ranking is an aggregate too, so
     neither needs a window.
     """
-    keys = TENANT_KEYS + ["year_val", "month_val"]
     cube = orders.groupBy(
         *TENANT_KEYS,
         F.year("order_date").alias("year_val"),
@@ -153,6 +155,12 @@ def monthly_leaders(orders: DataFrame) -> DataFrame:
         "product_type",
         "delivery_governorate",
     ).agg(F.count(F.lit(1)).alias("n"), F.sum("total_value_egp").alias("revenue"))
+    return leaders_of(cube)
+
+
+def leaders_of(cube: DataFrame) -> DataFrame:
+    """Leaders of tenant-months from orders ``n`` and ``revenue`` by product and governorate (WIN-08)."""
+    keys = TENANT_KEYS + ["year_val", "month_val"]
     products = cube.groupBy(*keys, "product_type").agg(F.sum("n").alias("n"))
     places = cube.groupBy(*keys, "delivery_governorate").agg(F.sum("revenue").alias("revenue"))
     top_products = products.groupBy(*keys).agg(series.top_label("product_type", "n").alias("top_product"))
@@ -171,8 +179,11 @@ MONTHLY_COLUMNS = [
 
 def monthly_summary(daily: DataFrame, orders: DataFrame) -> DataFrame:
     """Monthly totals with margin and leaders (JN-03)."""
-    keys = TENANT_KEYS + ["year_val", "month_val"]
-    return monthly_totals(daily).join(monthly_leaders(orders), keys, "left").select(*MONTHLY_COLUMNS)
+    return with_leaders(monthly_totals(daily), monthly_leaders(orders))
+
+
+def with_leaders(totals: DataFrame, leaders: DataFrame) -> DataFrame:
+    return totals.join(leaders, TENANT_KEYS + ["year_val", "month_val"], "left").select(*MONTHLY_COLUMNS)
 
 
 # -- suppliers --------------------------------------------------------------------------------

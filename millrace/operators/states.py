@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import guards
-from millrace.operators.marts import SCORECARD_KEYS
+from millrace.operators.marts import CANCELLED_SPELLINGS, SCORECARD_KEYS, kpi_star, leaders_of, monthly_totals, with_leaders
+from millrace.schemas import TENANT_KEYS
 from millrace.sinks import snapshots
 
 
@@ -94,16 +95,151 @@ def supplier_totals(states: DataFrame) -> DataFrame:
     )
 
 
-def add_purchases(purchases: DataFrame, path: str) -> None:
-    """Add rows to the states of suppliers and days kept in a versioned table; nothing else of it is read or written."""
-    new = state_of(purchases, [*SCORECARD_KEYS, "purchase_date"], supplier_measures())
-    if snapshots.snapshot(purchases.sparkSession, path) is None:
-        snapshots.replace_all(new, path, SCORECARD_KEYS[:2])
-    else:
-        snapshots.append_rows(new, path)
+@dataclass(frozen=True)
+class States:
+    """States of one fact in a versioned table. Added rows cost their own days only: nothing else is read or written.
+
+    A number given with a batch makes its replay harmless. Rows that change later are no additions; they need their
+    days built again.
+    """
+
+    keys: list[str]
+    measures: Measures
+
+    def add(self, rows: DataFrame, path: str, batch: int | None = None) -> None:
+        new = state_of(rows, self.keys, self.measures)
+        if snapshots.snapshot(rows.sparkSession, path) is None:
+            snapshots.replace_all(new, path, self.keys[:2], batch=batch)
+        else:
+            snapshots.append_rows(new, path, batch=batch)
+
+    def read(self, spark: SparkSession, path: str) -> DataFrame:
+        """One state per key."""
+        return merged(snapshots.read_snapshot(spark, path), self.keys, self.measures)
+
+    def compact(self, spark: SparkSession, path: str) -> None:
+        """One state per key again, in one commit."""
+        snapshots.replace_all(self.read(spark, path), path, self.keys[:2])
+
+
+def supplier_states() -> States:
+    return States([*SCORECARD_KEYS, "purchase_date"], supplier_measures())
 
 
-def compact_purchases(spark, path: str) -> None:
+def add_purchases(purchases: DataFrame, path: str, batch: int | None = None) -> None:
+    """Add rows to the states of suppliers and days kept in a versioned table."""
+    supplier_states().add(purchases, path, batch)
+
+
+def compact_purchases(spark: SparkSession, path: str) -> None:
     """One state per supplier and day again, in one commit."""
-    keys = [*SCORECARD_KEYS, "purchase_date"]
-    snapshots.replace_all(merged(snapshots.read_snapshot(spark, path), keys, supplier_measures()), path, SCORECARD_KEYS[:2])
+    supplier_states().compact(spark, path)
+
+
+# -- KPI star ---------------------------------------------------------------------------------
+
+DAY_KEYS = [*TENANT_KEYS, "date"]
+CUBE_KEYS = [*TENANT_KEYS, "year_val", "month_val", "product_type", "delivery_governorate"]
+
+
+def production_states(low_pct: float = 70.0) -> States:
+    """Tenant-days of production (AGG-01)."""
+    return States(DAY_KEYS, Measures(
+        counts={"underperforming_batches": F.count_if(F.col("efficiency_pct") < low_pct)},
+        sums={"actual": F.col("actual_tons"), "efficiency": F.col("efficiency_pct"), "waste": F.col("waste_tons"), "energy": F.col("energy_kwh")},
+    ))
+
+
+def production_days(states: DataFrame) -> DataFrame:
+    """AGG-01 from one state per tenant-day."""
+    return states.select(
+        *DAY_KEYS, F.col("actual_sum").alias("total_production_tons"), mean_of("efficiency").alias("avg_efficiency"),
+        F.col("waste_sum").alias("total_waste_tons"), F.col("energy_sum").alias("total_energy_kwh"), "underperforming_batches",
+    )
+
+
+def order_states() -> States:
+    """Tenant-days of orders (AGG-02); the rows carry their day as ``date``."""
+    return States(DAY_KEYS, Measures(
+        counts={
+            "total_orders": F.count("order_id"), "delivered": F.count_if(F.col("status") == "delivered"),
+            "cancelled_orders_daily": F.count_if(F.col("status").isin(CANCELLED_SPELLINGS)),
+        },
+        sums={"quantity": F.col("quantity_tons"), "value": F.col("total_value_egp")},
+    ))
+
+
+def order_days(states: DataFrame) -> DataFrame:
+    """AGG-02 from one state per tenant-day."""
+    return states.select(
+        *DAY_KEYS, "total_orders", F.col("quantity_sum").alias("total_order_tons"), F.col("value_sum").alias("total_revenue_egp"),
+        mean_of("quantity").alias("avg_order_size_tons"),
+        guards.share_pct(F.col("delivered"), F.col("total_orders")).alias("on_time_delivery_pct"), "cancelled_orders_daily",
+    )
+
+
+def shipment_states() -> States:
+    """Tenant-days of shipments (AGG-03); the rows carry their day as ``date``."""
+    return States(DAY_KEYS, Measures(
+        counts={"total_shipments": F.count("shipment_id")},
+        sums={"cost": F.col("transport_cost_egp"), "co2": F.col("co2_emissions_kg"), "fuel": F.col("fuel_liters"), "unit": F.col("cost_per_ton_km_egp")},
+    ))
+
+
+def shipment_days(states: DataFrame) -> DataFrame:
+    """AGG-03 from one state per tenant-day."""
+    return states.select(
+        *DAY_KEYS, "total_shipments", F.col("cost_sum").alias("total_logistics_cost_egp"), F.col("co2_sum").alias("total_co2_kg"),
+        F.col("fuel_sum").alias("total_fuel_liters"), mean_of("unit").alias("avg_cost_per_ton_km"),
+    )
+
+
+def cube_states() -> States:
+    """Orders and revenue of tenant-months by product and governorate, for the monthly leaders (WIN-08)."""
+    return States(CUBE_KEYS, Measures(counts={"n": F.count(F.lit(1))}, sums={"revenue": F.col("total_value_egp")}))
+
+
+@dataclass(frozen=True)
+class KpiStates:
+    """The states behind the daily star and the monthly summary, a table each below one folder."""
+
+    path: str
+
+    def add(
+        self, production: DataFrame | None = None, orders: DataFrame | None = None, shipments: DataFrame | None = None,
+        batch: int | None = None,
+    ) -> None:
+        """Add new or late rows. A batch that died between two tables is given again under its number: each table
+        takes what it has not taken yet."""
+        if production is not None:
+            production_states().add(production, f"{self.path}/production", batch)
+        if orders is not None:
+            dated = orders.withColumn("date", F.col("order_date"))
+            order_states().add(dated, f"{self.path}/orders", batch)
+            months = dated.withColumns({"year_val": F.year("date"), "month_val": F.month("date")})
+            cube_states().add(months, f"{self.path}/order_cube", batch)
+        if shipments is not None:
+            shipment_states().add(shipments.withColumn("date", F.col("departure_date")), f"{self.path}/shipments", batch)
+
+    def compact(self, spark: SparkSession) -> None:
+        for kind, name in self._tables():
+            kind.compact(spark, f"{self.path}/{name}")
+
+    @staticmethod
+    def _tables() -> list[tuple[States, str]]:
+        return [(production_states(), "production"), (order_states(), "orders"), (shipment_states(), "shipments"), (cube_states(), "order_cube")]
+
+    def days(self, spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """AGG-01, AGG-02 and AGG-03."""
+        made = (production_days, order_days, shipment_days)
+        return tuple(make(kind.read(spark, f"{self.path}/{name}")) for make, (kind, name) in zip(made, self._tables()))
+
+    def daily(self, market: DataFrame) -> DataFrame:
+        """JN-02: the star reads states of tenant-days, no fact rows."""
+        return kpi_star(*self.days(market.sparkSession), market)
+
+    def monthly(self, market: DataFrame) -> DataFrame:
+        """AGG-04 and JN-03."""
+        cube = cube_states().read(market.sparkSession, f"{self.path}/order_cube")
+        leaders = leaders_of(cube.select(*CUBE_KEYS, "n", F.col("revenue_sum").alias("revenue")))
+        return with_leaders(monthly_totals(self.daily(market)), leaders)

@@ -41,6 +41,8 @@ class Snapshot:
     zones: list[str]
     schema: str
     statistics: dict
+    #: Number of the last batch added with one, carried from version to version.
+    batch: int = -1
 
     def files(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(FILE).parquet(f"{self.path}/files/{self.write}")
@@ -122,9 +124,9 @@ def _listed(spark: SparkSession, path: str, write: str, zones: list[str], schema
     )
 
 
-def _commit(spark: SparkSession, path: str, version: int, write: str, entries: DataFrame, zones, schema, statistics) -> Snapshot:
+def _commit(spark: SparkSession, path: str, version: int, write: str, entries: DataFrame, zones, schema, statistics, batch) -> Snapshot:
     entries.write.mode("overwrite").parquet(f"{path}/files/{write}")
-    body = {"write": write, "at_ms": int(time.time() * 1000), "zones": zones, "schema": schema, "statistics": statistics}
+    body = {"write": write, "at_ms": int(time.time() * 1000), "zones": zones, "schema": schema, "statistics": statistics, "batch": batch}
     jvm = spark._jvm.org.apache.hadoop.fs
     fs, beside = _fs(spark, f"{path}/commits/_{write}")
     out = fs.create(beside, True)
@@ -144,14 +146,16 @@ def _commit(spark: SparkSession, path: str, version: int, write: str, entries: D
     return Snapshot(path=path, version=version, **body)
 
 
-def _next(spark: SparkSession, df: DataFrame, path: str, base: Snapshot | None, kept: DataFrame | None, zones, measures) -> Snapshot:
+def _next(spark: SparkSession, df: DataFrame, path: str, base: Snapshot | None, kept: DataFrame | None, zones, measures, batch=None) -> Snapshot:
     """Commit the version after ``base``: the kept files and the rows as new ones."""
+    if batch is None:
+        batch = base.batch if base else -1
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
     write, statistics = _write(df, path, zones, measures or {})
     entries = _listed(spark, path, write, zones, schema)
     if kept is not None:
         entries = entries.unionByName(kept)
-    return _commit(spark, path, base.version + 1 if base else 0, write, entries, zones, schema.json(), statistics)
+    return _commit(spark, path, base.version + 1 if base else 0, write, entries, zones, schema.json(), statistics, batch)
 
 
 def _same_columns(base: Snapshot, df: DataFrame) -> DataFrame:
@@ -162,17 +166,22 @@ def _same_columns(base: Snapshot, df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kind.fields])
 
 
-def replace_all(df: DataFrame, path: str, zones: list[str], measures: dict[str, Column] | None = None) -> Snapshot:
+def replace_all(
+    df: DataFrame, path: str, zones: list[str], measures: dict[str, Column] | None = None, batch: int | None = None
+) -> Snapshot:
     """A new version of these rows alone (SNK-02, SNK-15). ``measures`` are aggregates kept with its statistics."""
     spark = df.sparkSession
-    return _next(spark, df, path, snapshot(spark, path), None, zones, measures)
+    return _next(spark, df, path, snapshot(spark, path), None, zones, measures, batch)
 
 
-def append_rows(df: DataFrame, path: str, measures: dict[str, Column] | None = None) -> Snapshot:
-    """A new version with these rows added."""
+def append_rows(df: DataFrame, path: str, measures: dict[str, Column] | None = None, batch: int | None = None) -> Snapshot:
+    """A new version with these rows added. A batch whose number is not above the last one's is a replay and adds nothing:
+    the number is part of the commit, so rows and number arrive together or not at all."""
     spark = df.sparkSession
     base = snapshot(spark, path)
-    return _next(spark, _same_columns(base, df), path, base, base.files(spark), base.zones, measures)
+    if batch is not None and batch <= base.batch:
+        return base
+    return _next(spark, _same_columns(base, df), path, base, base.files(spark), base.zones, measures, batch)
 
 
 def replace_tenant(df: DataFrame, path: str, tenant: Tenant, measures: dict[str, Column] | None = None) -> Snapshot:
