@@ -2,14 +2,16 @@
 
 Every text is scanned, then unwrapped: percent escapes, Unicode escapes and character references are
 replaced over a whole layer; each base64 run that decodes to text, or to a compressed stream that
-inflates to text, is a layer of its own. Layers go on a worklist until none is new; a layer whose
+inflates to text, is a layer of its own. Of a payload that is no text as a whole, each run of ASCII or of UTF-16 within
+it is a layer: all that a secret or a further encoding consists of is ASCII. Layers go on a worklist until none is new; a layer whose
 content and place were seen is not taken up again, so cycles end. Every layer carries the place in the
 original text of each of its characters, so findings are given as spans of the original.
 
 Defined cases: a null text is the empty one and has no findings; repeated rows and null identifiers
-keep their rows; findings of one kind and span count once, the outermost layer's. A layer that inflates to
-more than ``INFLATED`` characters is not opened but counted in ``unopened``, so a stream that blows up
-costs bounded memory and is never passed over in silence.
+keep their rows; findings of one kind and span count once, the outermost layer's. A stream that inflates to
+more than ``INFLATED`` bytes is inflated and scanned by windows of that size, which overlap by ``OVERLAP``, so it costs
+bounded memory. Only such a stream whose content is a compressed stream once more is not opened; it is counted in
+``unopened``.
 """
 
 from __future__ import annotations
@@ -48,8 +50,11 @@ SEPARATOR = re.compile(r"[/_-]+")
 UNPRINTED = re.compile(r"[\x00-\x08\x0E-\x1F\x7F]")
 #: Characters of a payload that show whether decoding all of it is worth while.
 HEAD = 64
-#: Characters that one compressed layer may inflate to.
-INFLATED = 1 << 26
+#: Bytes of a compressed layer that are held at a time, and those that two windows of a larger one share.
+INFLATED, OVERLAP = 1 << 26, 1 << 20
+#: Runs of text in a payload of mixed bytes: as long as the shortest secret, as ASCII or as UTF-16 of either order.
+NARROW = re.compile(rb"[\x09-\x0D\x20-\x7E]{16,}")
+WIDE = re.compile(rb"(?:[\x09-\x0D\x20-\x7E]\x00){16,}|(?:\x00[\x09-\x0D\x20-\x7E]){16,}")
 
 FOUND = "struct<spans: array<struct<kind: string, start: int, stop: int, depth: int>>, unopened: int>"
 
@@ -165,6 +170,47 @@ def inflate(data: bytes) -> tuple[bytes | None, bool]:
     return (data if opened else None), False
 
 
+class Stream:
+    """A compressed stream, all its members, that is too large to be held inflated; its characters have one span."""
+
+    def __init__(self, data: bytes, start: int, stop: int, depth: int):
+        self.data, self.start, self.stop, self.depth = data, start, stop, depth
+
+    def windows(self):
+        """The content by windows of ``INFLATED`` bytes behind the ``OVERLAP`` before them."""
+        data, held = self.data, b""
+        while packed(data):
+            stream = zlib.decompressobj(47)
+            while not stream.eof and data:
+                try:
+                    part = stream.decompress(data, max(INFLATED + OVERLAP - len(held), 1))
+                except zlib.error:
+                    data = b""
+                    break
+                data, held = stream.unconsumed_tail, held + part
+                if len(held) >= INFLATED + OVERLAP:
+                    yield held
+                    held = held[-OVERLAP:]
+            data = stream.unused_data if stream.eof else b""
+        yield held
+
+    def layers(self, window: bytes) -> list["Layer"]:
+        return flat_layers(window, self.start, self.stop, self.depth)
+
+
+def flat_layers(content: bytes, start: int, stop: int, depth: int) -> list["Layer"]:
+    """The layers of an inflated content: itself if it is text, or the runs of text in it; all with one span."""
+    text = readable(content)
+    texts = [text] if text else [run for run, _, _ in text_runs(content)]
+    return [Layer(t, np.full(len(t), start), np.full(len(t), stop), depth) for t in texts]
+
+
+def text_runs(data: bytes) -> list[tuple[str, int, int]]:
+    """Runs of text in mixed bytes: (text, where it begins, bytes of a character)."""
+    narrow = [(m[0].decode("ascii"), m.start(), 1) for m in NARROW.finditer(data)]
+    return narrow + [(m[0].replace(b"\0", b"").decode("ascii"), m.start(), 2) for m in WIDE.finditer(data)]
+
+
 def packed(data: bytes) -> bool:
     return data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and not (data[0] * 256 + data[1]) % 31)
 
@@ -204,68 +250,92 @@ def decoded(chars: str) -> bytes | None:
         return None
 
 
-def base64_layers(layer: Layer) -> tuple[list[Layer], int]:
-    out, unopened = [], 0
+def base64_layers(layer: Layer) -> list[Layer | Stream]:
+    out = []
     for m in BASE64.finditer(layer.text):
         breaks = [x.span() for x in LINE_BREAK.finditer(m[0])]
-        large_run = False
         lines = [(a, b) for a, b in zip([0, *(e for _, e in breaks)], [*(s for s, _ in breaks), len(m[0])])]
         # The lines as one run, then each line by itself, as they need not belong together.
         for wrapped in [lines, *([x] for x in lines if len(lines) > 1)]:
             chars = "".join(m[0][a:b] for a, b in wrapped)
             places = np.concatenate([np.arange(a, b) for a, b in wrapped]) + m.start()
             for at in base64_starts(chars):
-                new, large = base64_layer(layer, chars[at:], places[at:])
-                large_run |= large
-                if new is not None:
-                    out.append(new)
-                if new is not None or large:
+                if new := base64_layer(layer, chars[at:], places[at:]):
+                    out += new
                     break
-        unopened += large_run
-    return out, unopened
+            else:
+                out += mixed_layers(layer, chars, places)
+    return out
 
 
-def base64_layer(layer: Layer, chars: str, places: np.ndarray) -> tuple[Layer | None, bool]:
-    """The layer that a run decodes to, if any, and whether it is too large; ``places`` are those of its characters."""
+def base64_layer(layer: Layer, chars: str, places: np.ndarray) -> list[Layer | Stream]:
+    """What a run decodes to, if it is text or a stream with text; ``places`` are those of its characters."""
     data = decoded(chars)
     if data is None:
-        return None, False
+        return []
     content, large = inflate(data)
-    if content is not None:
-        if text := readable(content):
-            start, stop = layer.span(int(places[0]), int(places[-1]) + 1)
-            return Layer(text, np.full(len(text), start), np.full(len(text), stop), layer.depth + 1), False
-    elif not large and (text := readable(data)):
-        # Byte i comes from the characters 4i // 3 to (4i + 3) // 3 of the run.
+    if content is not None or large:
+        start, stop = layer.span(int(places[0]), int(places[-1]) + 1)
+        return [Stream(data, start, stop, layer.depth + 1)] if large else flat_layers(content, start, stop, layer.depth + 1)
+    if text := readable(data):
         ends = np.cumsum([len(c.encode()) for c in text])
-        begins = np.concatenate([[0], ends[:-1]])
-        a, b = places[begins * 4 // 3], places[(ends * 4 + 2) // 3 - 1]
-        starts = a if layer.starts is None else layer.starts[a]
-        stops = b + 1 if layer.stops is None else layer.stops[b]
-        return Layer(text, starts, stops, layer.depth + 1), False
-    return None, large
+        return [placed(layer, text, np.concatenate([[0], ends[:-1]]), ends, places)]
+    return []
+
+
+def mixed_layers(layer: Layer, chars: str, places: np.ndarray) -> list[Layer]:
+    """The runs of text in a payload of mixed bytes, at each alignment of its start: any other start is one of these."""
+    out = []
+    for at in range(4):
+        for text, first, width in text_runs(decoded(chars[at:]) or b""):
+            begins = first + width * np.arange(len(text))
+            out.append(placed(layer, text, begins, begins + width, places[at:]))
+    return out
+
+
+def placed(layer: Layer, text: str, begins: np.ndarray, ends: np.ndarray, places: np.ndarray) -> Layer:
+    """A layer of characters that stand for these bytes of a base64 run."""
+    # Byte i comes from the characters 4i // 3 to (4i + 3) // 3 of the run.
+    a, b = places[begins * 4 // 3], places[(ends * 4 + 2) // 3 - 1]
+    starts = a if layer.starts is None else layer.starts[a]
+    stops = b + 1 if layer.stops is None else layer.stops[b]
+    return Layer(text, starts, stops, layer.depth + 1)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int, int]], int]:
     """All findings as (start, kind, end, depth) in order, and the number of layers left unopened."""
     found: dict[tuple[int, int, int], int] = {}
-    work, seen, unopened = [Layer(text)], set(), 0
+    unopened = work_through([Layer(text)], found, set())
+    return sorted((a, kind, b, depth) for (a, kind, b), depth in found.items()), unopened
+
+
+def work_through(work: list[Layer | Stream], found: dict, seen: set) -> int:
+    """Scan the layers and all that comes out of them; the number of streams left unopened."""
+    unopened = 0
     while work:
         layer = work.pop(0)
+        if isinstance(layer, Stream):
+            for at, window in enumerate(layer.windows()):
+                if not at and packed(window):
+                    unopened += 1
+                    break
+                unopened += work_through(layer.layers(window), found, seen)
+            continue
         for kind, start, stop in find_base(layer.text):
             a, b = layer.span(start, stop)
             found.setdefault((a, kind, b), layer.depth)
-        inner, large = base64_layers(layer)
-        unopened += large
+        inner = base64_layers(layer)
         if "%" in layer.text:
             inner.append(percent_layer(layer))
         if "\\" in layer.text or "&#" in layer.text:
             inner.append(escape_layer(layer))
         for new in inner:
-            if new is not None and new.text and (key := new.key()) not in seen:
+            if isinstance(new, Stream):
+                work.append(new)
+            elif new is not None and new.text and (key := new.key()) not in seen:
                 seen.add(key)
                 work.append(new)
-    return sorted((a, kind, b, depth) for (a, kind, b), depth in found.items()), unopened
+    return unopened
 
 
 def secrets_of(text: Column) -> Column:

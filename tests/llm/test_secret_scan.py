@@ -72,8 +72,64 @@ def test_base_rules():
 def test_cycles_and_bombs_end(monkeypatch):
     assert scan("%25" * 400 + "%2525")[1] == 0
     monkeypatch.setattr(secret_scan, "INFLATED", 1000)
-    bomb = base64.b64encode(zlib.compress(b"a" * 100_000)).decode()
-    assert scan(f"x {bomb}") == ([], 1)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 100)
+    bomb = base64.b64encode(zlib.compress(b"z" * 100_000)).decode()
+    assert scan(f"x {bomb}") == ([], 0)
+    # A secret at any place of a large stream is found, also over a bound of two windows and behind a member's end.
+    for at in (0, 990, 1090, 1095, 5000, 99_000):
+        data = b"." * at + b" " + SECRET.encode() + b" " + b"." * (100_000 - at)
+        for stream in (gzip.compress(data), gzip.compress(data[:1050]) + gzip.compress(data[1050:]), gzip.compress(b"\x00\xff" + data)):
+            chars = base64.b64encode(stream).decode()
+            assert scan(f"x {chars}") == ([(2, 0, 2 + len(chars.rstrip("=")) + chars.count("="), 1)], 0), at
+    twice = base64.b64encode(gzip.compress(gzip.compress(bytes(range(256)) * 400, 0))).decode()
+    assert scan(f"x {twice}") == ([], 1)
+
+
+def test_secrets_in_mixed_payloads():
+    secret = "token=abcdefghijkl1234"
+    raw = secret.encode()
+    mixed = [
+        b"x\x00 " + raw, b"\x1b[0m" + raw, raw + b"\xff", b"\xff\xfe" + secret.encode("utf-16-le"), secret.encode("utf-16-be"),
+        b"\x00" + secret.encode("utf-16-le"), b"\x89PNG\x00\x01" + raw + b"\x00" * 9, b"\xe9\x00" * 50 + raw,
+    ]
+    for data in mixed:
+        for lead in ("", "a-", "ab_", "abc/"):
+            text = f"é see {lead}{base64.b64encode(data).decode()} tail"
+            spans = [(a, b) for a, kind, b, depth in scan(text)[0] if kind == 0 and depth == 1]
+            first = data.find(raw)
+            if first >= 0:
+                start = 6 + len(lead) + first * 4 // 3
+                assert spans == [(start, 6 + len(lead) + ((first + len(raw)) * 4 + 2) // 3)], (data, lead)
+            else:
+                assert len(spans) == 1 and text[spans[0][0] : spans[0][1]] in text, (data, lead)
+        packed = base64.b64encode(gzip.compress(b"\x00\x01" + data)).decode()
+        assert [k for _, k, _, _ in scan(f"x {packed}")[0]] == [0]
+
+
+def test_random_nesting():
+    """Layers nested at random around a secret: the finding covers the place of the whole encoded part or lies in it."""
+    import random
+
+    rng = random.Random(5)
+    steps = {
+        "base64": lambda s: base64.b64encode(s.encode()).decode(),
+        "mixed": lambda s: base64.b64encode(b"\x00\x01\xff" + s.encode() + b"\xfe").decode(),
+        "gzip": lambda s: base64.b64encode(gzip.compress(s.encode())).decode(),
+        "percent": lambda s: "".join(f"%{b:02x}" for b in s.encode()),
+        "unicode": lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+        "reference": lambda s: "".join(f"&#x{ord(c):x};" for c in s),
+        "context": lambda s: f"é {s} ü",
+    }
+    for _ in range(150):
+        inner, chosen = SECRET, []
+        for _level in range(rng.randint(1, 4)):
+            chosen.append(rng.choice(list(steps)))
+            inner = steps[chosen[-1]](inner)
+            if len(inner) > 40_000:
+                break
+        text = f"é before {inner} after"
+        spans = [(a, b) for a, kind, b, _ in scan(text)[0] if kind == 0]
+        assert spans and all(9 <= a < b <= 9 + len(inner) for a, b in spans), chosen
 
 
 def test_query_against_plain_matching(spark, sf_dir):
