@@ -5,12 +5,13 @@ shortest run of whole lines from a line on that has ``NOISE`` words. A window is
 line on that has ``GUARANTEE`` words; of the grams inside it, the one with the least hash is a fingerprint of
 its document. Two documents that share a run of ``GUARANTEE`` words or more hold the same window there
 and so choose the same fingerprint. Each fingerprint is joined to its first occurrence (by doc_id, then
-by place), and the match is extended line by line both ways. The next fingerprint of a shared run is never
+by place), and the match is extended line by line both ways. Lines in which an occurrence departs from the first are
+held against the other earlier ones: all occurrences that agree up to such a line carry the same key for it, and of
+these the first keeps it. So a line goes if any earlier occurrence agrees with this one from the fingerprint to it. The next fingerprint of a shared run is never
 more than a window away, so an extension needs no more lines than those around the fingerprint, which it
 carries along. The lines of the later run are deleted.
 
-The first occurrence of a line is never deleted: a deleted line equals an earlier one. A fingerprint
-whose first occurrence stands in other surroundings still takes its own gram out of the later run.
+The first occurrence of a line is never deleted: a deleted line equals an earlier one.
 
 Defined cases: null texts are empty and stay null. A document without identifier comes after all others,
 repeated rows in the order of the table. Runs repeated inside one document count as well. Line feeds between
@@ -76,6 +77,17 @@ def same_lines(a: str, b: str) -> Column:
     return F.when(first_not > 0, first_not - 1).otherwise(F.size(agree)).cast("int")
 
 
+def departing(side: str, agreed: str, mark: str) -> Column:
+    """The lines of a side from the first departure on, each with a key of the gram and of all lines up to it."""
+    def keyed(i: Column) -> Column:
+        lines = F.transform(F.slice(side, F.col(agreed) + 1, i - F.col(agreed)), lambda x: F.hex(x["h"]))
+        whole_key = F.concat(F.lit(mark), F.col(agreed).cast("string"), F.lit(":"), F.hex("gram"), F.array_join(lines, ""))
+        return F.struct(F.unhex(F.md5(whole_key)).alias("key"), F.element_at(side, i)["n"].alias("line"))
+
+    left = F.size(side) > F.col(agreed)
+    return F.when(left, F.transform(F.sequence(F.col(agreed) + 1, F.when(left, F.size(side)).otherwise(F.col(agreed) + 1)), keyed))
+
+
 def repeated_lines(docs: DataFrame, guarantee: int = GUARANTEE, noise: int = NOISE) -> DataFrame:
     """(__row, dropped): places of the lines to delete, of rows (__row, doc_id, text)."""
     prints = stored(fingerprints(lines_of(docs), guarantee, noise), "fingerprints")
@@ -87,12 +99,22 @@ def repeated_lines(docs: DataFrame, guarantee: int = GUARANTEE, noise: int = NOI
         F.col("first.ahead").alias("ahead1"), F.col("first.behind").alias("behind1"),
     )
     later = met.join(first, "gram").filter("__row <> row1 or n <> n1").select(
-        "__row",
-        F.slice("ahead", F.lit(1), same_lines("ahead", "ahead1")).alias("on"),
-        F.slice("behind", F.lit(1), same_lines("behind", "behind1")).alias("back"),
-    ).withColumn("run", F.concat("on", "back"))
-    words = F.aggregate("run", F.lit(0), lambda total, x: total + x["w"])
-    gone = later.filter(words >= noise).select("__row", F.explode("run.n").alias("n")).distinct()
+        "__row", "gram", "ahead", "behind", F.struct(F.col("doc_id").isNull(), "doc_id", "__row", "n").alias("place"),
+        same_lines("ahead", "ahead1").alias("on"), same_lines("behind", "behind1").alias("back"),
+    )
+    none = F.array().cast("array<struct<key: binary, line: int>>")
+    agreed = lambda side, upto: F.transform(
+        F.slice(side, F.lit(1), F.col(upto)), lambda x: F.struct(F.lit(None).cast("binary").alias("key"), x["n"].alias("line"))
+    )
+    rows = stored(later.select("__row", "place", F.inline(F.concat(
+        agreed("ahead", "on"), agreed("behind", "back"),
+        F.coalesce(departing("ahead", "on", "a"), none), F.coalesce(departing("behind", "back", "b"), none),
+    ))), "later-lines")
+    keyed = rows.filter("key IS NOT NULL")
+    holders = keyed.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    again = keyed.join(holders.select("key", "first"), "key").filter("place <> first")
+    gone = rows.filter("key IS NULL").select("__row", "line").unionByName(again.select("__row", "line"))
+    gone = gone.select("__row", F.col("line").alias("n")).distinct()
     return gone.groupBy("__row").agg(F.collect_list("n").alias("dropped"))
 
 
@@ -121,7 +143,7 @@ def digests(df: DataFrame) -> DataFrame:
     )
 
 
-#: The same in DuckDB: lists over the same frames.
+#: The same in DuckDB: every stretch from a fingerprint to a line around it belongs to its earliest holder.
 ORACLE = f"""
 WITH parts AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -157,20 +179,16 @@ chosen AS (
   WHERE a.stop >= a.c + {GUARANTEE}
   GROUP BY a.doc_id, a.n),
 prints AS (SELECT g.* FROM grams g JOIN chosen USING (doc_id, n)),
-first AS (
-  SELECT gram, arg_min({{'d': doc_id, 'n': n, 'a': ahead, 'b': behind}}, {{'d': doc_id, 'n': n}}) AS f
-  FROM prints GROUP BY gram HAVING count(*) > 1),
-met AS (
-  SELECT p.doc_id, p.ahead, p.behind,
-         list_position(list_transform(range(0, greatest(len(p.ahead), len(f.a))), lambda i: coalesce(p.ahead[i + 1].h = f.a[i + 1].h, false)), false) AS x,
-         list_position(list_transform(range(0, greatest(len(p.behind), len(f.b))), lambda i: coalesce(p.behind[i + 1].h = f.b[i + 1].h, false)), false) AS y
-  FROM prints p JOIN first USING (gram) WHERE p.doc_id <> f.d OR p.n <> f.n),
-later AS (
-  SELECT doc_id, list_concat(ahead[1:(CASE WHEN coalesce(x, 0) > 0 THEN x - 1 ELSE len(ahead) END)],
-                             behind[1:(CASE WHEN coalesce(y, 0) > 0 THEN y - 1 ELSE len(behind) END)]) AS run FROM met),
+shared AS (SELECT gram FROM prints GROUP BY gram HAVING count(*) > 1),
+reach AS (
+  SELECT doc_id, p.n, 'a' AS side, ahead[i].n AS line, md5(gram || array_to_string(list_transform(ahead[1:i], lambda x: x.h), '')) AS key
+  FROM prints p JOIN shared USING (gram), unnest(range(1, len(ahead) + 1)) AS t(i)
+  UNION ALL
+  SELECT doc_id, p.n, 'b', behind[i].n, md5(gram || array_to_string(list_transform(behind[1:i], lambda x: x.h), ''))
+  FROM prints p JOIN shared USING (gram), unnest(range(1, len(behind) + 1)) AS t(i)),
+earliest AS (SELECT side, key, min({{'d': doc_id, 'n': n}}) AS f FROM reach GROUP BY side, key),
 gone AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(run, lambda r: r.n)) AS n FROM later
-  WHERE list_sum(list_transform(run, lambda r: r.w)) >= {NOISE}),
+  SELECT DISTINCT doc_id, line AS n FROM reach JOIN earliest USING (side, key) WHERE doc_id <> f.d OR n <> f.n),
 left_over AS (
   SELECT p.doc_id, count(g.n) AS lines_deleted,
          coalesce(string_agg(p.line, chr(10) ORDER BY p.n) FILTER (WHERE g.n IS NULL), '') AS text

@@ -57,6 +57,23 @@ def test_every_repeated_run_is_found(files):
             assert got[i][1] == 0
 
 
+def test_run_held_whole_by_a_second_document(files):
+    """A holds a part of a run, B and C hold all of it: C loses what it shares with B, also ahead of and behind A's part."""
+    rng = random.Random(7)
+    rows, runs = [], []
+    for t in range(40):
+        run = [words(rng, 6) for _ in range(10)]
+        a = rng.randrange(4)
+        own = [[words(rng, rng.randint(3, 9)) for _ in range(2)] for _ in range(3)]
+        for i, part in enumerate((run[a : a + 7], run, run)):
+            rows.append((3 * t + i, "\n".join([own[i][0], *part, own[i][1]]), 0, 0))
+        runs.append(own)
+    got = clean(files, rows)
+    for t, own in enumerate(runs):
+        assert got[3 * t] == (rows[3 * t][1], 0)
+        assert got[3 * t + 2] == ("\n".join(own[2]), 10)
+
+
 def test_null_empty_repeats_and_order(files):
     rng = random.Random(3)
     text = "\n".join(words(rng, 30) for _ in range(4))
