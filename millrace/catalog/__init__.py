@@ -9,7 +9,7 @@ import importlib
 
 from millrace.catalog.registry import REGISTRY
 
-_MODULES = ["scans", "sinks", "snapshots", "projections", "joins", "aggregates", "windows", "tops", "scalars", "streams", "models", "alerts"]
+_MODULES = ["scans", "sinks", "snapshots", "long_series", "projections", "joins", "aggregates", "windows", "tops", "scalars", "streams", "models", "alerts"]
 
 
 def load():

@@ -7,7 +7,8 @@ wins and the other raises ``Conflict``. A reader takes the newest commit and see
 whatever is being written. A write that dies leaves files that no commit names.
 
 Rows are clustered by the zone columns, so a reader of one tenant opens the files whose zones may hold it, and a
-refresh or merge rewrites those and keeps the rest as they are.
+refresh or merge rewrites those and keeps the rest as they are. ``replace_all`` can lay rows out along a curve through all
+zone columns instead, so a range of any of them, such as the dates of a preset, opens few files (``read_ranges``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from millrace.sinks.layout import along_curve
 from millrace.sinks.tables import _delete, _fs, spread
 from millrace.tenancy import Tenant
 
@@ -93,15 +95,50 @@ def may_hold(zones: list[str], tenant: Tenant) -> Column:
     return held
 
 
+def read_ranges(spark: SparkSession, path: str, ranges: dict[str, tuple], version: int | None = None) -> DataFrame:
+    """Rows whose columns lie in the given closed ranges (SRC-02, PRJ-11, TOP-05), from the files whose zones meet them all.
+
+    An end of None is open. Values are of the column's type or text of it. A column that is no zone only filters rows.
+    """
+    at = snapshot(spark, path, version)
+    if at is None:
+        raise FileNotFoundError(f"no version of a table in {path}")
+    kind = T.StructType.fromJson(json.loads(at.schema))
+    wanted = F.lit(True)
+    for name, (low, high) in ranges.items():
+        held = F.col(name).isNotNull()
+        for end, beyond in ((low, F.col(name).__ge__), (high, F.col(name).__le__)):
+            held = held if end is None else held & beyond(F.lit(end).cast(kind[name].dataType))
+        wanted = wanted & held
+    return at.read(spark, at.files(spark).filter(may_meet(at.zones, kind, ranges))).filter(wanted)
+
+
+def may_meet(zones: list[str], kind: T.StructType, ranges: dict[str, tuple]) -> Column:
+    """Whether a file's zones leave room for rows inside the ranges; a file without values in a column holds none."""
+    met = F.lit(True)
+    for i, name in enumerate(zones):
+        if name in ranges:
+            as_typed = lambda c: F.when(F.size(c) > i, c[i]).cast(kind[name].dataType)  # noqa: B023, E731
+            low, high = ranges[name]
+            bounds = as_typed(F.col("low")), as_typed(F.col("high"))
+            met = met & bounds[0].isNotNull()
+            met = met if low is None else met & (bounds[1] >= F.lit(low).cast(kind[name].dataType))
+            met = met if high is None else met & (bounds[0] <= F.lit(high).cast(kind[name].dataType))
+    return met
+
+
 def _null_counts(df: DataFrame) -> list[Column]:
     return [F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(df.columns)]
 
 
-def _write(df: DataFrame, path: str, zones: list[str], measures: dict[str, Column]) -> tuple[str, dict]:
+def _write(df: DataFrame, path: str, zones: list[str], measures: dict[str, Column], files: int | None = None) -> tuple[str, dict]:
     """Write the rows as new files; their number, nulls and measures are observed on the way out."""
     write, seen = uuid.uuid4().hex, Observation()
     taken = [m.alias(f"measure_{i}") for i, m in enumerate(measures.values())]
-    out = spread(df, zones).sortWithinPartitions(*zones) if zones else df
+    if files and zones:
+        out = along_curve(df, zones, files)
+    else:
+        out = spread(df, zones).sortWithinPartitions(*zones) if zones else df
     out.observe(seen, F.count(F.lit(1)).alias("rows"), *_null_counts(df), *taken).write.parquet(f"{path}/data/{write}")
     got = seen.get
     return write, {
@@ -146,12 +183,12 @@ def _commit(spark: SparkSession, path: str, version: int, write: str, entries: D
     return Snapshot(path=path, version=version, **body)
 
 
-def _next(spark: SparkSession, df: DataFrame, path: str, base: Snapshot | None, kept: DataFrame | None, zones, measures, batch=None) -> Snapshot:
+def _next(spark: SparkSession, df: DataFrame, path: str, base: Snapshot | None, kept: DataFrame | None, zones, measures, batch=None, files=None) -> Snapshot:
     """Commit the version after ``base``: the kept files and the rows as new ones."""
     if batch is None:
         batch = base.batch if base else -1
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-    write, statistics = _write(df, path, zones, measures or {})
+    write, statistics = _write(df, path, zones, measures or {}, files)
     entries = _listed(spark, path, write, zones, schema)
     if kept is not None:
         entries = entries.unionByName(kept)
@@ -167,11 +204,15 @@ def _same_columns(base: Snapshot, df: DataFrame) -> DataFrame:
 
 
 def replace_all(
-    df: DataFrame, path: str, zones: list[str], measures: dict[str, Column] | None = None, batch: int | None = None
+    df: DataFrame, path: str, zones: list[str], measures: dict[str, Column] | None = None, batch: int | None = None,
+    curve_files: int | None = None,
 ) -> Snapshot:
-    """A new version of these rows alone (SNK-02, SNK-15). ``measures`` are aggregates kept with its statistics."""
+    """A new version of these rows alone (SNK-02, SNK-15). ``measures`` are aggregates kept with its statistics.
+
+    ``curve_files`` lays the rows out along a curve through all zone columns, in about so many files.
+    """
     spark = df.sparkSession
-    return _next(spark, df, path, snapshot(spark, path), None, zones, measures, batch)
+    return _next(spark, df, path, snapshot(spark, path), None, zones, measures, batch, curve_files)
 
 
 def append_rows(df: DataFrame, path: str, measures: dict[str, Column] | None = None, batch: int | None = None) -> Snapshot:
