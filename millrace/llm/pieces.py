@@ -1,8 +1,12 @@
 """SentencePiece encoding and decoding by a table of distinct chunks.
 
 If no piece of the model holds a white space marker behind another character, a merge never crosses
-from a character to a marker. Each text is cut there, each distinct chunk of a batch is segmented
-once, and the chunks' ids are put back by position.
+from a character to a marker. Texts are cut there. The distinct chunks of all texts are counted and segmented
+once, into a table in the shared folder. Its most frequent chunks, whose number and length are bounded, go to every
+task; a text made of these alone is put together at once. The other chunks of the rest are joined by their
+spelling, so no frequent chunk is a hot key, gathered for each text and put back by position.
+
+The column functions (``encoder``, ``decoder``, ``round_trip``) do without the table: each worker keeps the chunks it met.
 
 Defined cases: a null text is encoded as the empty one, which has no ids and decodes to the empty
 text. Repeated rows and null identifiers keep their rows. A column with the name of a result is
@@ -12,13 +16,14 @@ replaced. A text of any length is encoded whole; a chunk without white space may
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.texts import whole
+from millrace.llm.texts import stored, whole
 
 MARK = "▁"
 #: Chunks that a task remembers from batch to batch. A full table starts anew: ids do not depend on it.
@@ -26,6 +31,11 @@ REMEMBERED = 200_000
 #: Distinct chunks that are segmented by one call, and texts whose chunks are looked up together.
 LINE, TEXTS = 256, 32
 
+#: Most frequent chunks that every task holds, and their greatest length in characters.
+HEAD, HEAD_CHARS = 65_536, 64
+#: Steps of a doubling in which chunks are counted as equally frequent.
+STEPS = 4
+
 ROUND_TRIP = "struct<ids: array<int>, decoded: string>"
 
 
@@ -56,7 +66,9 @@ class ChunkTable:
             return [c[1:] for c in self.cut.findall(MARK + text.replace(" ", MARK))]
         return words
 
-    def _learn(self, chunks: set[str]) -> None:
+    def segment(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of each chunk."""
+        found: dict[str, bytes] = {}
         # The model puts a marker ahead of what it encodes, so many chunks with one marker go as one
         # line: each starts where a piece has a marker.
         single = [c for c in chunks if c and c[0] != MARK]
@@ -65,11 +77,12 @@ class ChunkTable:
             ids = np.asarray(self.model.encode(" ".join(some)), dtype=np.int32)
             bounds = [*(np.flatnonzero(self.marked[ids]) * 4).tolist(), len(ids) * 4]
             raw = ids.tobytes()
-            self.ids.update(zip(some, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
+            found.update(zip(some, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
         # Runs of markers go behind a line feed, whose ids are then taken off.
         for chunk in chunks.difference(single):
             ids = self.model.encode("\n" + MARK + chunk)
-            self.ids[chunk] = np.asarray(ids[len(self._lead):], dtype=np.int32).tobytes()
+            found[chunk] = np.asarray(ids[len(self._lead):], dtype=np.int32).tobytes()
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as bytes of 32-bit integers."""
@@ -80,7 +93,7 @@ class ChunkTable:
             if len(self.ids) + len(new) > self.remembered:
                 self.ids.clear()
                 new = set().union(*cut)
-            self._learn(new)
+            self.ids.update(self.segment(new))
             out += [b"".join(map(self.ids.__getitem__, chunks)) for chunks in cut]
         return out
 
@@ -129,17 +142,139 @@ def round_trip(text: Column, model_path: str) -> Column:
     return both(text)
 
 
-def tokenize(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """The rows with their ids (array of int) and the text decoded from them."""
-    return df.withColumn("__pieces", round_trip(whole(df[text]), model_path)).withColumns(
-        {ids: F.col("__pieces.ids"), decoded: F.col("__pieces.decoded")}
-    ).drop("__pieces")
+def counted_chunks(texts: DataFrame, model_path: str) -> DataFrame:
+    """(chunk, n) of the distinct chunks of the rows (text): counted in batches, then summed."""
+
+    def run(batches):
+        table = chunk_table(model_path)
+        for batch in batches:
+            seen: Counter = Counter()
+            for text in batch.column(0):
+                seen.update(table.chunks(text.as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["chunk", "n"])
+
+    return texts.mapInArrow(run, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+
+
+def segmented(chunks: DataFrame, model_path: str) -> DataFrame:
+    """(chunk, n, ids) of rows (chunk, n): every chunk is segmented once. ``ids`` are bytes of 32-bit integers."""
+
+    def run(batches):
+        table = chunk_table(model_path)
+        for batch in batches:
+            for at in range(0, len(batch), LINE * 16):
+                some = batch.slice(at, LINE * 16)
+                names = some.column(0).to_pylist()
+                ids = table.segment(set(names))
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([ids[c] for c in names], pa.binary())], ["chunk", "n", "ids"])
+
+    return stored(chunks.mapInArrow(run, "chunk string, n long, ids binary"), "pieces")
+
+
+def head_of(table: DataFrame, size: int = HEAD, longest: int = HEAD_CHARS) -> DataFrame:
+    """The most frequent chunks of the table up to a length, at most ``size``.
+
+    Chunks are ranked by classes of frequency, which are few, so nothing is sorted: the head takes whole classes
+    from the top. A chunk outside is short of no more than a class that does not fit, or longer than ``longest``.
+    """
+    level = F.floor(F.log2("n") * STEPS)
+    short = table.filter(F.char_length("chunk") <= longest)
+    least, held = None, 0
+    for row in short.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("level")).collect():
+        held += row.m
+        if held > size:
+            break
+        least = row.level
+    return short.limit(0) if least is None else short.filter(level >= least)
+
+
+def put_together(rows: DataFrame, kind: str, head, model_path: str) -> DataFrame:
+    """(row, ids, decoded) of the rows (row, text) whose chunks are all in the head."""
+
+    def run(batches):
+        table = chunk_table(model_path)
+        for batch in batches:
+            for at in range(0, len(batch), TEXTS):
+                some = batch.slice(at, TEXTS)
+                made = []
+                for text in some.column(1):
+                    try:
+                        made.append(b"".join(map(head.value.__getitem__, table.chunks(text.as_py()))))
+                    except KeyError:
+                        made.append(None)
+                done = pa.array([m is not None for m in made])
+                yield result(some.column(0).filter(done), [m for m in made if m is not None], table)
+
+    return rows.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
+
+
+def left_over(rows: DataFrame, kind: str, head, model_path: str) -> DataFrame:
+    """(row, text, chunks) of the others, with their distinct chunks outside the head."""
+
+    def run(batches):
+        table = chunk_table(model_path)
+        for batch in batches:
+            for at in range(0, len(batch), TEXTS):
+                some = batch.slice(at, TEXTS)
+                new = [list(set(table.chunks(text.as_py())).difference(head.value)) for text in some.column(1)]
+                left = pa.array([bool(n) for n in new])
+                columns = [c.filter(left) for c in (some.column(0), some.column(1), pa.array(new, pa.list_(pa.string())))]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "text", "chunks"])
+
+    return rows.mapInArrow(run, f"row {kind}, text string, chunks array<string>")
+
+
+def put_back(rows: DataFrame, kind: str, head, model_path: str) -> DataFrame:
+    """(row, ids, decoded) from rows (row, text, found), where ``found`` has the chunks outside the head with their ids."""
+
+    def run(batches):
+        table = chunk_table(model_path)
+        for batch in batches:
+            for at in range(0, len(batch), TEXTS):
+                some = batch.slice(at, TEXTS)
+                made = []
+                for text, found in zip(some.column(1), some.column(2)):
+                    own = {f["chunk"]: f["ids"] for f in found.as_py()}
+                    made.append(b"".join([own[c] if c in own else head.value[c] for c in table.chunks(text.as_py())]))
+                yield result(some.column(0), made, table)
+
+    return rows.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
+
+
+def result(rows: pa.Array, encoded: list[bytes], table: ChunkTable) -> pa.RecordBatch:
+    decoded = [table.model.decode(np.frombuffer(x, dtype=np.int32).tolist()) if x else "" for x in encoded]
+    return pa.RecordBatch.from_arrays([rows, as_lists(encoded), pa.array(decoded, pa.string())], ["row", "ids", "decoded"])
+
+
+def tokenize(
+    df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+    keep: list[str] | None = None, head: int = HEAD,
+) -> DataFrame:
+    """The columns ``keep`` (all if not given) with the ids (array of int) and the text decoded from them.
+
+    ``head`` bounds the chunks that go to every task; results do not depend on it.
+    """
+    names = [c for c in (df.columns if keep is None else keep) if c not in (ids, decoded)]
+    rows = df.select(F.struct(*[df[c] for c in names], F.lit(0).alias("__")).alias("row"), whole(df[text]).alias("text"))
+    kind = rows.schema["row"].dataType.simpleString()
+    table = segmented(counted_chunks(rows.select("text"), model_path), model_path)
+    first = head_of(table, head)
+    top = df.sparkSession.sparkContext.broadcast({r.chunk: bytes(r.ids) for r in first.toLocalIterator()})
+    single = put_together(rows, kind, top, model_path)
+
+    # Written once, so the numbers that name the rows cannot change between the two uses.
+    rest = stored(left_over(rows, kind, top, model_path).withColumn("id", F.monotonically_increasing_id()), "rest")
+    wanted = rest.select("id", F.explode("chunks").alias("chunk"))
+    pairs = wanted.join(table.join(first.select("chunk"), "chunk", "left_anti"), "chunk")
+    found = pairs.groupBy("id").agg(F.collect_list(F.struct("chunk", "ids")).alias("found"))
+    several = put_back(rest.join(found, "id").select("row", "text", "found"), kind, top, model_path)
+    done = single.unionByName(several)
+    return done.select(*[F.col("row")[c].alias(c) for c in names], F.col("ids").alias(ids), F.col("decoded").alias(decoded))
 
 
 def digests(df: DataFrame, model_path: str) -> DataFrame:
     """Count and digests of the ids and of the decoded text of every document."""
-    named = tokenize(df.select("doc_id", "text"), model_path)
-    return named.select(
+    return tokenize(df, model_path, keep=["doc_id"]).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

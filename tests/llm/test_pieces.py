@@ -51,3 +51,38 @@ def test_functions_alone(files, model):
     got = rows.select(F.coalesce("text", F.lit("")).alias("t")).select("t", pieces.encoder(piece_model())("t").alias("ids"))
     back = got.select("t", pieces.decoder(piece_model())("ids").alias("d")).collect()
     assert all(r.t == r.d for r in back)
+
+
+def mixed_texts():
+    rng = random.Random(5)
+    common = [f"word{i}" for i in range(30)]
+    texts = [" ".join(rng.choice(common) if rng.random() < 0.9 else f"rare{rng.random()}" for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    line = "=" * 5000
+    return [*texts, *texts[:40], *[f"{line} {c} \n{line}" for c in common * 3], "", " ", "  a ▁ b  ", "x" * 100_000, "word1 " * 50_000]
+
+
+@pytest.mark.parametrize("head", [0, 8, 40, 10**6])
+def test_table_and_head_give_the_library_ids(files, model, head):
+    texts = mixed_texts()
+    rows = files([(i, t, i % 3) for i, t in enumerate(texts)], "doc_id long, text string, row int", parts=4)
+    got = {r.doc_id: r for r in pieces.tokenize(rows, piece_model(), head=head).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        ids = model.encode(text)
+        assert (got[i].ids, got[i].decoded, got[i].text, got[i].row) == (ids, model.decode(ids), text, i % 3)
+
+
+def test_each_chunk_is_segmented_once(files):
+    texts = mixed_texts()
+    rows = files([(t,) for t in texts], "text string", parts=4)
+    counts = pieces.counted_chunks(rows, piece_model())
+    table = pieces.segmented(counts, piece_model())
+    cutter, want = pieces.ChunkTable(piece_model()), {}
+    for text in texts:
+        for chunk in cutter.chunks(text):
+            want[chunk] = want.get(chunk, 0) + 1
+    assert sorted((r.chunk, r.n) for r in table.collect()) == sorted(want.items())
+    head = {r.chunk for r in pieces.head_of(table, 40).collect()}
+    assert 0 < len(head) <= 40 and max(map(len, head)) <= pieces.HEAD_CHARS
+    assert max(n for c, n in want.items() if len(c) <= pieces.HEAD_CHARS and c not in head) <= min(want[c] for c in head)
+    assert pieces.head_of(table, 0).count() == 0
