@@ -1,10 +1,10 @@
 """SentencePiece encoding and decoding by a table of distinct chunks.
 
 If no piece of the model holds a white space marker behind another character, a merge never crosses
-from a character to a marker. Texts are cut there. The distinct chunks of all texts are counted and segmented
-once, into a table in the shared folder. Its most frequent chunks, whose number and length are bounded, go to every
-task; a text made of these alone is put together at once. The other chunks of the rest are joined by their
-spelling, so no frequent chunk is a hot key, gathered for each text and put back by position.
+from a character to a marker. Texts are cut there. The distinct chunks of all texts are counted, and those that
+recur are segmented once, into a table in the shared folder. Its most frequent chunks, whose number and length are
+bounded, go to every task; the others of a text are joined by their spelling, so no frequent chunk is a hot key,
+gathered for the text and put back by position. A chunk that occurs once in all texts is segmented where it stands.
 
 The column functions (``encoder``, ``decoder``, ``round_trip``) do without the table: each worker keeps the chunks it met.
 
@@ -21,9 +21,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.texts import stored, whole
+from millrace.llm.texts import free_name, numbered, stored, whole
 
 MARK = "▁"
 #: Chunks that a task remembers from batch to batch. A full table starts anew: ids do not depend on it.
@@ -32,7 +33,7 @@ REMEMBERED = 200_000
 LINE, TEXTS = 256, 32
 
 #: Most frequent chunks that every task holds, and their greatest length in characters.
-HEAD, HEAD_CHARS = 65_536, 64
+HEAD, HEAD_CHARS = 262_144, 64
 #: Steps of a doubling in which chunks are counted as equally frequent.
 STEPS = 4
 
@@ -157,7 +158,7 @@ def counted_chunks(texts: DataFrame, model_path: str) -> DataFrame:
 
 
 def segmented(chunks: DataFrame, model_path: str) -> DataFrame:
-    """(chunk, n, ids) of rows (chunk, n): every chunk is segmented once. ``ids`` are bytes of 32-bit integers."""
+    """(chunk, n, ids) of rows (chunk, n) that recur, each segmented once. ``ids`` are bytes of 32-bit integers."""
 
     def run(batches):
         table = chunk_table(model_path)
@@ -168,7 +169,7 @@ def segmented(chunks: DataFrame, model_path: str) -> DataFrame:
                 ids = table.segment(set(names))
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([ids[c] for c in names], pa.binary())], ["chunk", "n", "ids"])
 
-    return stored(chunks.mapInArrow(run, "chunk string, n long, ids binary"), "pieces")
+    return stored(chunks.filter("n > 1").mapInArrow(run, "chunk string, n long, ids binary"), "pieces")
 
 
 def head_of(table: DataFrame, size: int = HEAD, longest: int = HEAD_CHARS) -> DataFrame:
@@ -188,28 +189,8 @@ def head_of(table: DataFrame, size: int = HEAD, longest: int = HEAD_CHARS) -> Da
     return short.limit(0) if least is None else short.filter(level >= least)
 
 
-def put_together(rows: DataFrame, kind: str, head, model_path: str) -> DataFrame:
-    """(row, ids, decoded) of the rows (row, text) whose chunks are all in the head."""
-
-    def run(batches):
-        table = chunk_table(model_path)
-        for batch in batches:
-            for at in range(0, len(batch), TEXTS):
-                some = batch.slice(at, TEXTS)
-                made = []
-                for text in some.column(1):
-                    try:
-                        made.append(b"".join(map(head.value.__getitem__, table.chunks(text.as_py()))))
-                    except KeyError:
-                        made.append(None)
-                done = pa.array([m is not None for m in made])
-                yield result(some.column(0).filter(done), [m for m in made if m is not None], table)
-
-    return rows.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
-
-
-def left_over(rows: DataFrame, kind: str, head, model_path: str) -> DataFrame:
-    """(row, text, chunks) of the others, with their distinct chunks outside the head."""
+def outside_head(rows: DataFrame, head, model_path: str) -> DataFrame:
+    """(id, chunk) of the distinct chunks of each row (id, text) that are not in the head."""
 
     def run(batches):
         table = chunk_table(model_path)
@@ -217,25 +198,27 @@ def left_over(rows: DataFrame, kind: str, head, model_path: str) -> DataFrame:
             for at in range(0, len(batch), TEXTS):
                 some = batch.slice(at, TEXTS)
                 new = [list(set(table.chunks(text.as_py())).difference(head.value)) for text in some.column(1)]
-                left = pa.array([bool(n) for n in new])
-                columns = [c.filter(left) for c in (some.column(0), some.column(1), pa.array(new, pa.list_(pa.string())))]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "text", "chunks"])
+                ids = np.repeat(some.column(0).to_numpy(), [len(n) for n in new])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([c for n in new for c in n], pa.string())], ["id", "chunk"])
 
-    return rows.mapInArrow(run, f"row {kind}, text string, chunks array<string>")
+    return rows.mapInArrow(run, "id long, chunk string")
 
 
 def put_back(rows: DataFrame, kind: str, head, model_path: str) -> DataFrame:
-    """(row, ids, decoded) from rows (row, text, found), where ``found`` has the chunks outside the head with their ids."""
+    """(row, ids, decoded) from rows (row, text, found), where ``found`` has recurring chunks outside the head with their ids."""
 
     def run(batches):
         table = chunk_table(model_path)
         for batch in batches:
             for at in range(0, len(batch), TEXTS):
                 some = batch.slice(at, TEXTS)
-                made = []
-                for text, found in zip(some.column(1), some.column(2)):
-                    own = {f["chunk"]: f["ids"] for f in found.as_py()}
-                    made.append(b"".join([own[c] if c in own else head.value[c] for c in table.chunks(text.as_py())]))
+                cut = [table.chunks(text.as_py()) for text in some.column(1)]
+                met = some.column(2)
+                names, ids = met.flatten().field(0).to_pylist(), met.flatten().field(1).to_pylist()
+                own = dict(zip(names, ids))  # of these few texts; a chunk has the same ids in all
+                known = head.value
+                own.update(table.segment({c for chunks in cut for c in chunks if c not in known and c not in own}))
+                made = [b"".join([known[c] if c in known else own[c] for c in chunks]) for chunks in cut]
                 yield result(some.column(0), made, table)
 
     return rows.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
@@ -255,23 +238,39 @@ def tokenize(
     ``head`` bounds the chunks that go to every task; results do not depend on it.
     """
     names = [c for c in (df.columns if keep is None else keep) if c not in (ids, decoded)]
-    rows = df.select(F.struct(*[df[c] for c in names], F.lit(0).alias("__")).alias("row"), whole(df[text]).alias("text"))
+    scan = as_files(df)
+    spot = free_name(scan, "__row")
+    placed = numbered(scan, spot)
+    rows = placed.select(F.col(spot).alias("id"), F.struct(*[placed[c] for c in names]).alias("row"), whole(placed[text]).alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    table = segmented(counted_chunks(rows.select("text"), model_path), model_path)
+    texts = scan.select(whole(scan[text]).alias("text"))
+    table = segmented(counted_chunks(texts, model_path), model_path)
     first = head_of(table, head)
-    top = df.sparkSession.sparkContext.broadcast({r.chunk: bytes(r.ids) for r in first.toLocalIterator()})
-    single = put_together(rows, kind, top, model_path)
-
-    # Written once, so the numbers that name the rows cannot change between the two uses.
-    rest = stored(left_over(rows, kind, top, model_path).withColumn("id", F.monotonically_increasing_id()), "rest")
-    wanted = rest.select("id", F.explode("chunks").alias("chunk"))
-    pairs = wanted.join(table.join(first.select("chunk"), "chunk", "left_anti"), "chunk")
-    found = pairs.groupBy("id").agg(F.collect_list(F.struct("chunk", "ids")).alias("found"))
-    several = put_back(rest.join(found, "id").select("row", "text", "found"), kind, top, model_path)
-    done = single.unionByName(several)
+    top = df.sparkSession.sparkContext.broadcast(as_dict(first))
+    pairs = outside_head(rows.select("id", "text"), top, model_path)
+    rest = table.join(first.select("chunk"), "chunk", "left_anti").select("chunk", "ids")
+    found = pairs.join(rest, "chunk").groupBy("id").agg(F.collect_list(F.struct("chunk", "ids")).alias("found"))
+    none = F.array().cast("array<struct<chunk: string, ids: binary>>")
+    met = rows.join(found, "id", "left").select("row", "text", F.coalesce("found", none).alias("found"))
+    done = put_back(met, kind, top, model_path)
     return done.select(*[F.col("row")[c].alias(c) for c in names], F.col("ids").alias(ids), F.col("decoded").alias(decoded))
 
 
+def as_dict(head: DataFrame) -> dict[str, bytes]:
+    """Chunks of the head, whose number and length are bounded, with their ids."""
+    got = head.select("chunk", "ids").toArrow()
+    return dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+
+
+def as_files(df: DataFrame) -> DataFrame:
+    """The frame as a scan of files, whose rows have a place: itself, or a stored copy."""
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index").schema
+    except AnalysisException:
+        return stored(df, "texts")
+    return df
+
+
 def digests(df: DataFrame, model_path: str) -> DataFrame:
     """Count and digests of the ids and of the decoded text of every document."""
     return tokenize(df, model_path, keep=["doc_id"]).select(
