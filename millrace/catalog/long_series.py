@@ -1,4 +1,4 @@
-"""WIN, AGG, SRC: frames along a long order, merged sketches, scans of a curve layout."""
+"""WIN, AGG, SRC: frames along a long order, merged sketches, scans of a curve layout, uploads against indexed files."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from millrace.plans.halo import over_long_series
 from millrace.schemas import TENANT_KEYS
 from millrace.session import scratch_path
 from millrace.sinks import snapshots
+from millrace.sources import keys
 
 # Small against the tables, so that frames cross many borders.
 BLOCK = 4096
@@ -114,3 +115,39 @@ def _(f):
     return snapshots.read_ranges(f.spark, path, mine).groupBy("facility").agg(
         F.count(F.lit(1)).alias("n"), F.sum("actual_tons").alias("tons"), F.min("date").alias("first_day"), F.max("date").alias("last_day")
     )
+
+
+def _indexed_orders(f):
+    """Raw orders of the first half of each year, indexed, then more files that the index does not know."""
+    path = scratch_path(f.spark, "raw-orders")
+    table, index = f"{path}/orders", f"{path}/orders-keys"
+    half = F.month("order_date") <= 6
+    f.orders.filter(half).write.partitionBy(*TENANT_KEYS).parquet(table)
+    keys.index_files(f.spark, table, ["order_id"], index)
+    f.orders.filter(half.isNull() | (F.month("order_date") > 11)).write.mode("append").partitionBy(*TENANT_KEYS).parquet(table)
+    return table, index
+
+
+@query(
+    "src_06_indexed_upload",
+    """SELECT order_id, 'ASIA' AS company_id, 'ASIA_0' AS factory_id, quantity_tons FROM ord AS n
+       WHERE NOT EXISTS (SELECT 1 FROM ord AS e WHERE e.order_id = n.order_id AND e.company_id = 'ASIA' AND e.factory_id = 'ASIA_0'
+                         AND (month(e.order_date) NOT BETWEEN 7 AND 11 OR e.order_date IS NULL))""",
+)
+def _(f):
+    table, index = _indexed_orders(f)
+    taken = keys.take_indexed(f.spark, f.orders, "orders", TEST_TENANT, f.places, table, index)
+    return taken.select("order_id", *TENANT_KEYS, "quantity_tons")
+
+
+@query(
+    "snk_12_upload_ledger",
+    "SELECT 'ASIA' AS company_id, 'ASIA_0' AS factory_id, 'orders' AS feed, count(*) AS n_rows, FALSE AS before, TRUE AS after FROM ord",
+)
+def _(f):
+    ledger = scratch_path(f.spark, "ledger")
+    before = keys.taken_before(f.spark, f.orders, "orders", TEST_TENANT, ledger)
+    keys.note_taken(f.orders, "orders", TEST_TENANT, ledger)
+    after = keys.taken_before(f.spark, f.orders.orderBy("order_id"), "orders", TEST_TENANT, ledger)
+    noted = f.spark.read.parquet(ledger).drop("digest")
+    return noted.withColumns({"before": F.lit(before), "after": F.lit(after)})

@@ -197,6 +197,18 @@ def _(f):
     return sides[0].unionByName(sides[1])
 
 
+@query(
+    "prj_14_digest_split",
+    """SELECT ('0x' || substr(md5(purchase_id || '|42'), 1, 8))::BIGINT % 10 < 8 AS is_train, count(*) AS n,
+       min(purchase_id) AS first_id, max(purchase_id) AS last_id FROM purch GROUP BY 1""",
+)
+def _(f):
+    both = zip(features.digest_split(f.purchases, "purchase_id"), (True, False))
+    seen = [F.count(F.lit(1)).alias("n"), F.min("purchase_id").alias("first_id"), F.max("purchase_id").alias("last_id")]
+    train, test = (part.agg(*seen).withColumn("is_train", F.lit(side)) for part, side in both)
+    return train.unionByName(test)
+
+
 @query("prj_15_active_orders", "SELECT order_id, status FROM ord WHERE status <> 'cancelled'")
 def _(f):
     return served.active_orders(f.orders).select("order_id", "status")

@@ -52,6 +52,13 @@ def hash_split(df: DataFrame, key: str | list[str], train_tenths: int = 8, seed:
     return df.filter(bucket < train_tenths), df.filter(bucket >= train_tenths)
 
 
+def digest_split(df: DataFrame, key: str, train_tenths: int = 8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The same by the MD5 digest of the key as text and the seed (PRJ-14), which other engines can repeat."""
+    head = F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")).cast("binary")), 1, 8)
+    bucket = F.coalesce(F.conv(head, 16, 10).cast("long") % 10, F.lit(0))
+    return df.filter(bucket < train_tenths), df.filter(bucket >= train_tenths)
+
+
 def weekly_demand(orders: DataFrame) -> DataFrame:
     """Demand per week, product and region (AGG-16, DAT-01, DAT-03)."""
     weekly = (

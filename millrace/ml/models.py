@@ -125,6 +125,26 @@ def fit_demand_models(
     )
 
 
+def compare(scored: dict[str, DataFrame], actual: str, predicted: str) -> Fitted:
+    """Predictions that need no fit, scored and compared as the models are (ML-02, ML-03, ML-05)."""
+    return Fitted({}, {name: _metrics_row(df, actual, predicted) for name, df in scored.items()}, scored, [])
+
+
+def price_baselines(price_features: DataFrame, test_days: int = PRICE_TEST_DAYS) -> Fitted:
+    """The price of yesterday and of a week ago as predictions for the test days: what a model has to beat."""
+    _train, test = features.time_split(features.price_training_rows(price_features), "date", test_days)
+    past = {"Yesterday": "price_lag_1d", "LastWeek": "price_lag_7d"}
+    return compare({name: test.withColumn("pred_price", F.col(c)) for name, c in past.items()}, "steel_price_egp", "pred_price")
+
+
+def demand_baselines(demand: DataFrame, test_days: int = DEMAND_TEST_DAYS) -> Fitted:
+    """Last week's demand and the mean of four weeks as predictions for the test weeks."""
+    _train, test = features.time_split(demand, "week_start", test_days)
+    lags = [F.col(f"demand_lag_{n}w") for n in (1, 2, 3, 4)]
+    guesses = {"LastWeek": lags[0], "FourWeeks": (lags[0] + lags[1] + lags[2] + lags[3]) / 4}
+    return compare({name: test.withColumn("pred_demand", g) for name, g in guesses.items()}, "weekly_demand_tons", "pred_demand")
+
+
 @dataclass(frozen=True)
 class SupplierModels:
     classifier: PipelineModel
