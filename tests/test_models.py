@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.feeds import TEST_TENANT, Feeds
 from millrace.ml import features, metrics, models
+from millrace.plans.numbering import frequency_index
 
 
 @pytest.fixture(scope="module")
@@ -97,3 +98,22 @@ def test_supplier_models(feeds):
     scores = models.supplier_risk_scores(fitted, TEST_TENANT)
     assert scores.count() == feeds.purchases.select("supplier_name").distinct().count()
     assert {r.risk_level for r in scores.collect()} == {"LOW", "MEDIUM", "HIGH"}
+
+
+def test_training_rows_are_dealt_by_their_number(spark):
+    wide = spark.range(50).select("id", (F.col("id") * 2).alias("v")).repartition(40)
+    got = models.dealt(wide, ["id"])
+    assert got.rdd.getNumPartitions() == 1 and got.collect() == sorted(got.collect(), key=lambda r: r.id)
+    assert models.dealt(wide, ["id"], 10).rdd.getNumPartitions() == 5 and got.exceptAll(wide).isEmpty()
+
+
+def test_only_the_model_asked_for_is_trained(feeds):
+    fitted = models.fit_supplier_models(feeds.purchases_timed, {"numTrees": 2, "maxDepth": 2, "seed": 42})
+    assert fitted.regressor.stages[-1].getNumTrees == 2 and fitted.regressor is fitted.regressor
+    assert "classifier" not in vars(fitted)
+
+
+def test_few_labels_are_broadcast_to_the_rows(spark):
+    rows = spark.range(0, 1000).select(F.concat(F.lit("s"), F.col("id") % 7).alias("name"), F.concat(F.lit("k"), F.col("id") % 3).alias("kind"), F.col("id").alias("v"))
+    for df in (frequency_index(rows, "name", "i"), features.above_group_mean(rows, "v", "kind", "above")):
+        assert "BroadcastHashJoin" in df._jdf.queryExecution().sparkPlan().toString()
