@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators import cleaning, marts
+from millrace.session import staged
 from millrace.tenancy import Tenant
 
 # Governorate groups of the test data; nations 20-24 stay unmapped.
@@ -65,10 +66,11 @@ class Feeds:
 
     @cached_property
     def market(self) -> DataFrame:
+        """One row per day, staged: most queries read it several times, and all lines are behind it."""
         parts = self.table("part").select("p_partkey", "p_retailprice", "p_size")
         unit = F.col("l_extendedprice") / F.col("l_quantity")
         nine = lambda c: F.round(c, 9)
-        return (
+        daily = (
             self.line_days.join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .groupBy(F.col("order_day").alias("date"))
             .agg(
@@ -89,6 +91,7 @@ class Feeds:
                 }
             )
         )
+        return staged(daily, "market")
 
     @cached_property
     def production(self) -> DataFrame:
