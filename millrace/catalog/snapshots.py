@@ -105,12 +105,11 @@ def _(f):
 def _(f):
     root = scratch_path(f.spark, "isolated")
 
-    def refuse(rows, folder):
-        if not rows.filter("event_id % 5000 = 7").isEmpty():
+    def accept(batch):
+        if (batch.column("event_id").to_numpy() % 5000 == 7).any():
             raise ValueError("refused")
-        rows.write.mode("append").parquet(folder)
 
-    sink = IsolatingSink(f"{root}/rows", f"{root}/dead", "events", TEST_TENANT, refuse, "events")
+    sink = IsolatingSink(f"{root}/rows", f"{root}/dead", "events", TEST_TENANT, stream="events", accept=accept)
     rows = f.table("events").select("event_id", "event_type")
     for _ in range(2):  # the batch and its replay
         sink(rows, 0)

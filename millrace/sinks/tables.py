@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.dates import stamp
 from millrace.schemas import RAW_PARTITION, TENANT_KEYS
@@ -118,10 +118,13 @@ def append_table(df: DataFrame, path: str) -> None:
 
 
 def dead_letter(df: DataFrame, path: str, table: str, error: object) -> None:
-    """Append rejected records as JSON lines (SNK-10): all of them, written by the executors."""
+    """Append rejected records as JSON lines (SNK-10): all of them, written by the executors.
+
+    ``error`` is that of all records or the column ``__error``, which is then no part of the record.
+    """
     df.select(
         F.current_timestamp().alias("ts"),
         F.lit(table).alias("table"),
-        F.lit(str(error)).alias("error"),
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"),
+        (error if isinstance(error, Column) else F.lit(str(error))).alias("error"),
+        F.to_json(F.struct(*[c for c in df.columns if c != "__error"]), {"ignoreNullFields": "false"}).alias("record"),
     ).write.mode("append").json(path)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.functions.dates import stamp
 from millrace.sinks.tables import _delete, dead_letter
@@ -45,6 +46,34 @@ def attempts(rows: DataFrame, write: Callable[[DataFrame], None], depth: int = 0
             yield from attempts(half, write, depth + 1)
 
 
+def checked(rows: DataFrame, accept: Callable[[pa.RecordBatch], None]) -> DataFrame:
+    """The rows with ``__error``: what ``accept`` says of a row that it does not take, null for the others.
+
+    Each task halves what is refused until a row is alone, so bad rows cost calls inside the tasks, not jobs.
+    """
+    kind = T.StructType([*rows.schema.fields, T.StructField("__error", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            errors, open_ = [None] * batch.num_rows, [(0, batch.num_rows)]
+            while open_:
+                start, size = open_.pop()
+                try:
+                    accept(batch.slice(start, size))
+                except Exception as error:
+                    if is_storage_error(error):
+                        raise
+                    if size == 1:
+                        errors[start] = str(error)
+                    else:
+                        half = size // 2
+                        open_ += [(start, half), (start + half, size - half)]
+            names = [*batch.schema.names, "__error"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(errors, pa.string())], names=names)
+
+    return rows.mapInArrow(run, kind)
+
+
 @dataclass(frozen=True)
 class IsolatingSink:
     """Writes each micro-batch once and turns away only the rows that cannot be written (SNK-09, SNK-10).
@@ -53,6 +82,10 @@ class IsolatingSink:
     identifier, which a restart from the same checkpoint keeps and a new checkpoint changes: a replay empties its own
     folders and writes them again, and a stream that counts from zero anew overwrites nothing. ``write``
     gets some rows and the batch's folder and adds to it; a batch without rows leaves none.
+
+    ``accept`` raises for an Arrow batch of rows that the store would refuse. It runs in the tasks, before ``write``, so any
+    number of bad rows takes the same few jobs. Without it, or for rows that it lets pass, refused writes are
+    halved, which suits few bad rows.
     """
 
     path: str
@@ -61,6 +94,7 @@ class IsolatingSink:
     tenant: Tenant
     write: Callable[[DataFrame, str], None] | None = None
     stream: str | None = None
+    accept: Callable[[pa.RecordBatch], None] | None = None
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
@@ -71,10 +105,15 @@ class IsolatingSink:
             _delete(spark, old)
         store = self.write or (lambda rows, to: rows.write.mode("append").parquet(to))
         rows = stamp(tag(df, self.tenant.company_id, self.tenant.factory_id, keep_existing=True), "created_at")
+        rows = checked(rows, self.accept) if self.accept else rows.withColumn("__error", F.lit(None).cast("string"))
         rows = rows.withColumn("__hash", F.xxhash64(*df.columns)).persist()  # every attempt reads the same rows
         try:
-            if not rows.isEmpty():
-                for bad, error in attempts(rows, lambda some: store(some, folder)):
+            refused = rows.filter("__error IS NOT NULL").drop("__hash")
+            if self.accept and not refused.isEmpty():
+                dead_letter(refused, dead, self.table, F.col("__error"))
+            taken = rows.filter("__error IS NULL").drop("__error")
+            if not taken.isEmpty():
+                for bad, error in attempts(taken, lambda some: store(some, folder)):
                     dead_letter(bad, dead, self.table, error)
         finally:
             rows.unpersist()

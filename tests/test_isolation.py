@@ -65,3 +65,34 @@ def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "out"))
     assert stored.count() == 6 and stored.select("stream").distinct().count() == 2
     assert stored.groupBy("id").agg(F.count("*").alias("n")).filter("n <> 2").isEmpty()
+
+
+def test_many_bad_rows_take_one_write(spark, tmp_path):
+    calls = []
+
+    def accept(batch):
+        if any(i % 25 == 7 for i in batch.column("id").to_pylist()):
+            raise ValueError("no sevens")
+
+    def write(rows, folder):
+        calls.append(1)
+        rows.write.mode("append").parquet(folder)
+
+    sink = IsolatingSink(str(tmp_path / "out"), str(tmp_path / "dead"), "t", TENANT, write, "s1", accept)
+    for _ in range(2):  # a replay
+        sink(spark.range(10_000), 0)
+    assert len(calls) == 2 and spark.read.parquet(str(tmp_path / "out")).count() == 9_600
+    dead = spark.read.json(str(tmp_path / "dead"))
+    assert dead.count() == 400 and {r.error for r in dead.collect()} == {"no sevens"}
+    record = json.loads(dead.first().record)
+    assert record["id"] % 25 == 7 and set(record) == {"id", "company_id", "factory_id", "created_at"}
+
+
+def test_a_storage_error_in_a_check_is_raised(spark, tmp_path):
+    def accept(batch):
+        raise OSError("No space left on device")
+
+    sink = IsolatingSink(str(tmp_path / "out"), str(tmp_path / "dead"), "t", TENANT, None, "s1", accept)
+    with pytest.raises(Exception, match="No space left"):
+        sink(spark.range(5), 0)
+    assert not (tmp_path / "dead").exists()
