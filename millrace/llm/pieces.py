@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding by a table of distinct chunks.
 
 If no piece of the model holds a white space marker behind another character, a merge never crosses
-from a character to a marker. Texts are cut there. The distinct chunks of all texts are counted, and those that
-recur are segmented once, into a table in the shared folder. Its most frequent chunks, whose number and length are
-bounded, go to every task; the others of a text are joined by their spelling, so no frequent chunk is a hot key,
-gathered for the text and put back by position. A chunk that occurs once in all texts is segmented where it stands.
+from a character to a marker. Texts are cut there. The distinct chunks of all texts are counted in Spark. The most
+frequent of those that recur, whose number and length are bounded, are segmented once, into a table in the shared
+folder that goes to every task; their ids are put back by position. Any other chunk is segmented where it stands, once
+for some texts: it is too rare to be met again soon, and to join it back by its spelling moves every text. So texts
+never leave the task that read them, and the only shuffle is that of the counts.
 
 The column functions (``encoder``, ``decoder``, ``round_trip``) do without the table: each worker keeps the chunks it met.
 
@@ -21,10 +22,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.texts import free_name, numbered, stored, whole
+from millrace.llm.texts import stored, whole
 
 MARK = "▁"
 #: Chunks that a task remembers from batch to batch. A full table starts anew: ids do not depend on it.
@@ -189,35 +189,17 @@ def head_of(table: DataFrame, size: int = HEAD, longest: int = HEAD_CHARS) -> Da
     return short.limit(0) if least is None else short.filter(level >= least)
 
 
-def outside_head(rows: DataFrame, head, model_path: str) -> DataFrame:
-    """(id, chunk) of the distinct chunks of each row (id, text) that are not in the head."""
-
-    def run(batches):
-        table = chunk_table(model_path)
-        for batch in batches:
-            for at in range(0, len(batch), TEXTS):
-                some = batch.slice(at, TEXTS)
-                new = [list(set(table.chunks(text.as_py())).difference(head.value)) for text in some.column(1)]
-                ids = np.repeat(some.column(0).to_numpy(), [len(n) for n in new])
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([c for n in new for c in n], pa.string())], ["id", "chunk"])
-
-    return rows.mapInArrow(run, "id long, chunk string")
-
-
 def put_back(rows: DataFrame, kind: str, head, model_path: str) -> DataFrame:
-    """(row, ids, decoded) from rows (row, text, found), where ``found`` has recurring chunks outside the head with their ids."""
+    """(row, ids, decoded) from rows (row, text): chunks of the head have their ids from it, others get them here."""
 
     def run(batches):
         table = chunk_table(model_path)
+        known = head.value
         for batch in batches:
             for at in range(0, len(batch), TEXTS):
                 some = batch.slice(at, TEXTS)
                 cut = [table.chunks(text.as_py()) for text in some.column(1)]
-                met = some.column(2)
-                names, ids = met.flatten().field(0).to_pylist(), met.flatten().field(1).to_pylist()
-                own = dict(zip(names, ids))  # of these few texts; a chunk has the same ids in all
-                known = head.value
-                own.update(table.segment({c for chunks in cut for c in chunks if c not in known and c not in own}))
+                own = table.segment(set().union(*cut).difference(known))
                 made = [b"".join([known[c] if c in known else own[c] for c in chunks]) for chunks in cut]
                 yield result(some.column(0), made, table)
 
@@ -235,24 +217,15 @@ def tokenize(
 ) -> DataFrame:
     """The columns ``keep`` (all if not given) with the ids (array of int) and the text decoded from them.
 
-    ``head`` bounds the chunks that go to every task; results do not depend on it.
+    ``head`` bounds the chunks that go to every task; results do not depend on it. The frame is computed twice: for the
+    counts, now, and for the result.
     """
     names = [c for c in (df.columns if keep is None else keep) if c not in (ids, decoded)]
-    scan = as_files(df)
-    spot = free_name(scan, "__row")
-    placed = numbered(scan, spot)
-    rows = placed.select(F.col(spot).alias("id"), F.struct(*[placed[c] for c in names]).alias("row"), whole(placed[text]).alias("text"))
+    rows = df.select(F.struct(*[df[c] for c in names]).alias("row"), whole(df[text]).alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    texts = scan.select(whole(scan[text]).alias("text"))
-    table = segmented(counted_chunks(texts, model_path), model_path)
-    first = head_of(table, head)
-    top = df.sparkSession.sparkContext.broadcast(as_dict(first))
-    pairs = outside_head(rows.select("id", "text"), top, model_path)
-    rest = table.join(first.select("chunk"), "chunk", "left_anti").select("chunk", "ids")
-    found = pairs.join(rest, "chunk").groupBy("id").agg(F.collect_list(F.struct("chunk", "ids")).alias("found"))
-    none = F.array().cast("array<struct<chunk: string, ids: binary>>")
-    met = rows.join(found, "id", "left").select("row", "text", F.coalesce("found", none).alias("found"))
-    done = put_back(met, kind, top, model_path)
+    counts = stored(counted_chunks(rows.select("text"), model_path).filter("n > 1"), "chunks")
+    table = segmented(head_of(counts, head), model_path)
+    done = put_back(rows, kind, df.sparkSession.sparkContext.broadcast(as_dict(table)), model_path)
     return done.select(*[F.col("row")[c].alias(c) for c in names], F.col("ids").alias(ids), F.col("decoded").alias(decoded))
 
 
@@ -262,15 +235,6 @@ def as_dict(head: DataFrame) -> dict[str, bytes]:
     return dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
 
 
-def as_files(df: DataFrame) -> DataFrame:
-    """The frame as a scan of files, whose rows have a place: itself, or a stored copy."""
-    try:
-        df.select("_metadata.file_path", "_metadata.row_index").schema
-    except AnalysisException:
-        return stored(df, "texts")
-    return df
-
-
 def digests(df: DataFrame, model_path: str) -> DataFrame:
     """Count and digests of the ids and of the decoded text of every document."""
     return tokenize(df, model_path, keep=["doc_id"]).select(

@@ -74,6 +74,14 @@ def test_table_and_head_give_the_library_ids(files, model, head):
         assert (got[i].ids, got[i].decoded, got[i].text, got[i].row) == (ids, model.decode(ids), text, i % 3)
 
 
+def test_texts_stay_in_the_task_that_reads_them(files, model):
+    rows = files([(i, t) for i, t in enumerate(mixed_texts())], "doc_id long, text string", parts=4)
+    made = pieces.tokenize(rows, piece_model(), head=8)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert all(r.ids == model.encode(r.text) for r in made.collect())
+
+
 def test_each_recurring_chunk_is_segmented_once(files):
     texts = mixed_texts()
     rows = files([(t,) for t in texts], "text string", parts=4)
