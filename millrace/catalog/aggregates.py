@@ -234,7 +234,7 @@ _FACTORS = f"""SELECT *, {rounded('(100 - late_delivery_pct)', 2)} AS on_time_fa
 
 @query("agg_18_supplier_rollup", _FACTORS)
 def _(f):
-    return metrics.supplier_rollup(features.delivery_risk(f.purchases_timed), prediction="risk_points")
+    return metrics.supplier_rollup(features.delivery_risk(f.deliveries), prediction="risk_points")
 
 
 @query(
@@ -245,7 +245,7 @@ def _(f):
                                 quantile_disc(avg_risk_score, 0.67) AS hi FROM ({_ROLLUP}) AS r2) AS t""",
 )
 def _(f):
-    rolled = metrics.supplier_rollup(features.delivery_risk(f.purchases_timed), prediction="risk_points")
+    rolled = metrics.supplier_rollup(features.delivery_risk(f.deliveries), prediction="risk_points")
     return metrics.risk_levels(rolled).select("supplier_name", "avg_risk_score", "risk_level")
 
 

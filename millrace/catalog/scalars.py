@@ -159,7 +159,7 @@ def _(f):
     f"SELECT supplier_name, on_time_factor, quality_factor, price_factor FROM ({_FACTORS}) AS r",
 )
 def _(f):
-    rolled = metrics.supplier_rollup(features.delivery_risk(f.purchases_timed), prediction="risk_points")
+    rolled = metrics.supplier_rollup(features.delivery_risk(f.deliveries), prediction="risk_points")
     return rolled.select("supplier_name", "on_time_factor", "quality_factor", "price_factor")
 
 

@@ -56,7 +56,7 @@ def _(f):
     f"SELECT supplier_name, avg_risk_score FROM ({_ROLLUP}) AS r ORDER BY avg_risk_score, supplier_name LIMIT 3",
 )
 def _(f):
-    rolled = metrics.supplier_rollup(features.delivery_risk(f.purchases_timed), prediction="risk_points")
+    rolled = metrics.supplier_rollup(features.delivery_risk(f.deliveries), prediction="risk_points")
     return metrics.extremes(rolled).select("supplier_name", "avg_risk_score")
 
 
@@ -65,7 +65,7 @@ def _(f):
     f"SELECT supplier_name, avg_risk_score FROM ({_ROLLUP}) AS r ORDER BY avg_risk_score DESC, supplier_name LIMIT 3",
 )
 def _(f):
-    rolled = metrics.supplier_rollup(features.delivery_risk(f.purchases_timed), prediction="risk_points")
+    rolled = metrics.supplier_rollup(features.delivery_risk(f.deliveries), prediction="risk_points")
     return metrics.extremes(rolled, riskiest=True).select("supplier_name", "avg_risk_score")
 
 

@@ -54,18 +54,30 @@ def label_counts(df: DataFrame, *labels: str) -> DataFrame:
 
 
 def supplier_rollup(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
-    """Risk per supplier with its factors (AGG-18, SCL-18). Price tiers."""
-    grouped = scored.groupBy("supplier_name").agg(
+    """Risk per supplier with its factors (AGG-18, SCL-18). Price tiers.
+
+    Rows are first added up by supplier, country and material, which is hashed; the least country and material of a
+    supplier come from those sums. A least text beside the rows would have all rows sorted by supplier.
+    """
+    means = {  # value, factor, digits
+        "avg_risk_score": (prediction, 1, 2), "actual_avg_risk": ("risk_points", 1, 2), "late_delivery_pct": ("is_late", 100, 2),
+        "avg_quality": ("quality_num", 1, 2), "avg_lead_time": ("lead_time_days", 1, 1),
+        "avg_price_usd": ("price_per_ton_usd", 1, 2), "avg_reliability": ("supplier_reliability", 1, 4),
+    }
+    parts = scored.groupBy("supplier_name", "origin_country", "material_type").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(F.col(c).cast("double")).alias(f"{name}_sum") for name, (c, _, _) in means.items()],
+        *[F.count(c).alias(f"{name}_n") for name, (c, _, _) in means.items()],
+    )
+    mean = lambda name: F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+    rolled = {name: guards.steady(mean(name) * factor, digits).alias(name) for name, (_, factor, digits) in means.items()}
+    grouped = parts.groupBy("supplier_name").agg(
         F.min("origin_country").alias("origin_country"),
         F.min("material_type").alias("material_type"),
-        guards.steady(F.avg(prediction), 2).alias("avg_risk_score"),
-        guards.steady(F.avg("risk_points"), 2).alias("actual_avg_risk"),
-        F.count(F.lit(1)).alias("total_deliveries"),
-        guards.steady(F.avg("is_late") * 100, 2).alias("late_delivery_pct"),
-        guards.steady(F.avg("quality_num"), 2).alias("avg_quality"),
-        guards.steady(F.avg("lead_time_days"), 1).alias("avg_lead_time"),
-        guards.steady(F.avg("price_per_ton_usd"), 2).alias("avg_price_usd"),
-        guards.steady(F.avg("supplier_reliability"), 4).alias("avg_reliability"),
+        rolled.pop("avg_risk_score"),
+        rolled.pop("actual_avg_risk"),
+        F.sum("_n").alias("total_deliveries"),
+        *rolled.values(),
     )
     price = F.col("avg_price_usd")
     return grouped.withColumns(

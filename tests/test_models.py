@@ -117,3 +117,18 @@ def test_few_labels_are_broadcast_to_the_rows(spark):
     rows = spark.range(0, 1000).select(F.concat(F.lit("s"), F.col("id") % 7).alias("name"), F.concat(F.lit("k"), F.col("id") % 3).alias("kind"), F.col("id").alias("v"))
     for df in (frequency_index(rows, "name", "i"), features.above_group_mean(rows, "v", "kind", "above")):
         assert "BroadcastHashJoin" in df._jdf.queryExecution().sparkPlan().toString()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_rollup_hashes_its_rows(feeds):
+    plan = plan_of(metrics.supplier_rollup(features.delivery_risk(feeds.deliveries), prediction="risk_points"))
+    of_rows = [line for line in plan.splitlines() if "Aggregate" in line][-1]
+    assert "HashAggregate" in of_rows and "supplier_name" in of_rows
+
+
+def test_lines_of_orders_are_not_sorted_and_joined_once(feeds):
+    assert "SortMergeJoin" not in plan_of(feeds.line_days) and "ShuffledHashJoin" in plan_of(feeds.line_days)
+    assert "lineitem.parquet" not in plan_of(features.delivery_risk(feeds.deliveries))
