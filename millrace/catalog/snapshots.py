@@ -8,6 +8,7 @@ from millrace.catalog.feeds import TEST_TENANT
 from millrace.catalog.registry import query
 from millrace.catalog.sinks import _COUNTS, _SLIM, _UPSERT, _counts, _lines
 from millrace.operators import states
+from millrace.operators.marts import SCORECARD_KEYS
 from millrace.schemas import TENANT_KEYS
 from millrace.session import scratch_path
 from millrace.sinks import snapshots
@@ -125,10 +126,15 @@ def _(f):
 )
 def _(f):
     path = scratch_path(f.spark, "states")
-    rows = f.purchases_timed
     late, early = F.crc32(F.col("purchase_id").cast("binary")) % 10 == 0, F.month("purchase_date") <= 6
-    for part in (early & ~late, ~early & ~late, late):  # two halves of the year, then late rows of all days
-        states.add_purchases(rows.filter(part), path)
+    part = F.when(late, 2).when(early, 0).otherwise(1)  # two halves of the year, then late rows of all days
+    there = F.when(F.col("purchase_id").isNotNull(), True)  # ids are counted only
+    rows = f.purchases_stored(
+        *SCORECARD_KEYS, "purchase_date", "on_time", "quantity_tons", "price_per_ton_usd", "lead_time_days",
+        "supplier_reliability", there.alias("purchase_id"), part.alias("part"), by=["part"],
+    )
+    for at in range(3):
+        states.add_purchases(rows.filter(F.col("part") == at), path)
     states.compact_purchases(f.spark, path)
     return states.supplier_totals(snapshots.read_snapshot(f.spark, path))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.functions import guards
 from millrace.operators.marts import CANCELLED_SPELLINGS, SCORECARD_KEYS, kpi_star, leaders_of, monthly_totals, with_leaders
@@ -39,14 +39,22 @@ def state_of(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
     return df.groupBy(*keys).agg(*parts)
 
 
-def merged(states: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
+def merged(states: DataFrame, keys: list[str], measures: Measures, few: bool = False) -> DataFrame:
     """States of the same keys as one, or of fewer keys: the days of a key, say.
 
-    The common means come first; they meet the states again by the keys, so no group is held in one place.
+    The common means come first; they meet the states again by the keys, so no group is held in one place. If the states
+    of a key are ``few``, those of some batches, they meet in a window instead: all are shuffled once and joined with nothing.
     """
     adding = [*measures.counts, *[f"{n}_{p}" for n in measures.sums for p in ("n", "sum")], *[f"{n}_n" for n in measures.spreads]]
     weighted = [F.try_divide(F.sum(F.col(f"{n}_mean") * F.col(f"{n}_n")), F.sum(f"{n}_n")).alias(f"{n}_mean") for n in measures.spreads]
-    total = states.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in adding], *weighted)
+    summed = [F.sum(c).alias(c) for c in adding]
+    if few and measures.spreads:
+        of_key = Window.partitionBy(*keys)
+        mean = lambda n: F.try_divide(F.sum(F.col(f"{n}_mean") * F.col(f"{n}_n")).over(of_key), F.sum(f"{n}_n").over(of_key))
+        near = states.withColumns({f"{n}_mean_of_key": mean(n) for n in measures.spreads})
+        around = lambda n: F.col(f"{n}_dev") + F.col(f"{n}_n") * F.pow(F.col(f"{n}_mean") - F.col(f"{n}_mean_of_key"), F.lit(2))
+        return near.groupBy(*keys).agg(*summed, *weighted, *[F.sum(around(n)).alias(f"{n}_dev") for n in measures.spreads])
+    total = states.groupBy(*keys).agg(*summed, *weighted)
     if not measures.spreads:
         return total
     # Null keys are keys as well, so they are compared as such.
@@ -115,7 +123,7 @@ class States:
 
     def read(self, spark: SparkSession, path: str) -> DataFrame:
         """One state per key."""
-        return merged(snapshots.read_snapshot(spark, path), self.keys, self.measures)
+        return merged(snapshots.read_snapshot(spark, path), self.keys, self.measures, few=True)
 
     def compact(self, spark: SparkSession, path: str) -> None:
         """One state per key again, in one commit."""

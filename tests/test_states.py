@@ -90,3 +90,24 @@ def test_kpi_states_equal_a_full_rebuild(spark, rows, tmp_path):
     table = snapshots.read_snapshot(spark, f"{kept.path}/production")
     assert table.count() == table.select("company_id", "factory_id", "date").distinct().count()
     assert table.agg(F.sum("actual_n")).first()[0] == sum(r[3] is not None for r in data["production"])
+
+
+def test_states_of_a_key_meet_without_a_join(spark, rows, tmp_path):
+    import datetime
+
+    path, day = str(tmp_path / "states"), datetime.date(2024, 1, 1)
+    for price in (1e9 + 0.25, 1e9 + 0.75, None):
+        states.add_purchases(rows([("A", "f", "s", "x", "iron", "1", day, 1.0, price, 3, True, 0.5)], SCHEMA), path)
+    read = states.supplier_states().read(spark, path)
+    assert "Join" not in read._jdf.queryExecution().sparkPlan().toString()
+    (row,) = read.collect()
+    assert (row.total_purchases, row.price_n, row.price_mean, row.price_dev) == (3, 2, 1e9 + 0.5, 0.125)
+
+
+def test_batches_of_the_query_read_stored_purchases(spark, sf_dir, monkeypatch):
+    import __spark_entry__ as contract
+
+    plans, add = [], states.add_purchases
+    monkeypatch.setattr(states, "add_purchases", lambda rows, path: plans.append(rows._jdf.queryExecution().sparkPlan().toString()) or add(rows, path))
+    contract.queries()["agg_05_incremental_totals"](spark, sf_dir)
+    assert len(plans) == 3 and all("lineitem.parquet" not in plan for plan in plans)
