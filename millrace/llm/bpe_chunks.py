@@ -11,6 +11,9 @@ white space. At such a place no token, no normalisation and no added token of th
 further inside are those of the whole text. What stands between, over as many pieces as have no white space, is
 encoded once more; if that agrees with the pieces' own ids they stay, else it replaces them.
 
+Where the model cuts Latin-1 strings into words by ``SPLITTING``, a worker keeps the ids that the library gave for a
+word, of up to ``KNOWN`` words of up to ``SHORT`` characters, and looks them up when the word comes again in any string.
+
 Defined cases: a null text is the empty one, without ids. Repeated rows and null identifiers keep their rows. Columns
 named ``ids`` and ``decoded`` are replaced, any others may have any name. A text without cuts is cut at ``LONGEST``
 characters. Added tokens in a text are found as the library finds them.
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -33,6 +37,8 @@ from millrace.llm.texts import stored, whole
 WINDOW, BITS, LONGEST = 16, 10, 1 << 16
 #: Texts that are encoded and handed on together.
 TOGETHER = 256
+#: Words whose ids a worker keeps (with more it begins anew) and the longest of them.
+KNOWN, SHORT = 1 << 18, 32
 #: The base of the rolling hash and its inverse modulo 2 ** 32, and characters that are hashed at a time.
 BASE, BLOCK = 0x9E3779B1, 1 << 16
 
@@ -40,6 +46,12 @@ BASE, BLOCK = 0x9E3779B1, 1 << 16
 LOWERING = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
 ]}
+#: The pre-tokeniser whose words ``WORDS`` finds in Latin-1 texts that have been lowered.
+SPLITTING = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]}
+WORDS = re.compile("'(?:[stmd]|re|ve|ll)|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 
 # The ASCII white space.
 SPACES = " \t\n\x0b\x0c\r"
@@ -118,6 +130,10 @@ class Encoder:
             self.plain = Tokenizer.from_str(json.dumps(kept | {"normalizer": None}))
         self.packed = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.tokens = [self.model.id_to_token(i) for i in range(size)]
+        last = kept["model"].get("end_of_word_suffix")
+        self.wordwise = bool(self.plain and last and kept["pre_tokenizer"] == SPLITTING and all(a.split() == [a] for a in self.added))
+        self.last = np.array([bool(last) and (token or "").endswith(last) for token in self.tokens])
+        self.known: dict[str, bytes] = {}
 
     def lowered(self, text: str) -> str | None:
         """What the model's normaliser makes of a text but for the width of white space, which is no token; None if it is to do so.
@@ -134,9 +150,36 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids without special tokens. A normaliser that only lowers Latin-1 texts is done here, which costs it less."""
         low = [self.lowered(t) if self.plain else None for t in texts]
-        some = iter(self.plain.encode_batch_fast([t for t in low if t is not None], add_special_tokens=False) if self.plain else ())
-        rest = iter(self.model.encode_batch_fast([t for t, x in zip(texts, low) if x is None], add_special_tokens=False))
-        return [np.array(next(rest if x is None else some).ids, dtype=self.packed).tobytes() for x in low]
+        rest = iter(self.library(self.model, [t for t, x in zip(texts, low) if x is None]))
+        if self.wordwise:
+            return [next(rest) if x is None else self.by_words(x) for x in low]
+        some = iter(self.library(self.plain, [t for t in low if t is not None]) if self.plain else ())
+        return [next(rest if x is None else some) for x in low]
+
+    def library(self, model, texts: list[str]) -> list[bytes]:
+        return [np.array(found.ids, dtype=self.packed).tobytes() for found in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def by_words(self, low: str) -> bytes:
+        """Ids of a lowered text, those of its words one after another; words that are not known go to the library once."""
+        words = WORDS.findall(low)
+        new = list({*words}.difference(self.known))
+        if new:
+            self.known.update(zip(new, self.word_ids(new)))
+        ids = b"".join(map(self.known.__getitem__, words))
+        for word in new:
+            if len(word) > SHORT:
+                del self.known[word]
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        return ids
+
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word from one call: a word's last token is marked as such."""
+        ids = self.library(self.plain, [" ".join(words)])[0]
+        ends = (np.flatnonzero(self.last[self.numbers(ids)]) + 1) * self.packed.itemsize
+        if len(ends) != len(words):
+            return self.library(self.plain, words)
+        return [ids[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
     def decode(self, ids: list[int]) -> str:
         """As the library's; without a decoder it puts spaces between tokens."""

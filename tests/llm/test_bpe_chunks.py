@@ -37,6 +37,35 @@ def test_joins_are_repaired(model):
     assert [encoder.numbers(x).tolist() for x in encoder.encode([whole, ""])] == [ids_of(model, whole), []]
 
 
+class Counted:
+    """A tokenizer that notes what it is given."""
+
+    def __init__(self, model):
+        self.model, self.given = model, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += texts
+        return self.model.encode_batch_fast(texts, **options)
+
+
+def test_words_that_come_again_are_looked_up(model, monkeypatch):
+    encoder = bpe_chunks.Encoder(word_model())
+    encoder.model, encoder.plain = Counted(encoder.model), Counted(encoder.plain)
+    texts = [f"Café don't {'The same words, ' * 500}{i} {'y' * 40}" for i in range(20)]
+    whole = [ids_of(model, t) for t in texts]
+    assert [encoder.numbers(x).tolist() for x in encoder.encode(texts)] == whole
+    assert sum(map(len, encoder.model.given + encoder.plain.given)) < 2000  # of 160,000 characters
+    assert all(len(word) <= bpe_chunks.SHORT for word in encoder.known)
+    monkeypatch.setattr(bpe_chunks, "KNOWN", 3)
+    assert [encoder.numbers(x).tolist() for x in encoder.encode(texts)] == whole and len(encoder.known) <= 3
+    latin = [chr(i) for i in range(256)]
+    pairs = [f"{a}{b}{c}" for a in latin for b in latin for c in ("", "'s1")]
+    for at in range(0, len(pairs), 4096):
+        some = pairs[at : at + 4096]
+        found = model.encode_batch_fast(some, add_special_tokens=False)
+        assert [encoder.numbers(x).tolist() for x in encoder.encode(some)] == [f.ids for f in found]
+
+
 def test_chunks_depend_on_their_surroundings_only():
     rng = random.Random(1)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)]
