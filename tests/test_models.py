@@ -55,6 +55,13 @@ def test_risk_levels(rows):
     assert [got[f"s{i}"] for i in (1, 3, 4, 6, 7, 10)] == ["LOW", "LOW", "MEDIUM", "MEDIUM", "HIGH", "HIGH"]
 
 
+def test_risk_levels_of_a_count_whose_share_is_whole(spark):
+    """0.67 of 1500 is 1005, though a little more as a double."""
+    df = spark.range(1, 1501).select(F.col("id").cast("string").alias("supplier_name"), F.col("id").cast("double").alias("avg_risk_score"))
+    high = metrics.risk_levels(df).filter("risk_level = 'HIGH'").agg(F.min("avg_risk_score"), F.count("*")).first()
+    assert tuple(high) == (1005.0, 496)
+
+
 def test_hash_split_is_stable(spark):
     df = spark.range(5000).select(F.col("id").cast("string").alias("k"))
     train, test = features.hash_split(df, "k")
