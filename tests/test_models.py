@@ -1,12 +1,18 @@
 """Metrics against MLlib, determinism, and bounds; small settings keep the fits short."""
 
+import threading
+
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from millrace.catalog.feeds import TEST_TENANT, Feeds
-from millrace.ml import features, metrics, models
+from millrace.ml import features, forests, metrics, models
 from millrace.plans.numbering import frequency_index
+from millrace.session import CLEANUP_CONF, staged
 
 
 @pytest.fixture(scope="module")
@@ -139,3 +145,73 @@ def test_rollup_hashes_its_rows(feeds):
 def test_lines_of_orders_are_not_sorted_and_joined_once(feeds):
     assert "SortMergeJoin" not in plan_of(feeds.line_days) and "ShuffledHashJoin" in plan_of(feeds.line_days)
     assert "lineitem.parquet" not in plan_of(features.delivery_risk(feeds.deliveries))
+
+
+def points(spark, n):
+    """Rows with features and a label, in five partitions."""
+    made = spark.range(n).select("id", F.rand(1).alias("a"), (F.rand(2) * 30).cast("int").alias("b"), F.randn(3).alias("c"))
+    label = F.when(F.col("a") + F.col("c") > 1, 2).when(F.col("b") > 12, 1).otherwise(0)
+    rows = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(made.withColumn("label", label))
+    return rows.repartition(5, "id").sortWithinPartitions("id").select("features", "label")
+
+
+@pytest.mark.parametrize("kind", [RandomForestClassifier, RandomForestRegressor])
+def test_forest_is_that_of_mllib_in_any_number_of_tasks(spark, monkeypatch, kind):
+    rows, forest = points(spark, 12_000), kind(numTrees=6, maxDepth=4, seed=42)
+    monkeypatch.setattr(forests, "PASS_TASKS", 0)
+    monkeypatch.setattr(forests, "PASS_PARTITIONS", 2)
+    assert forests.pass_tasks(5, 4) == 3
+    want, got = forest.fit(rows), forests.fit_forest(forest, rows, rows)
+    assert got.toDebugString == want.toDebugString and got.featureImportances == want.featureImportances
+    assert type(got) is type(want) and got.extractParamMap() == want.extractParamMap()
+    assert got.transform(rows).select("prediction").collect() == want.transform(rows).select("prediction").collect()
+
+
+def test_forest_of_weighted_rows_is_refused(spark):
+    rows = points(spark, 10).withColumn("w", F.lit(2.0))
+    with pytest.raises(ValueError):
+        forests.fit_forest(RandomForestRegressor(weightCol="w"), rows, rows)
+
+
+def test_tasks_of_a_pass():
+    assert [forests.pass_tasks(n, 8) for n in (1, 29, 288, 1728)] == [1, 29, 32, 173]
+
+
+def test_training_keeps_no_rows_on_disk(spark, feeds):
+    fitted = models.fit_supplier_models(feeds.purchases_timed, {"numTrees": 20, "maxDepth": 6, "seed": 42})
+    held = lambda: dict(spark.sparkContext._jsc.getPersistentRDDs())
+    before, done, seen = set(held()), threading.Event(), {}
+
+    def watch():
+        while not done.wait(0.02):
+            seen.update({n: rdd.getStorageLevel().useDisk() for n, rdd in held().items() if n not in before})
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert fitted.classifier.stages[-1].getNumTrees == 20
+    finally:
+        done.set()
+        watcher.join()
+    assert seen and not any(seen.values())
+    assert set(held()) <= before
+
+
+def test_rows_of_one_key_are_dealt_in_one_order(spark):
+    rows = spark.range(600).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"), F.lit(None).cast("int").alias("n"))
+    ways = [models.dealt(rows.repartition(n, "v"), ["k"], 100, ties=["v", "n"]).rdd.glom().collect() for n in (1, 7)]
+    assert ways[0] == ways[1] and len(ways[0]) == 6 and sum(map(len, ways[0])) == 600
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return {name for name in blocks.split() if name.startswith("shuffle_")}
+
+
+def test_tidy_staging_leaves_no_shuffle(spark):
+    left = spark.range(5000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v")).withColumn("v", F.when(F.col("v") > 9, F.col("v")))
+    right = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")).hint("shuffle_hash")
+    before = shuffle_files(spark)
+    got = staged(left.join(right, "k"), "tidy", tidy=True)
+    assert shuffle_files(spark) <= before and spark.conf.get(CLEANUP_CONF) == "false"
+    assert got.count() == 5000 and got.exceptAll(left.join(right, "k")).isEmpty()
